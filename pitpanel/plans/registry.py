@@ -30,3 +30,406 @@ def panel_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
     """JN2: every price row with the attribute version in effect then."""
     return loaders.load_panel_historical(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
                                          columns=ATTRS)
+
+
+# ---------------------------------------------------------------- helpers
+ROUND = 6            # float aggregates are rounded: summation order differs by engine
+TOP_K = 5            # choice set of the relative-price matrix (notebook's GARP hook)
+DRIFT_DATES = ("1994-01-01", "1996-01-01", "1998-01-01")
+AS_OF = "1998-01-01"
+RANGE = ("1995-01-01", "1995-12-31")
+
+
+def _r(c, n: int = ROUND):
+    return F.round(F.col(c) if isinstance(c, str) else c, n)
+
+
+def _latest(spark, sf):
+    return loaders.load_prices_latest(fx.fx_prices(spark, sf))
+
+
+def _top_reviewed(spark, sf, k: int):
+    from pitpanel.operators.stats import ranked
+    return ranked(_latest(spark, sf), "review_count", k, tiebreak=("sku",))
+
+
+# ---------------------------------------------------------------- loaders
+@query("snapshot_latest")
+def snapshot_latest(spark, sf):
+    """FLT3: rows of the most recent run (global max, not per key)."""
+    return _latest(spark, sf)
+
+
+@query("snapshot_latest_active")
+def snapshot_latest_active(spark, sf):
+    """FLT3 + FLT2 with a key DataFrame: latest run, active catalog only."""
+    return loaders.load_prices_latest(fx.fx_prices(spark, sf),
+                                      skus=fx.fx_metadata_current(spark, sf).select("sku"))
+
+
+@query("prices_range")
+def prices_range(spark, sf):
+    """FLT1 + SRT1: inclusive time range, ordered by key and time."""
+    return loaders.load_prices(fx.fx_prices(spark, sf), start=RANGE[0], end=RANGE[1])
+
+
+@query("top_reviewed_history")
+def top_reviewed_history(spark, sf):
+    """FLT2 + SRT4: full price history of the most-reviewed keys of the latest run."""
+    return loaders.load_prices(fx.fx_prices(spark, sf),
+                               skus=_top_reviewed(spark, sf, TOP_K).select("sku"))
+
+
+@query("sku_trajectory")
+def sku_trajectory(spark, sf):
+    """SRT6: one key over time (the most-reviewed key of the latest run)."""
+    traj = loaders.load_prices(fx.fx_prices(spark, sf),
+                               skus=_top_reviewed(spark, sf, 1).select("sku"))
+    return traj.select("fetched_at", "regular_price", "sale_price", "on_sale")
+
+
+@query("metadata_current_keys")
+def metadata_current_keys(spark, sf):
+    """SRC2 + FLT2: current attributes of the keys in the latest run."""
+    return loaders.load_metadata_current(fx.fx_metadata_current(spark, sf),
+                                         skus=_latest(spark, sf).select("sku"))
+
+
+@query("metadata_as_of")
+def metadata_as_of(spark, sf):
+    """WIN1 + FLT4: attributes of every key as of a past moment."""
+    return loaders.load_metadata_at(fx.fx_history(spark, sf), AS_OF)
+
+
+@query("metadata_as_of_active")
+def metadata_as_of_active(spark, sf):
+    """WIN1 + FLT5: as-of state restricted to the current catalog."""
+    return loaders.load_metadata_at(fx.fx_history(spark, sf), AS_OF,
+                                    restrict_to=fx.fx_metadata_current(spark, sf))
+
+
+@query("attribute_drift")
+def attribute_drift(spark, sf):
+    """WIN2: as-of state at several moments in one aggregation."""
+    from pitpanel.operators.scd import as_of_many
+    return as_of_many(fx.fx_history(spark, sf), DRIFT_DATES, ATTRS)
+
+
+@query("panel_current")
+def panel_current(spark, sf):
+    """JN1 + PRJ7: prices LEFT JOIN current attributes."""
+    return loaders.load_panel(fx.fx_prices(spark, sf), fx.fx_metadata_current(spark, sf),
+                              columns=["name", "manufacturer", "department", "size"])
+
+
+@query("panel_point_in_time_window")
+def panel_point_in_time_window(spark, sf):
+    """JN2 with time bounds: history gets only the upper bound."""
+    return loaders.load_panel_historical(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
+                                         start=RANGE[0], end=RANGE[1], columns=ATTRS)
+
+
+# ---------------------------------------------------------------- SCD core
+@query("validity_intervals")
+def validity_intervals(spark, sf):
+    """SCD5: each version's [observed_at, valid_to)."""
+    from pitpanel.operators.scd import validity_intervals as vi
+    return vi(fx.fx_history(spark, sf))
+
+
+@query("content_hash")
+def content_hash_q(spark, sf):
+    """PRJ3: SHA-256 of the canonical JSON of every attribute and the key."""
+    return fx.fx_hashed_snapshots(spark, sf)
+
+
+@query("canonical_json")
+def canonical_json_q(spark, sf):
+    """PRJ2: JSON text with sorted keys and no whitespace."""
+    from pitpanel.functions.canonical import canonical_json
+    return fx.fx_raw(spark, sf).select("event_id", canonical_json("props").alias("props_canonical"))
+
+
+@query("scd2_changed_rows")
+def scd2_changed_rows(spark, sf):
+    """SCD1 backfill: snapshot rows whose hash differs from the key's previous one."""
+    from pitpanel.operators.scd import change_log
+    return change_log(fx.fx_hashed_snapshots(spark, sf))
+
+
+@query("scd2_index")
+def scd2_index(spark, sf):
+    """SCD2: last hash, first and last sighting per key."""
+    from pitpanel.operators.scd import build_index
+    return build_index(fx.fx_hashed_snapshots(spark, sf))
+
+
+def _step_inputs(spark, sf):
+    from pitpanel.operators.scd import build_index
+    snaps = fx.fx_hashed_snapshots(spark, sf)
+    last = snaps.select(F.max("observed_at")).scalar()
+    current = snaps.where(F.col("observed_at") == last)
+    index = build_index(snaps.where(F.col("observed_at") < last))
+    return current, index
+
+
+@query("scd2_step_diff")
+def scd2_step_diff(spark, sf):
+    """JN4/JN5: one ingestion step -- changed rows of the last run."""
+    from pitpanel.operators.scd import diff
+    current, index = _step_inputs(spark, sf)
+    return diff(current, index)[0]
+
+
+@query("scd2_step_index")
+def scd2_step_index(spark, sf):
+    """JN6/JN7 + SET1: the index after the last run (absent keys carried)."""
+    from pitpanel.operators.scd import diff
+    current, index = _step_inputs(spark, sf)
+    return diff(current, index)[1]
+
+
+# ---------------------------------------------------------------- analyses
+@query("newly_on_sale")
+def newly_on_sale(spark, sf):
+    """JN8 + FLT12: on sale now, not on sale in the last run >1 day older."""
+    from pitpanel.operators.filters import previous_snapshot
+    prices = fx.fx_prices(spark, sf)
+    now = loaders.load_prices_latest(prices).select("sku", "on_sale", "sale_price")
+    before = previous_snapshot(prices, "fetched_at", "1 day").select(
+        "sku", F.col("on_sale").alias("prev_on_sale"), F.col("sale_price").alias("prev_sale_price"))
+    j = now.join(before, on="sku", how="inner")
+    return j.where(F.col("on_sale") & ~F.col("prev_on_sale")).select("sku", "sale_price", "prev_sale_price")
+
+
+@query("dept_daily_average")
+def dept_daily_average(spark, sf):
+    """AGG10 + JN3: mean sale price and rows per (day, department)."""
+    from pitpanel.functions.timeparts import floor_to
+    from pitpanel.operators.stats import mean_and_count_by
+    out = mean_and_count_by(fx.fx_prices(spark, sf), fx.fx_metadata_current(spark, sf), "sku",
+                            "sale_price", {"day": floor_to("fetched_at", "day")}, ["department"],
+                            mean_name="avg_sale_price", count_name="n")
+    return out.select("day", "department", _r("avg_sale_price").alias("avg_sale_price"), "n")
+
+
+@query("dept_volatility")
+def dept_volatility(spark, sf):
+    """AGG12 + AGG4 + AGG2 + FLT10: sale-price stddev and distinct keys per
+    department over the trailing year before the latest run."""
+    prices = fx.fx_prices(spark, sf)
+    now = prices.select(F.max("fetched_at")).scalar()
+    recent = prices.where(F.col("fetched_at") >= now - F.expr("INTERVAL 365 DAYS"))
+    cur = fx.fx_metadata_current(spark, sf).select("sku", "department")
+    from pitpanel.operators.joins import maybe_broadcast
+    j = recent.join(maybe_broadcast(cur), on="sku", how="inner")
+    out = j.groupBy("department").agg(F.stddev_samp("sale_price").alias("sd_price"),
+                                      F.count_distinct("sku").alias("n_skus"))
+    return out.select("department", _r("sd_price").alias("sd_price"), "n_skus") \
+              .orderBy(F.col("sd_price").desc_nulls_last(), "department")
+
+
+@query("dept_top")
+def dept_top(spark, sf):
+    """AGG1 + SRT3: the ten largest departments of the current catalog."""
+    cur = fx.fx_metadata_current(spark, sf).where(F.col("department").isNotNull())
+    counts = cur.groupBy("department").agg(F.count(F.lit(1)).alias("n_skus"))
+    return counts.orderBy(F.col("n_skus").desc(), "department").limit(10)
+
+
+@query("dept_summary")
+def dept_summary(spark, sf):
+    """AGG11 + AGG7: latest run x current catalog per department, top 20."""
+    from pitpanel.operators.stats import share
+    from pitpanel.operators.joins import maybe_broadcast
+    latest = _latest(spark, sf)
+    cur = fx.fx_metadata_current(spark, sf).where(F.col("department").isNotNull()) \
+            .select("sku", "department")
+    j = latest.join(maybe_broadcast(cur), on="sku", how="inner")
+    g = j.groupBy("department").agg(F.count(F.lit(1)).alias("n_skus"),
+                                    _r(F.avg("regular_price")).alias("mean_price"),
+                                    _r(share(F.col("on_sale"))).alias("pct_on_sale"))
+    return g.orderBy(F.col("n_skus").desc(), "department").limit(20)
+
+
+@query("on_sale_share")
+def on_sale_share(spark, sf):
+    """AGG6: on-sale count, total and rounded percentage of the latest run."""
+    latest = _latest(spark, sf)
+    g = latest.agg(F.count_if(F.col("on_sale")).alias("on_sale"), F.count(F.lit(1)).alias("total"))
+    return g.select("on_sale", "total",
+                    F.round(F.lit(100.0) * F.col("on_sale") / F.col("total"), 2).alias("pct_on_sale"))
+
+
+@query("distinct_keys")
+def distinct_keys(spark, sf):
+    """AGG2: distinct keys and rows per year of the panel."""
+    prices = fx.fx_prices(spark, sf)
+    return prices.groupBy(F.year("fetched_at").alias("year")).agg(
+        F.count_distinct("sku").alias("n_skus"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("price_stats")
+def price_stats(spark, sf):
+    """AGG3 + AGG5: mean and (interpolated) median prices of the latest run."""
+    latest = _latest(spark, sf)
+    return latest.agg(_r(F.avg("regular_price")).alias("mean_regular"),
+                      _r(F.median("regular_price")).alias("median_regular"),
+                      _r(F.avg("sale_price")).alias("mean_sale"))
+
+
+@query("most_reviewed")
+def most_reviewed(spark, sf):
+    """SRT4 + FLT8: five most-reviewed keys of the latest run, ties by key."""
+    return _top_reviewed(spark, sf, TOP_K).select("rank", "sku", "review_count",
+                                                  "regular_price", "sale_price")
+
+
+@query("relative_prices")
+def relative_prices_q(spark, sf):
+    """RSH1 + PRJ8: time x choice-set pivot of sale prices over the baseline."""
+    from pitpanel.operators.reshape import relative_prices
+    return relative_prices(fx.fx_prices(spark, sf), _top_reviewed(spark, sf, TOP_K), TOP_K)
+
+
+@query("price_histogram")
+def price_histogram(spark, sf):
+    """AGG15: 80 equal-width bins over positive regular prices."""
+    from pitpanel.operators.stats import histogram
+    return histogram(fx.fx_prices(spark, sf), "regular_price", bins=80)
+
+
+@query("json_extract")
+def json_extract(spark, sf):
+    """§2.12: field extraction from JSON text."""
+    raw = fx.fx_raw(spark, sf)
+    return raw.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("try_cast_percent")
+def try_cast_percent(spark, sf):
+    """§2.12: lenient text -> double (API delivers percent savings as text)."""
+    from pitpanel.functions.scalars import to_double
+    p = fx.fx_prices(spark, sf)
+    pct = F.round(F.lit(100.0) * (F.col("regular_price") - F.col("sale_price")) / F.col("regular_price"))
+    text = F.when(F.col("on_sale"), pct.cast("long").cast("string")).otherwise(F.lit("n/a"))
+    return p.select("sku", "fetched_at", text.alias("percent_text")) \
+            .withColumn("percent_savings", to_double("percent_text"))
+
+
+# ---------------------------------------------------------------- monitoring
+@query("runs_latest")
+def runs_latest(spark, sf):
+    """SRT5: the ten latest runs."""
+    runs = fx.fx_runs(spark, sf)
+    return runs.orderBy(F.col("started_at").desc()).limit(10).select(
+        "started_at", "status", "products_fetched", "metadata_changed_rows", "api_calls")
+
+
+@query("run_durations")
+def run_durations_q(spark, sf):
+    """PRJ10: run duration in seconds."""
+    from pitpanel.operators.monitor import run_durations
+    return run_durations(fx.fx_runs(spark, sf)).select("run_day", "run_id", "duration_s")
+
+
+@query("daily_rollup")
+def daily_rollup_q(spark, sf):
+    """AGG9 + AGG14: runs, ok, errors and history rows per day."""
+    from pitpanel.operators.monitor import daily_rollup
+    return daily_rollup(fx.fx_runs(spark, sf))
+
+
+def _health(spark, sf):
+    from pitpanel.operators.monitor import catalog_health
+    return catalog_health(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
+                          compare_to="previous_run_day")
+
+
+@query("catalog_health")
+def catalog_health_q(spark, sf):
+    """MON5: per-day statistics of the day's last snapshot, change and churn."""
+    h = _health(spark, sf)
+    return h.select("day", "n_skus", "n_on_sale", _r("pct_on_sale").alias("pct_on_sale"),
+                    _r("mean_regular").alias("mean_regular"),
+                    _r("median_regular").alias("median_regular"),
+                    _r("mean_sale").alias("mean_sale"), "prev_n_skus", "delta_skus",
+                    _r("delta_pct").alias("delta_pct"), "churn")
+
+
+@query("alerts")
+def alerts_q(spark, sf):
+    """MON1-MON4 + WIN3: alert rows for runs and catalog size."""
+    from pitpanel.operators.monitor import alerts
+    runs = fx.fx_runs(spark, sf)
+    today = runs.select(F.max("run_day")).scalar() + F.expr("INTERVAL 1 DAY")
+    out = alerts(runs, _health(spark, sf), today=today, expected_runs=6)
+    return out.select(F.col("run_day").alias("day"), "alert", _r("value").alias("value"))
+
+
+@query("report_lines")
+def report_lines_q(spark, sf):
+    """MON6: daily report lines (header, alerts, run table)."""
+    from pitpanel.operators.monitor import alerts, report_lines
+    runs = fx.fx_runs(spark, sf)
+    return report_lines(runs, alerts(runs, expected_runs=6))
+
+
+# ---------------------------------------------------------------- audits
+@query("filter_counts")
+def filter_counts_q(spark, sf):
+    """AUD1: record counts under different filters."""
+    from pitpanel.operators.audit import filter_counts
+    return filter_counts(fx.fx_raw(spark, sf), {"n_errors": F.col("event_type") == "error",
+                                               "n_high_value": F.col("value") > 50})
+
+
+@query("latency_summary")
+def latency_summary(spark, sf):
+    """AGG13: min / median / max of a latency-like value per record type."""
+    from pitpanel.operators.audit import value_summary
+    return value_summary(fx.fx_raw(spark, sf), "value", by=["event_type"])
+
+
+@query("run_overlap")
+def run_overlap_q(spark, sf):
+    """AUD3 + SET2: key overlap of each run with the previous run."""
+    from pitpanel.operators.audit import run_overlap
+    return run_overlap(fx.fx_prices(spark, sf))
+
+
+@query("page_disjointness")
+def page_disjointness_q(spark, sf):
+    """AUD3: keys appearing on more than one page of a day's sweep."""
+    from pitpanel.functions.timeparts import floor_to
+    from pitpanel.operators.audit import page_disjointness
+    raw = fx.fx_raw(spark, sf).withColumn("run_day", floor_to("observed_at", "day"))
+    return page_disjointness(raw, "run_day", "event_type", "sku")
+
+
+@query("schema_inventory")
+def schema_inventory_q(spark, sf):
+    """AUD2 + SET3: union of field names over JSON records."""
+    from pitpanel.operators.audit import schema_inventory
+    return schema_inventory(fx.fx_raw(spark, sf), "props")
+
+
+@query("record_width")
+def record_width_q(spark, sf):
+    """AUD2: fields per record."""
+    from pitpanel.operators.audit import record_width
+    return record_width(fx.fx_raw(spark, sf), "props")
+
+
+@query("table_profile")
+def table_profile_q(spark, sf):
+    """AUD5: per-column null counts of the current catalog."""
+    from pitpanel.operators.audit import table_profile
+    return table_profile(fx.fx_metadata_current(spark, sf)).select("column", "null_count", "n_rows")
+
+
+@query("csv_ready")
+def csv_ready(spark, sf):
+    """SC3: nested columns rendered as JSON text for CSV export."""
+    from pitpanel.functions.scalars import flatten_nested
+    return flatten_nested(fx.table(spark, sf, "embeddings"))
