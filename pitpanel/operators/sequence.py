@@ -36,6 +36,8 @@ _V = "__pp_v"
 _IN = "__pp_in"
 _C = "__pp_carry"
 _HAS = "__pp_has_left"
+_BL = "__pp_bucket_edge"
+_RN = "__pp_rn"
 
 
 def time_bucket(ts: str | Column, bucket_days: int) -> Column:
@@ -93,26 +95,30 @@ def asof_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                     F.lit(None).cast(m_type).alias(_M))
     u = l.unionByName(r, allowMissingColumns=True).withColumn(_B, time_bucket(_T, bucket_days))
 
-    # 1) inside (key, bucket): running "last right row so far"
-    w_in = (Window.partitionBy(*[_q(k) for k in keys], _q(_B))
-            .orderBy(_q(_T).asc_nulls_first(), _q(_O), _q(_TB).asc_nulls_first())
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inside = (u.withColumn(_IN, F.last(_q(_M), ignorenulls=True).over(w_in))
-              .where(_q(_S) == 1))
-
-    # 2) one row per (key, bucket): its last right row, whether left rows live there
-    is_r = _q(_S) == 0
-    summary = (u.groupBy(*[_q(k) for k in keys], _q(_B))
-               .agg(F.max_by(F.when(is_r, _q(_M)), F.when(is_r, F.struct(_q(_T), _q(_TB)))).alias(_M),
-                    F.max(_q(_S)).alias(_HAS)))
+    # One window pass over (key, bucket), sorted by time:
+    #  * running "last right row so far"           -> in-bucket match
+    #  * whole-bucket last right row, any left row  -> the bucket's summary
+    part = Window.partitionBy(*[_q(k) for k in keys], _q(_B))
+    ordered = part.orderBy(_q(_T).asc_nulls_first(), _q(_O), _q(_TB).asc_nulls_first())
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    win = (u.withColumn(_IN, F.last(_q(_M), ignorenulls=True).over(running))
+           .withColumn(_BL, F.last(_q(_M), ignorenulls=True).over(whole))
+           .withColumn(_HAS, F.max(_q(_S)).over(whole))
+           .withColumn(_RN, F.row_number().over(ordered)))
+
+    # per key, carry the last right row of strictly earlier buckets into
+    # buckets holding left rows (one summary row per (key, bucket))
     w_b = (Window.partitionBy(*[_q(k) for k in keys]).orderBy(_q(_B))
            .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (summary.withColumn(_C, F.last(_q(_M), ignorenulls=True).over(w_b))
+    carry = (win.where(_q(_RN) == 1)
+             .select(*[_q(k) for k in keys], _q(_B), _q(_BL), _q(_HAS))
+             .withColumn(_C, F.last(_q(_BL), ignorenulls=True).over(w_b))
              .where((_q(_HAS) == 1) & _q(_C).isNotNull())
              .select(*[_q(k) for k in keys], _q(_B), _q(_C)))
 
-    # 3) rows without an in-bucket match take the carried version
-    out = (inside.join(carry, on=[*keys, _B], how="left")
+    # rows without an in-bucket match take the carried version
+    out = (win.where(_q(_S) == 1).join(carry, on=[*keys, _B], how="left")
            .withColumn(_M, F.coalesce(_q(_IN), _q(_C))))
     return out.select(*[_q(c) for c in left.columns],
                       *[_q(_M)[dst].alias(dst) for dst in mapping.values()])
@@ -135,18 +141,21 @@ def with_neighbor(df: DataFrame, keys: str | Sequence[str], ts: str,
     order = [_q(ts), *[_q(c) for c in _as_list(tiebreak)]]
     d = (df.withColumn(_V, F.struct(*[_q(c) for c in cols]))
          .withColumn(_B, time_bucket(ts, bucket_days)))
-    w_in = Window.partitionBy(*[_q(k) for k in keys], _q(_B)).orderBy(*order)
+    ordered = Window.partitionBy(*[_q(k) for k in keys], _q(_B)).orderBy(*order)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shift = F.lag if direction == "prev" else F.lead
-    inside = d.withColumn(_IN, shift(_q(_V), 1).over(w_in))
-
-    pick = F.max_by if direction == "prev" else F.min_by
-    summary = (d.groupBy(*[_q(k) for k in keys], _q(_B))
-               .agg(pick(_q(_V), F.struct(*order)).alias(_V)))
+    edge = F.last if direction == "prev" else F.first
+    # one pass: in-bucket neighbour, the bucket's edge row, a row number
+    win = (d.withColumn(_IN, shift(_q(_V), 1).over(ordered))
+           .withColumn(_BL, edge(_q(_V)).over(whole))
+           .withColumn(_RN, F.row_number().over(ordered)))
     w_b = Window.partitionBy(*[_q(k) for k in keys]).orderBy(_q(_B))
-    carry = (summary.withColumn(_C, shift(_q(_V), 1).over(w_b))
+    carry = (win.where(_q(_RN) == 1)
+             .select(*[_q(k) for k in keys], _q(_B), _q(_BL))
+             .withColumn(_C, shift(_q(_BL), 1).over(w_b))
              .where(_q(_C).isNotNull())
              .select(*[_q(k) for k in keys], _q(_B), _q(_C)))
-    res = inside.join(carry, on=[*keys, _B], how="left")
+    res = win.join(carry, on=[*keys, _B], how="left")
     # only the first (prev) / last (next) row of a bucket may take the carry
     return (res.withColumn(out, F.coalesce(_q(_IN), _q(_C)))
-            .drop(_V, _B, _IN, _C))
+            .drop(_V, _B, _IN, _C, _BL, _RN))
