@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.operators.joins import maybe_broadcast
 from pitpanel.operators.sequence import with_neighbor
+from pitpanel.operators.stats import exact_median
 
 _ALL = "__all"
 
@@ -25,10 +26,15 @@ def filter_counts(df: DataFrame, filters: dict[str, object]) -> DataFrame:
 
 
 def value_summary(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """``min / median / max`` (and count) of ``value``, optionally grouped."""
+    """``min / median / max`` (and count) of ``value``, optionally grouped.
+
+    The median is :func:`exact_median` (bounded memory per group)."""
     aggs = [F.count(value).alias("n"), F.min(value).alias("min_value"),
-            F.median(value).alias("median_value"), F.max(value).alias("max_value")]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+            F.max(value).alias("max_value")]
+    med = exact_median(df, value, by, out="median_value")
+    if by:
+        return df.groupBy(*by).agg(*aggs).join(med, on=list(by), how="left")
+    return df.agg(*aggs).select("*", med.select("median_value").scalar().alias("median_value"))
 
 
 def _keys(json_col: str):

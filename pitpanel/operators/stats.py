@@ -82,3 +82,76 @@ def mean_and_count_by(facts: DataFrame, dims: DataFrame, key: str, value: str,
     j = pre.join(dim_side, on=key, how="inner")
     return j.groupBy(*out_groups).agg((F.sum("__s") / F.sum("__c")).alias(mean_name),
                                       F.sum("__n").alias(count_name))
+
+
+def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = (),
+                     out: str = "percentile", accuracy: int = 100_000) -> DataFrame:
+    """Exact interpolated percentile (``percentile(value, p)`` semantics)
+    without holding a whole group in one aggregation buffer.
+
+    1. Per group: row count and a mergeable GK sketch (``percentile_approx``,
+       partial aggregation) read at ``p -+ e`` for a ladder of widths ``e``.
+       The sketch's rank guarantee puts the needed order statistics inside
+       the value band ``[lo, hi]`` of the narrowest safe width.
+    2. One aggregation classifies every row as below / inside / above the
+       band; below and above collapse to one counted row per group, the band
+       (about ``6/accuracy`` of a large group) to distinct values with counts.
+    3. A per-group running count over ``(class, value)`` gives each band
+       value its exact rank range (below rows sort first), and the result
+       interpolates between ranks ``floor``/``ceil`` of ``(n - 1) * p``
+       exactly as Spark's ``percentile`` does.
+
+    Should the band ever miss a rank (it cannot while the sketch guarantee
+    holds) the query fails loudly instead of returning a wrong value.
+    """
+    from pyspark.sql import Window
+    by = list(by)
+    d = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__x"))
+    # band half-widths 1/2, 1/4, ... down to about 3/accuracy, all read from
+    # one sketch; per group the narrowest one with a margin of at least
+    # max(3n/accuracy, 3) ranks is used (the sketch's rank error is below
+    # n/accuracy, plus one rank of rounding when it is still exact)
+    ladder = [2.0 ** -k for k in range(1, 40) if 2.0 ** -k >= 3.0 / accuracy]
+    kk = len(ladder)
+    pcts = [max(0.0, p - e) for e in ladder] + [min(1.0, p + e) for e in ladder]
+    sketch = d.groupBy(*by).agg(
+        F.percentile_approx("__x", pcts, accuracy).alias("__q"),
+        F.count(F.lit(1)).alias("__n"))
+    need = F.greatest(F.lit(3.0 / accuracy), F.lit(3.0) / F.col("__n"))
+    k = F.least(F.greatest(F.floor(-F.log2(need)), F.lit(1)), F.lit(kk)).cast("int")
+    bounds = sketch.select(*by, F.element_at("__q", k).alias("__lo"),
+                           F.element_at("__q", k + kk).alias("__hi"),
+                           ((F.col("__n") - 1) * F.lit(float(p))).alias("__pos"))
+    if by:
+        j = d.join(bounds, on=by, how="inner")      # one row per group; AQE broadcasts it when small
+    else:
+        s = bounds.select(F.struct("__lo", "__hi", "__pos")).scalar()
+        j = d.select("__x", s["__lo"].alias("__lo"), s["__hi"].alias("__hi"), s["__pos"].alias("__pos"))
+    x, lo, hi = F.col("__x"), F.col("__lo"), F.col("__hi")
+    cls = F.when(x < lo, -1).when(x <= hi, 0).otherwise(1)
+    classes = j.groupBy(*by, "__pos", cls.alias("__cls"), F.when(cls == 0, x).alias("__xb")) \
+               .agg(F.count(F.lit(1)).alias("__c"))
+    w = (Window.partitionBy(*by).orderBy("__cls", "__xb")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked_band = (classes.withColumn("__cum", F.sum("__c").over(w)).where(F.col("__cls") == 0)
+                   .withColumn("__first", F.col("__cum") - F.col("__c"))
+                   .withColumn("__last", F.col("__cum") - 1))
+    pos = F.col("__pos")
+    r_lo, r_hi = F.floor(pos), F.ceil(pos)
+
+    def at(r):
+        return F.max(F.when((F.col("__first") <= r) & (r <= F.col("__last")), F.col("__xb")))
+
+    picked = ranked_band.groupBy(*by, "__pos").agg(at(r_lo).alias("__vlo"), at(r_hi).alias("__vhi"))
+    vlo, vhi = F.col("__vlo"), F.col("__vhi")
+    interp = (F.when(vlo.isNull() | vhi.isNull(),
+                     F.raise_error(F.lit("exact_percentile: sketch band missed a rank")))
+              .when((r_lo == r_hi) | (vlo == vhi), vlo)
+              .otherwise((r_hi - pos) * vlo + (pos - r_lo) * vhi))
+    return picked.select(*by, interp.cast("double").alias(out))
+
+
+def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "median",
+                 **kw) -> DataFrame:
+    """:func:`exact_percentile` at 0.5."""
+    return exact_percentile(df, value, 0.5, by, out=out, **kw)

@@ -274,9 +274,11 @@ def distinct_keys(spark, sf):
 @query("price_stats")
 def price_stats(spark, sf):
     """AGG3 + AGG5: mean and (interpolated) median prices of the latest run."""
+    from pitpanel.operators.stats import exact_median
     latest = _latest(spark, sf)
+    med = exact_median(latest, "regular_price").select("median").scalar()
     return latest.agg(_r(F.avg("regular_price")).alias("mean_regular"),
-                      _r(F.median("regular_price")).alias("median_regular"),
+                      _r(med).alias("median_regular"),
                       _r(F.avg("sale_price")).alias("mean_sale"))
 
 
