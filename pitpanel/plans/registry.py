@@ -35,15 +35,17 @@ def panel_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- helpers
-ROUND = 6            # float aggregates are rounded: summation order differs by engine
+GRID = 2.0 ** 20     # float aggregates are quantised to 2^-20 (see oracle module)
 TOP_K = 5            # choice set of the relative-price matrix (notebook's GARP hook)
 DRIFT_DATES = ("1994-01-01", "1996-01-01", "1998-01-01")
 AS_OF = "1998-01-01"
 RANGE = ("1995-01-01", "1995-12-31")
 
 
-def _r(c, n: int = ROUND):
-    return F.round(F.col(c) if isinstance(c, str) else c, n)
+def _r(c):
+    """Quantise a float aggregate to multiples of 2^-20 (order-stable)."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.round(col * F.lit(GRID)) / F.lit(GRID)
 
 
 def _latest(spark, sf):
