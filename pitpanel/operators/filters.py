@@ -90,3 +90,10 @@ def previous_snapshot(df: DataFrame, ts: str, older_than: str = "1 day") -> Data
     bound = latest - F.expr(f"INTERVAL {older_than}")
     prev = df.where(F.col(ts) < bound).select(F.max(ts)).scalar()
     return df.where(F.col(ts) == prev)
+
+
+def updated_since(recs: DataFrame, since, col: str = "itemUpdateDate") -> DataFrame:
+    """Incremental filter: records whose ISO-text update date is after
+    ``since`` (text is parsed, unparsable dates never match)."""
+    from pitpanel.functions.timeparts import parse_iso
+    return recs.where(parse_iso(col) > F.lit(since).cast("timestamp"))

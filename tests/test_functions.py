@@ -64,3 +64,12 @@ def test_flatten_nested(spark):
     df = spark.createDataFrame([(1, [1.5, 2.0], {"a": 1})], "id long, v array<double>, m map<string,int>")
     r = flatten_nested(df).first()
     assert r.v == "[1.5,2.0]" and r.m == '{"a":1}' and r.id == 1
+
+
+def test_updated_since_and_show_fields(spark):
+    from pitpanel.operators.filters import updated_since
+    from pitpanel.schemas import METADATA_FIELDS, PRICE_FIELDS, show_fields
+    df = spark.createDataFrame([("2026-04-20T10:00:00",), ("2026-04-10",), ("junk",)], "itemUpdateDate string")
+    assert updated_since(df, "2026-04-14").count() == 1
+    f = show_fields().split(",")
+    assert f == sorted(f) and set(f) == set(PRICE_FIELDS) | set(METADATA_FIELDS) and len(f) == len(set(f))
