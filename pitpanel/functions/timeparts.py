@@ -53,6 +53,6 @@ def parse_iso(text: str | Column) -> Column:
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """``end - start`` in (fractional) seconds, null if either is null."""
-    return (F.unix_micros(_col(end).cast("timestamp"))
-            - F.unix_micros(_col(start).cast("timestamp"))) / F.lit(1_000_000.0)
+    """``end - start`` in (fractional) seconds, null if either is null.
+    Zone-free for ``timestamp_ntz`` inputs."""
+    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(1_000_000.0)
