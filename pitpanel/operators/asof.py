@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS
+
 from pitpanel.operators.sequence import asof_join
 
 
 def point_in_time(prices: DataFrame, history: DataFrame, columns: Sequence[str],
                   key: str = "sku", price_ts: str = "fetched_at", meta_ts: str = "observed_at",
                   observed_alias: str = "metadata_observed_at",
-                  tiebreak: Sequence[str] = ("content_hash",), bucket_days: int = 1) -> DataFrame:
+                  tiebreak: Sequence[str] = ("content_hash",), bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Every price row with the history row of its key having the greatest
     ``observed_at <= fetched_at`` (``ASOF LEFT JOIN`` semantics).
 

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS
+
 from pitpanel.functions.canonical import content_hash
 from pitpanel.operators.sequence import with_neighbor
 
@@ -84,7 +86,7 @@ def diff(current: DataFrame, index: DataFrame, key: str = "sku",
 
 
 def change_log(snapshots: DataFrame, key: str = "sku", ts: str = "observed_at",
-               hash_col: str = "content_hash", bucket_days: int = 1) -> DataFrame:
+               hash_col: str = "content_hash", bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Backfill form of :func:`diff` over many full snapshots at once.
 
     A snapshot row is a change when its key had no earlier snapshot or the
@@ -113,7 +115,7 @@ def build_index(log: DataFrame, key: str = "sku", ts: str = "observed_at",
 
 
 def validity_intervals(history: DataFrame, key: str = "sku", ts: str = "observed_at",
-                       tiebreak: Sequence[str] | None = None, bucket_days: int = 1,
+                       tiebreak: Sequence[str] | None = None, bucket_days: int = DEFAULT_BUCKET_DAYS,
                        valid_to: str = "valid_to") -> DataFrame:
     """Add ``valid_to`` = the next version's ``ts`` (null for the open
     version), so each row covers ``[ts, valid_to)``."""

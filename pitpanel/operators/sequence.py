@@ -26,6 +26,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Bucket width: bounds the rows of one key that one task orders (about 120
+# at four runs a day) and the buckets a key's summary spans (about 120 over
+# ten years).  Coarser data (monthly runs) can use wider buckets.
+DEFAULT_BUCKET_DAYS = 30
+
 _B = "__pp_bucket"
 _T = "__pp_t"
 _S = "__pp_side"
@@ -60,7 +65,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
               left_ts: str, right_ts: str,
               right_cols: Sequence[str] | dict[str, str],
               *, strict: bool = False, tiebreak: str | Sequence[str] | None = None,
-              bucket_days: int = 1) -> DataFrame:
+              bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Left as-of join.
 
     Every ``left`` row is kept once and gets the ``right`` row of the same
@@ -127,7 +132,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
 def with_neighbor(df: DataFrame, keys: str | Sequence[str], ts: str,
                   cols: Sequence[str], *, direction: str = "prev",
                   tiebreak: str | Sequence[str] | None = None,
-                  bucket_days: int = 1, out: str = "neighbor") -> DataFrame:
+                  bucket_days: int = DEFAULT_BUCKET_DAYS, out: str = "neighbor") -> DataFrame:
     """Add struct column ``out`` holding ``cols`` of the previous
     (``direction="prev"``) or next (``"next"``) row of the same key in
     ``(ts, tiebreak)`` order; null when there is none.

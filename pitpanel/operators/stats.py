@@ -39,13 +39,13 @@ def histogram(df: DataFrame, col: str, bins: int = 80, positive_only: bool = Tru
     """Equal-width histogram of ``col`` between its min and max.
 
     Rows: ``bin`` (0-based), ``bin_lo``, ``bin_hi``, ``n`` for non-empty
-    bins; the last bin is closed on the right.  The bounds are two scalar
-    subqueries, the counting one partially-aggregated group-by.
+    bins; the last bin is closed on the right.  The bounds are one scalar
+    subquery, the counting one partially aggregated group-by.
     """
     x = F.col(col)
     d = df.where(x.isNotNull() & (x > 0)) if positive_only else df.where(x.isNotNull())
-    lo = d.select(F.min(x)).scalar()
-    hi = d.select(F.max(x)).scalar()
+    bounds = d.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / F.lit(float(bins))
     raw = F.floor((x - lo) / (hi - lo) * F.lit(float(bins))).cast("long")
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("long")

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS
+
 from pitpanel.operators.asof import point_in_time
 from pitpanel.operators.filters import key_filter, latest_snapshot, time_range
 from pitpanel.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
@@ -78,7 +80,7 @@ def load_panel(prices: DataFrame, current: DataFrame, start=None, end=None, skus
 def load_panel_historical(prices: DataFrame, history: DataFrame, start=None, end=None,
                           skus=None, columns: Sequence[str] = PANEL_METADATA_COLUMNS,
                           key: str = "sku", ts: str = "fetched_at", meta_ts: str = "observed_at",
-                          sort: bool = True, bucket_days: int = 1) -> DataFrame:
+                          sort: bool = True, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Prices joined with the attribute version in effect at each price time.
 
     Filters are applied to the price side before the join; the history gets

@@ -31,7 +31,7 @@ def panel_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
     # row order is a presentation step (SRT1 is exercised by prices_range);
     # skipping it saves a sampled range shuffle of the whole panel
     return loaders.load_panel_historical(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
-                                         columns=ATTRS, sort=False)
+                                         columns=ATTRS, sort=False, bucket_days=fx.BUCKET_DAYS)
 
 
 # ---------------------------------------------------------------- helpers
@@ -130,7 +130,8 @@ def panel_current(spark, sf):
 def panel_point_in_time_window(spark, sf):
     """JN2 with time bounds: history gets only the upper bound."""
     return loaders.load_panel_historical(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
-                                         start=RANGE[0], end=RANGE[1], columns=ATTRS, sort=False)
+                                         start=RANGE[0], end=RANGE[1], columns=ATTRS, sort=False,
+                                         bucket_days=fx.BUCKET_DAYS)
 
 
 # ---------------------------------------------------------------- SCD core
@@ -138,7 +139,7 @@ def panel_point_in_time_window(spark, sf):
 def validity_intervals(spark, sf):
     """SCD5: each version's [observed_at, valid_to)."""
     from pitpanel.operators.scd import validity_intervals as vi
-    return vi(fx.fx_history(spark, sf))
+    return vi(fx.fx_history(spark, sf), bucket_days=fx.BUCKET_DAYS)
 
 
 @query("content_hash")
@@ -158,7 +159,7 @@ def canonical_json_q(spark, sf):
 def scd2_changed_rows(spark, sf):
     """SCD1 backfill: snapshot rows whose hash differs from the key's previous one."""
     from pitpanel.operators.scd import change_log
-    return change_log(fx.fx_hashed_snapshots(spark, sf))
+    return change_log(fx.fx_hashed_snapshots(spark, sf), bucket_days=fx.BUCKET_DAYS)
 
 
 @query("scd2_index")
