@@ -94,3 +94,11 @@ class PanelStore:
         self.prices().createOrReplaceTempView("prices")
         self.current().createOrReplaceTempView("metadata_current")
         self.history().createOrReplaceTempView("metadata_history")
+
+    def sql(self, text: str) -> DataFrame:
+        """Run ad-hoc SQL over the three views.  Spark SQL accepts the
+        usual panel SQL (``USING``, ``FILTER``, ``GROUP BY 1``, scalar
+        subqueries, ``INTERVAL``); ``SELECT * EXCEPT (..)`` replaces
+        ``EXCLUDE``, and as-of joins use :mod:`pitpanel.operators.asof`."""
+        self.register_views()
+        return self.spark.sql(text)
