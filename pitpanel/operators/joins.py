@@ -2,29 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast only when a bounded count proves it has at most this
-# many rows; beyond it the join stays a shuffle join (AQE may still turn it
-# into a broadcast once the real shuffle size is measured).
+# A side is broadcast only when one bounded job proves it has at most this
+# many rows *and* this many bytes of column data; beyond either bound the join
+# stays a shuffle join (AQE may still turn it into a broadcast once the real
+# shuffle size is measured).
 DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def provably_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows.
-
-    Runs one bounded job (``limit(max_rows + 1).count()``), so the check
-    never scans more than ``max_rows + 1`` rows past what it needs.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+_VARIABLE = (T.StringType, T.BinaryType)
+_FIXED = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
+          T.DoubleType: 8, T.BooleanType: 1, T.DateType: 4, T.TimestampType: 8,
+          T.TimestampNTZType: 8, T.DecimalType: 16}
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row's values: exact for strings and binaries, JSON text
+    length for nested values, the type's fixed width otherwise."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, _VARIABLE):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, _NESTED):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED.get(type(f.dataType), 8)))
+    total = parts[0] if parts else F.lit(0)
+    for p in parts[1:]:
+        total = total + p
+    return total.cast("long")
+
+
+def provably_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True iff ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    Runs one bounded job over at most ``max_rows + 1`` rows, so the check
+    costs no more than reading a table of the size it admits.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                     F.sum(_row_bytes(df)).alias("b")).first()
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven below ``max_rows``, else ``df``.
+def maybe_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its size is proven below the bounds, else ``df``.
 
     ``max_rows=None`` skips the check and leaves the choice to AQE.
     """
     if max_rows is None:
         return df
-    return F.broadcast(df) if provably_small(df, max_rows) else df
+    return F.broadcast(df) if provably_small(df, max_rows, max_bytes) else df

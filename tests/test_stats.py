@@ -36,3 +36,11 @@ def test_histogram_last_bin_closed(spark):
 def test_top_k_tiebreak_and_nulls(spark):
     df = spark.createDataFrame([("b", 5), ("a", 5), ("c", None), ("d", 1)], "sku string, n int")
     assert [r.sku for r in top_k(df, "n", 3).collect()] == ["a", "b", "d"]
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    from pitpanel.operators.joins import provably_small
+    df = spark.createDataFrame([("x" * 1000, 1)] * 50, "s string, n long")
+    assert provably_small(df, max_rows=50, max_bytes=60_000)
+    assert not provably_small(df, max_rows=49, max_bytes=60_000)
+    assert not provably_small(df, max_rows=50, max_bytes=40_000)
