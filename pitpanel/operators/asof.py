@@ -5,11 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS
-
-from pitpanel.operators.sequence import asof_join
+from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS, asof_join
 
 
 def point_in_time(prices: DataFrame, history: DataFrame, columns: Sequence[str],

@@ -16,10 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS
-
 from pitpanel.functions.canonical import content_hash
-from pitpanel.operators.sequence import with_neighbor
+from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS, with_neighbor
 
 
 def _q(name: str) -> Column:
