@@ -9,7 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.operators.joins import maybe_broadcast
 from pitpanel.operators.sequence import with_neighbor
 from pitpanel.operators.stats import exact_median
 
@@ -65,7 +64,8 @@ def run_overlap(prices: DataFrame, key: str = "sku", ts: str = "fetched_at") ->
                         direction="prev", bucket_days=366, out="__p")
     pairs = seq.select(ts, F.col("__p")[ts].alias("prev_ts"), "n_keys",
                        F.col("__p")["n_keys"].alias("n_prev_keys"))
-    link = maybe_broadcast(pairs.select(ts, "prev_ts"))
+    # one row per run (a few per day): broadcast by construction
+    link = F.broadcast(pairs.select(ts, "prev_ts"))
     cur = prices.select(key, ts).join(link, on=ts, how="inner")
     prev = prices.select(key, F.col(ts).alias("prev_ts"))
     overlap = cur.join(prev, on=[key, "prev_ts"], how="inner").groupBy(ts).agg(

@@ -59,3 +59,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet below the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    Used for small intermediate tables that several branches of a plan
+    reuse: the upstream scans run once, the lineage is cut, and the files
+    live on shared storage, so losing an executor loses nothing.  (An eager
+    ``DataFrame.checkpoint()`` would compute its input twice unless it was
+    cached first.)
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pitpanel-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
