@@ -379,7 +379,8 @@ def report_lines_q(spark, sf):
     """MON6: daily report lines (header, alerts, run table)."""
     from pitpanel.operators.monitor import alerts, report_lines
     runs = fx.fx_runs(spark, sf)
-    return report_lines(runs, alerts(runs, expected_runs=6))
+    today = runs.select(F.max("run_day")).scalar() + F.expr("INTERVAL 1 DAY")
+    return report_lines(runs, alerts(runs, today=today, expected_runs=6))
 
 
 # ---------------------------------------------------------------- audits

@@ -42,7 +42,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only <= {"csv_ready", "report_lines"}
+    assert rows_only <= {"csv_ready"}
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
