@@ -17,6 +17,11 @@ bucket, and the summary by the number of buckets a key spans (calendar
 bound, not data bound).  Results are exact: buckets are ordered like
 timestamps, so the carried value is exactly the row a global window would
 have seen.
+
+The per-bucket edge rows come from a partially aggregated ``max_by`` /
+``min_by`` rather than from a second window: the data is shuffled once (for
+the in-bucket window); the summary shuffle carries one row per
+``(key, bucket)`` and map task.
 """
 
 from __future__ import annotations
@@ -100,25 +105,23 @@ def asof_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                     F.lit(None).cast(m_type).alias(_M))
     u = l.unionByName(r, allowMissingColumns=True).withColumn(_B, time_bucket(_T, bucket_days))
 
-    # One window pass over (key, bucket), sorted by time:
-    #  * running "last right row so far"           -> in-bucket match
-    #  * whole-bucket last right row, any left row  -> the bucket's summary
-    part = Window.partitionBy(*[_q(k) for k in keys], _q(_B))
-    ordered = part.orderBy(_q(_T).asc_nulls_first(), _q(_O), _q(_TB).asc_nulls_first())
+    # inside (key, bucket): running "last right row so far"
+    ordered = (Window.partitionBy(*[_q(k) for k in keys], _q(_B))
+               .orderBy(_q(_T).asc_nulls_first(), _q(_O), _q(_TB).asc_nulls_first()))
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    win = (u.withColumn(_IN, F.last(_q(_M), ignorenulls=True).over(running))
-           .withColumn(_BL, F.last(_q(_M), ignorenulls=True).over(whole))
-           .withColumn(_HAS, F.max(_q(_S)).over(whole))
-           .withColumn(_RN, F.row_number().over(ordered)))
-
-    # per key, carry the last right row of strictly earlier buckets into
-    # buckets holding left rows (one summary row per (key, bucket))
+    win = u.withColumn(_IN, F.last(_q(_M), ignorenulls=True).over(running))
+
+    # one summary row per (key, bucket): its last right row and whether left
+    # rows live there -- partially aggregated, so only one row per (key,
+    # bucket) and map task crosses the shuffle; then, per key, carry the last
+    # right row of strictly earlier buckets forward
+    is_r = _q(_S) == 0
+    summary = (u.groupBy(*[_q(k) for k in keys], _q(_B))
+               .agg(F.max_by(F.when(is_r, _q(_M)), F.when(is_r, F.struct(_q(_T), _q(_TB)))).alias(_BL),
+                    F.max(_q(_S)).alias(_HAS)))
     w_b = (Window.partitionBy(*[_q(k) for k in keys]).orderBy(_q(_B))
            .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (win.where(_q(_RN) == 1)
-             .select(*[_q(k) for k in keys], _q(_B), _q(_BL), _q(_HAS))
-             .withColumn(_C, F.last(_q(_BL), ignorenulls=True).over(w_b))
+    carry = (summary.withColumn(_C, F.last(_q(_BL), ignorenulls=True).over(w_b))
              .where((_q(_HAS) == 1) & _q(_C).isNotNull())
              .select(*[_q(k) for k in keys], _q(_B), _q(_C)))
 
@@ -135,7 +138,8 @@ def with_neighbor(df: DataFrame, keys: str | Sequence[str], ts: str,
                   bucket_days: int = DEFAULT_BUCKET_DAYS, out: str = "neighbor") -> DataFrame:
     """Add struct column ``out`` holding ``cols`` of the previous
     (``direction="prev"``) or next (``"next"``) row of the same key in
-    ``(ts, tiebreak)`` order; null when there is none.
+    ``(ts, tiebreak)`` order; null when there is none.  A row whose key is
+    null has no neighbour.
 
     The caller supplies a total order per key (dedupe first); ties are
     otherwise resolved arbitrarily, as with any ``lag``/``lead``.
@@ -147,20 +151,21 @@ def with_neighbor(df: DataFrame, keys: str | Sequence[str], ts: str,
     d = (df.withColumn(_V, F.struct(*[_q(c) for c in cols]))
          .withColumn(_B, time_bucket(ts, bucket_days)))
     ordered = Window.partitionBy(*[_q(k) for k in keys], _q(_B)).orderBy(*order)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shift = F.lag if direction == "prev" else F.lead
-    edge = F.last if direction == "prev" else F.first
-    # one pass: in-bucket neighbour, the bucket's edge row, a row number
-    win = (d.withColumn(_IN, shift(_q(_V), 1).over(ordered))
-           .withColumn(_BL, edge(_q(_V)).over(whole))
-           .withColumn(_RN, F.row_number().over(ordered)))
+    win = d.withColumn(_IN, shift(_q(_V), 1).over(ordered))
+    # each bucket's edge row by a partially aggregated max_by / min_by: only
+    # one row per (key, bucket) and map task crosses the shuffle
+    pick = F.max_by if direction == "prev" else F.min_by
+    summary = (d.groupBy(*[_q(k) for k in keys], _q(_B))
+               .agg(pick(_q(_V), F.struct(*order)).alias(_BL)))
     w_b = Window.partitionBy(*[_q(k) for k in keys]).orderBy(_q(_B))
-    carry = (win.where(_q(_RN) == 1)
-             .select(*[_q(k) for k in keys], _q(_B), _q(_BL))
-             .withColumn(_C, shift(_q(_BL), 1).over(w_b))
+    carry = (summary.withColumn(_C, shift(_q(_BL), 1).over(w_b))
              .where(_q(_C).isNotNull())
              .select(*[_q(k) for k in keys], _q(_B), _q(_C)))
     res = win.join(carry, on=[*keys, _B], how="left")
     # only the first (prev) / last (next) row of a bucket may take the carry
-    return (res.withColumn(out, F.coalesce(_q(_IN), _q(_C)))
-            .drop(_V, _B, _IN, _C, _BL, _RN))
+    key_ok = F.lit(True)
+    for k in keys:
+        key_ok = key_ok & _q(k).isNotNull()
+    return (res.withColumn(out, F.when(key_ok, F.coalesce(_q(_IN), _q(_C))))
+            .drop(_V, _B, _IN, _C))

@@ -93,3 +93,10 @@ def test_constant_key_sequence_spans_buckets(spark):
     got = {r.id: (r.p.id if r.p else None) for r in res}
     ordered = [r[1] for r in sorted(rows)]
     assert got == {ordered[i]: (ordered[i - 1] if i else None) for i in range(len(ordered))}
+
+
+def test_null_key_rows_have_no_neighbour(spark):
+    df = spark.createDataFrame([(None, _ts(0), 1), (None, _ts(40), 2), ("a", _ts(0), 3), ("a", _ts(40), 4)],
+                               "k string, t timestamp_ntz, v long")
+    got = {r.v: (r.p.v if r.p else None) for r in with_neighbor(df, "k", "t", ["v"], out="p").collect()}
+    assert got == {1: None, 2: None, 3: None, 4: 3}
