@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.canonical import content_hash
@@ -24,29 +24,27 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _struct_all(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
-    return F.struct(*[_q(c) for c in df.columns if c not in exclude])
-
-
-def _expand(df: DataFrame, struct_col: str, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    return df.select(*[_q(k) for k in keep], *[_q(struct_col)[n].alias(n) for n in names])
-
-
 def with_content_hash(df: DataFrame, columns: Sequence[str], out: str = "content_hash") -> DataFrame:
     """Add the SHA-256 content hash of ``columns`` (nulls included)."""
     return df.withColumn(out, content_hash(columns))
 
 
-def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
-    """Keep one row per ``key``: the one with the greatest ``order_by``.
+def _top1(df: DataFrame, key: str, order_desc: Sequence[str]) -> DataFrame:
+    """One row per ``key``: the greatest by ``order_desc``.
 
-    A grouped ``max_by`` (partial aggregation before the shuffle), so a key
-    duplicated many times is collapsed map-side, never gathered in one task.
+    ``row_number() = 1`` plans as a WindowGroupLimit that first keeps the
+    top row of every key *inside each map task*, so a key with a long
+    history is reduced before the shuffle and never gathered in one task.
     """
-    others = [c for c in df.columns if c != key]
-    packed = (df.groupBy(_q(key))
-              .agg(F.max_by(_struct_all(df, [key]), F.struct(*[_q(c) for c in order_by])).alias("__row")))
-    return _expand(packed, "__row", others, [key]).select(*[_q(c) for c in df.columns])
+    w = Window.partitionBy(_q(key)).orderBy(*[_q(c).desc() for c in order_desc])
+    return (df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1)
+            .drop("__rn"))
+
+
+def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """Keep one row per ``key``: the one with the greatest ``order_by``
+    (duplicates are collapsed map-side, see :func:`_top1`)."""
+    return _top1(df, key, order_by)
 
 
 def diff(current: DataFrame, index: DataFrame, key: str = "sku",
@@ -126,18 +124,13 @@ def as_of(history: DataFrame, when, key: str = "sku", ts: str = "observed_at",
           tiebreak: Sequence[str] = ("content_hash",)) -> DataFrame:
     """For each key, its row with the greatest ``ts <= when``.
 
-    Keys never observed by ``when`` are omitted.  A grouped ``max_by``
-    (partial aggregation), not a ranked window, so a key with a long
-    history is reduced map-side.
+    Keys never observed by ``when`` are omitted.  The ranked filter is
+    reduced map-side (see :func:`_top1`), so a key with a long history never
+    lands whole in one task.
     """
     tiebreak = [c for c in tiebreak if c in history.columns]
     bound = F.lit(when).cast(history.schema[ts].dataType)
-    rows = history.where(_q(ts) <= bound)
-    others = [c for c in history.columns if c != key]
-    packed = (rows.groupBy(_q(key))
-              .agg(F.max_by(_struct_all(rows, [key]),
-                            F.struct(_q(ts), *[_q(c) for c in tiebreak])).alias("__row")))
-    return _expand(packed, "__row", others, [key]).select(*[_q(c) for c in history.columns])
+    return _top1(history.where(_q(ts) <= bound), key, [ts, *tiebreak])
 
 
 def as_of_many(history: DataFrame, moments: Sequence, columns: Sequence[str],
