@@ -20,7 +20,7 @@ _FIXED = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.Floa
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
     """Bytes of one row's values: exact for strings and binaries, JSON text
     length for nested values, the type's fixed width otherwise."""
     parts = []
@@ -46,7 +46,7 @@ def provably_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     costs no more than reading a table of the size it admits.
     """
     row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                     F.sum(_row_bytes(df)).alias("b")).first()
+                                     F.sum(row_bytes(df)).alias("b")).first()
     return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pitpanel.functions.canonical import content_hash
 from pitpanel.functions.timeparts import floor_to
 from pitpanel.operators.scd import change_log
+from pitpanel.session import materialize
 
 SNAPSHOT_ATTRS = ("class", "department")
 # the fixture runs are monthly / quarterly: a one-year bucket holds at most
@@ -58,12 +59,18 @@ def fx_hashed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snaps.withColumn("content_hash", content_hash(["sku", *SNAPSHOT_ATTRS]))
 
 
-def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_history(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
     """Change log: snapshot rows whose content differs from the key's
-    previous snapshot (first sightings included)."""
+    previous snapshot (first sightings included).
+
+    ``stored=True`` writes it once below the shared checkpoint folder and
+    reads it back -- the history is a stored table in a real panel, and
+    operators that read their input twice should scan it, not re-derive it.
+    """
     log = change_log(fx_hashed_snapshots(spark, sf_dir), key="sku", ts="observed_at",
                      hash_col="content_hash", bucket_days=BUCKET_DAYS)
-    return log.select("sku", "observed_at", *SNAPSHOT_ATTRS)
+    out = log.select("sku", "observed_at", *SNAPSHOT_ATTRS)
+    return materialize(out, "fx-history") if stored else out
 
 
 def fx_metadata_current(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,14 +79,18 @@ def load_panel(prices: DataFrame, current: DataFrame, start=None, end=None, skus
 def load_panel_historical(prices: DataFrame, history: DataFrame, start=None, end=None,
                           skus=None, columns: Sequence[str] = PANEL_METADATA_COLUMNS,
                           key: str = "sku", ts: str = "fetched_at", meta_ts: str = "observed_at",
-                          sort: bool = True, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
+                          sort: bool = True, bucket_days: int = DEFAULT_BUCKET_DAYS,
+                          strategy: str = "auto") -> DataFrame:
     """Prices joined with the attribute version in effect at each price time.
 
     Filters are applied to the price side before the join; the history gets
     only the upper time bound (versions before ``start`` are still needed).
+    ``strategy`` picks the join plan (see :mod:`pitpanel.operators.asof`):
+    a broadcast of validity intervals when they are proven small, else the
+    skew-safe shuffle plan.
     """
     p = key_filter(time_range(prices, ts, start, end), key, skus)
     h = key_filter(time_range(history, meta_ts, None, end), key, skus)
     out = point_in_time(p, h, columns, key=key, price_ts=ts, meta_ts=meta_ts,
-                        bucket_days=bucket_days)
+                        bucket_days=bucket_days, strategy=strategy)
     return out.orderBy(key, ts) if sort else out

@@ -30,7 +30,7 @@ def panel_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
     """JN2: every price row with the attribute version in effect then."""
     # row order is a presentation step (SRT1 is exercised by prices_range);
     # skipping it saves a sampled range shuffle of the whole panel
-    return loaders.load_panel_historical(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
+    return loaders.load_panel_historical(fx.fx_prices(spark, sf), fx.fx_history(spark, sf, stored=True),
                                          columns=ATTRS, sort=False, bucket_days=fx.BUCKET_DAYS)
 
 
@@ -129,7 +129,7 @@ def panel_current(spark, sf):
 @query("panel_point_in_time_window")
 def panel_point_in_time_window(spark, sf):
     """JN2 with time bounds: history gets only the upper bound."""
-    return loaders.load_panel_historical(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
+    return loaders.load_panel_historical(fx.fx_prices(spark, sf), fx.fx_history(spark, sf, stored=True),
                                          start=RANGE[0], end=RANGE[1], columns=ATTRS, sort=False,
                                          bucket_days=fx.BUCKET_DAYS)
 

@@ -100,3 +100,25 @@ def test_null_key_rows_have_no_neighbour(spark):
                                "k string, t timestamp_ntz, v long")
     got = {r.v: (r.p.v if r.p else None) for r in with_neighbor(df, "k", "t", ["v"], out="p").collect()}
     assert got == {1: None, 2: None, 3: None, 4: 3}
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "auto"])
+def test_point_in_time_strategies_agree_with_brute_force(spark, strategy):
+    from pitpanel.operators.asof import point_in_time
+    rnd = random.Random(11)
+    prices = [(rnd.choice("aaaabcd"), _ts(rnd.randrange(90), rnd.randrange(24)), i) for i in range(400)]
+    hist, seen = [], set()
+    for i in range(80):
+        k, t = rnd.choice("aaabcx"), _ts(rnd.randrange(90), rnd.randrange(24))
+        hist.append((k, t, f"c{i}", f"h{i:03d}"))
+    hist += [(k, t, "tie-lo", "h000"), (k, t, "tie-hi", "h999")] if (k := "a") and (t := prices[0][1]) else []
+    p = spark.createDataFrame(prices, "sku string, fetched_at timestamp_ntz, pid long")
+    h = spark.createDataFrame(hist, "sku string, observed_at timestamp_ntz, color string, content_hash string")
+    got = sorted((r.pid, r.color, r.metadata_observed_at)
+                 for r in point_in_time(p, h, ["color"], bucket_days=7, strategy=strategy).collect())
+    want = []
+    for k, t, pid in prices:
+        c = [(ht, hh, col) for hk, ht, col, hh in hist if hk == k and ht <= t]
+        best = max(c) if c else None
+        want.append((pid, best[2] if best else None, best[0] if best else None))
+    assert got == sorted(want)
