@@ -101,3 +101,14 @@ def table_profile(df: DataFrame) -> DataFrame:
                               F.col(f"__null_{i}").alias("null_count"))
                      for i, c in enumerate(cols)])
     return one.select(F.inline(rows), F.col("__n").alias("n_rows"))
+
+
+def first_row_profile(df: DataFrame, order_by: Sequence[str], width: int = 80) -> DataFrame:
+    """The first row (by ``order_by``) as ``column, value`` rows, values as
+    text cut to ``width`` characters.  ``orderBy().limit(1)`` keeps one row
+    per task before the final pick, so nothing large is gathered."""
+    from pitpanel.functions.scalars import profile_text
+    first = df.orderBy(*order_by).limit(1)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), profile_text(F.col(f"`{c}`"), width).alias("value"))
+                      for c in df.columns])
+    return first.select(F.inline(pairs))

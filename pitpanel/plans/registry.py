@@ -509,3 +509,10 @@ def sql_metadata_as_of(spark, sf):
               AND sku IN (SELECT sku FROM metadata_current)
         )
         SELECT * EXCEPT (_rn) FROM ranked WHERE _rn = 1""")
+
+
+@query("table_first_row")
+def table_first_row(spark, sf):
+    """AUD5 / PRJ9: the first row of the current catalog, values cut at 80 chars."""
+    from pitpanel.operators.audit import first_row_profile
+    return first_row_profile(fx.fx_metadata_current(spark, sf), ["sku"])

@@ -44,3 +44,14 @@ def test_broadcast_check_bounds_rows_and_bytes(spark):
     assert provably_small(df, max_rows=50, max_bytes=60_000)
     assert not provably_small(df, max_rows=49, max_bytes=60_000)
     assert not provably_small(df, max_rows=50, max_bytes=40_000)
+
+
+def test_table_profile_and_first_row(spark):
+    from pitpanel.operators.audit import first_row_profile, table_profile
+    df = spark.createDataFrame([("b", None, "y" * 100), ("a", 2, None)], "k string, n int, t string")
+    prof = {r.column: (r.null_count, r.n_rows) for r in table_profile(df).collect()}
+    assert prof == {"k": (0, 2), "n": (1, 2), "t": (1, 2)}
+    first = {r.column: r.value for r in first_row_profile(df, ["k"]).collect()}
+    assert first == {"k": "a", "n": "2", "t": None}
+    first_b = {r.column: r.value for r in first_row_profile(df, ["n"]).collect()}
+    assert len(first_b["t"]) == 80 and first_b["t"].endswith("...")
