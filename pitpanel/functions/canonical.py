@@ -41,3 +41,15 @@ def record_json(columns: Iterable[str]) -> Column:
 def content_hash(columns: Iterable[str]) -> Column:
     """SHA-256 hex digest of :func:`record_json` over ``columns``."""
     return F.sha2(record_json(columns), 256)
+
+
+def json_entries(text: str | Column) -> Column:
+    """Generator of ``key, value`` pairs of a JSON object held as text
+    (values as JSON text), for ``select(..., json_entries(c))``; the
+    equivalent of a ``json_each`` table function."""
+    return F.explode(F.from_json(_col(text), "map<string,string>"))
+
+
+def json_items(text: str | Column, element_type: str = "string") -> Column:
+    """Generator of the elements of a JSON array held as text."""
+    return F.explode(F.from_json(_col(text), f"array<{element_type}>"))

@@ -516,3 +516,10 @@ def table_first_row(spark, sf):
     """AUD5 / PRJ9: the first row of the current catalog, values cut at 80 chars."""
     from pitpanel.operators.audit import first_row_profile
     return first_row_profile(fx.fx_metadata_current(spark, sf), ["sku"])
+
+
+@query("json_each")
+def json_each_q(spark, sf):
+    """§2.12: key/value pairs of JSON objects held as text."""
+    from pitpanel.functions.canonical import json_entries
+    return fx.fx_raw(spark, sf).select("event_id", json_entries("props"))

@@ -73,3 +73,13 @@ def test_updated_since_and_show_fields(spark):
     assert updated_since(df, "2026-04-14").count() == 1
     f = show_fields().split(",")
     assert f == sorted(f) and set(f) == set(PRICE_FIELDS) | set(METADATA_FIELDS) and len(f) == len(set(f))
+
+
+def test_json_paths_on_arrays_and_entries(spark):
+    from pitpanel.functions.canonical import json_entries, json_items
+    df = spark.createDataFrame([('[{"name":"TV","id":"c1"},{"name":"OLED","id":"c2"}]', '{"a":1,"b":"x"}')],
+                               "categoryPath string, props string")
+    assert df.select(F.get_json_object("categoryPath", "$[0].name")).first()[0] == "TV"
+    names = [r.col.name for r in df.select(json_items("categoryPath", "struct<name:string,id:string>")).collect()]
+    assert names == ["TV", "OLED"]
+    assert sorted((r.key, r.value) for r in df.select(json_entries("props")).collect()) == [("a", "1"), ("b", "x")]
