@@ -33,6 +33,18 @@ def load_prices_latest(prices: DataFrame, skus=None, key: str = "sku",
     return key_filter(latest_snapshot(prices, ts), key, skus)
 
 
+def load_day_last_snapshot(prices: DataFrame, day, skus=None, key: str = "sku",
+                           ts: str = "fetched_at") -> DataFrame:
+    """Rows of the last run of calendar ``day`` (empty if the day has none).
+
+    The day bounds prune the store's ``year/month/day`` partitions before
+    the maximum is taken, so only that day's files are read."""
+    import datetime as _dt
+    d = _dt.date.fromisoformat(str(day)[:10])
+    day_rows = time_range(prices, ts, f"{d} 00:00:00", f"{d} 23:59:59.999999")
+    return key_filter(latest_snapshot(day_rows, ts), key, skus)
+
+
 def load_prices(prices: DataFrame, start=None, end=None, skus=None, key: str = "sku",
                 ts: str = "fetched_at", sort: bool = True) -> DataFrame:
     """Price rows with ``ts`` in ``[start, end]``, optionally for ``skus``."""
