@@ -68,28 +68,36 @@ def key_filter(df: DataFrame, key: str, keys: Sequence[str] | DataFrame | None,
     return df.where(F.col(key).isin(keys))
 
 
+def _scalar(df: DataFrame, expr):
+    """One value computed by a small job (a bounded result, not data)."""
+    return df.select(expr.alias("v")).first()["v"]
+
+
 def latest_snapshot(df: DataFrame, ts: str) -> DataFrame:
     """Rows of the most recent run: ``ts = max(ts)`` over the whole table.
 
     The maximum is global, not per key: keys missing from the last run
-    drop out.  On a partitioned table the newest ``year/month/day``
-    partition is found first (a partition-column-only aggregate), so the
-    timestamp maximum and the final scan read only that day's files.
+    drop out.  It is resolved first (one small job) and applied as a
+    literal, so the filter is pushed into the parquet scan (row groups
+    whose ``ts`` range excludes it are skipped).  On a partitioned table the
+    newest ``year/month/day`` partition is found from partition values
+    alone, so both the maximum and the final scan read only that day.
     """
     pkey = _partition_key(df)
-    if pkey is None:
-        return df.where(F.col(ts) == df.select(F.max(ts)).scalar())
-    last_day = df.select(F.max(pkey)).scalar()
-    day_rows = df.where(pkey == last_day)
-    return day_rows.where(F.col(ts) == day_rows.select(F.max(ts)).scalar())
+    if pkey is not None:
+        last_day = _scalar(df, F.max(pkey))
+        df = df.where(pkey == F.lit(last_day))
+    newest = _scalar(df, F.max(ts))
+    return df.where(F.col(ts) == F.lit(newest).cast(df.schema[ts].dataType))
 
 
 def previous_snapshot(df: DataFrame, ts: str, older_than: str = "1 day") -> DataFrame:
     """Rows of the last run more than ``older_than`` before the latest run."""
-    latest = df.select(F.max(ts)).scalar()
-    bound = latest - F.expr(f"INTERVAL {older_than}")
-    prev = df.where(F.col(ts) < bound).select(F.max(ts)).scalar()
-    return df.where(F.col(ts) == prev)
+    dtype = df.schema[ts].dataType
+    latest = _scalar(df, F.max(ts))
+    bound = F.lit(latest).cast(dtype) - F.expr(f"INTERVAL {older_than}")
+    prev = _scalar(df.where(F.col(ts) < bound), F.max(ts))
+    return df.where(F.col(ts) == F.lit(prev).cast(dtype))
 
 
 def updated_since(recs: DataFrame, since, col: str = "itemUpdateDate") -> DataFrame:

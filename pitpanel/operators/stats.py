@@ -39,13 +39,14 @@ def histogram(df: DataFrame, col: str, bins: int = 80, positive_only: bool = Tru
     """Equal-width histogram of ``col`` between its min and max.
 
     Rows: ``bin`` (0-based), ``bin_lo``, ``bin_hi``, ``n`` for non-empty
-    bins; the last bin is closed on the right.  The bounds are one scalar
-    subquery, the counting one partially aggregated group-by.
+    bins; the last bin is closed on the right.  The bounds are resolved by
+    one small job and used as literals; the counting is one partially
+    aggregated group-by.
     """
     x = F.col(col)
     d = df.where(x.isNotNull() & (x > 0)) if positive_only else df.where(x.isNotNull())
-    bounds = d.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
+    b = d.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()   # two numbers
+    lo, hi = F.lit(b["lo"]).cast("double"), F.lit(b["hi"]).cast("double")
     width = (hi - lo) / F.lit(float(bins))
     raw = F.floor((x - lo) / (hi - lo) * F.lit(float(bins))).cast("long")
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("long")
@@ -125,8 +126,11 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
     if by:
         j = d.join(bounds, on=by, how="inner")      # one row per group; AQE broadcasts it when small
     else:
-        s = bounds.select(F.struct("__lo", "__hi", "__pos")).scalar()
-        j = d.select("__x", s["__lo"].alias("__lo"), s["__hi"].alias("__hi"), s["__pos"].alias("__pos"))
+        # one group: its three bounds are resolved by a small job, then literals
+        s = bounds.first()
+        j = d.select("__x", F.lit(s["__lo"]).cast("double").alias("__lo"),
+                     F.lit(s["__hi"]).cast("double").alias("__hi"),
+                     F.lit(s["__pos"]).cast("double").alias("__pos"))
     x, lo, hi = F.col("__x"), F.col("__lo"), F.col("__hi")
     cls = F.when(x < lo, -1).when(x <= hi, 0).otherwise(1)
     classes = j.groupBy(*by, "__pos", cls.alias("__cls"), F.when(cls == 0, x).alias("__xb")) \
