@@ -82,15 +82,19 @@ def fx_metadata_current(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_type").alias("department"), F.col("p_size").alias("size")))
 
 
-def fx_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pipeline runs: one per (day, event type); 'error' events are failed runs."""
+def fx_runs(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """Pipeline runs: one per (day, event type); 'error' events are failed runs.
+
+    ``stored=True`` writes the (one row per run) table once, as run logs are
+    stored files in a real panel; reports that read it many times scan it."""
     ev = table(spark, sf_dir, "events")
-    return (ev.groupBy(floor_to("ts", "day").alias("run_day"), F.col("event_type").alias("run_id"))
+    runs = (ev.groupBy(floor_to("ts", "day").alias("run_day"), F.col("event_type").alias("run_id"))
             .agg(F.min("ts").alias("started_at"), F.max("ts").alias("finished_at"),
                  F.count(F.lit(1)).alias("products_fetched"),
                  F.count_if(F.col("value") > 50).alias("metadata_changed_rows"),
                  F.count_distinct("user_id").alias("api_calls"))
             .withColumn("status", F.when(F.col("run_id") == "error", "error").otherwise("ok")))
+    return materialize(runs, "fx-runs") if stored else runs
 
 
 def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -347,6 +347,13 @@ def daily_rollup_q(spark, sf):
     return daily_rollup(fx.fx_runs(spark, sf))
 
 
+def _day_after_last_run(runs):
+    """'Today' for the fixture runs: the day after the last run (all days complete)."""
+    import datetime as dt
+    last = runs.agg(F.max("run_day")).first()[0]
+    return (last + dt.timedelta(days=1)).date().isoformat() if last else None
+
+
 def _health(spark, sf):
     from pitpanel.operators.monitor import catalog_health
     return catalog_health(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
@@ -368,9 +375,8 @@ def catalog_health_q(spark, sf):
 def alerts_q(spark, sf):
     """MON1-MON4 + WIN3: alert rows for runs and catalog size."""
     from pitpanel.operators.monitor import alerts
-    runs = fx.fx_runs(spark, sf)
-    today = runs.select(F.max("run_day")).scalar() + F.expr("INTERVAL 1 DAY")
-    out = alerts(runs, _health(spark, sf), today=today, expected_runs=6)
+    runs = fx.fx_runs(spark, sf, stored=True)
+    out = alerts(runs, _health(spark, sf), today=_day_after_last_run(runs), expected_runs=6)
     return out.select(F.col("run_day").alias("day"), "alert", _r("value").alias("value"))
 
 
@@ -378,9 +384,8 @@ def alerts_q(spark, sf):
 def report_lines_q(spark, sf):
     """MON6: daily report lines (header, alerts, run table)."""
     from pitpanel.operators.monitor import alerts, report_lines
-    runs = fx.fx_runs(spark, sf)
-    today = runs.select(F.max("run_day")).scalar() + F.expr("INTERVAL 1 DAY")
-    return report_lines(runs, alerts(runs, today=today, expected_runs=6))
+    runs = fx.fx_runs(spark, sf, stored=True)
+    return report_lines(runs, alerts(runs, today=_day_after_last_run(runs), expected_runs=6))
 
 
 # ---------------------------------------------------------------- audits
