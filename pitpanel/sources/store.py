@@ -70,8 +70,10 @@ class PanelStore:
         df = self._read(rel, _with(schema, _VERSION))
         if before is not None:
             df = df.where(F.col("version") < before)
-        newest = df.select(F.max("version")).scalar()
-        return df.where(F.col("version") == newest).drop("version")
+        # the newest version id comes from partition values alone; as a
+        # literal it prunes the scan to that version's directory
+        newest = df.select(F.max("version")).first()[0]
+        return df.where(F.col("version") == F.lit(newest)).drop("version")
 
     def latest_version(self, rel: str) -> str | None:
         """Newest ``version`` id of a full-state table (None if absent)."""
