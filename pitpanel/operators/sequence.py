@@ -47,7 +47,6 @@ _IN = "__pp_in"
 _C = "__pp_carry"
 _HAS = "__pp_has_left"
 _BL = "__pp_bucket_edge"
-_RN = "__pp_rn"
 
 
 def time_bucket(ts: str | Column, bucket_days: int) -> Column:
