@@ -172,7 +172,7 @@ def scd2_index(spark, sf):
 def _step_inputs(spark, sf):
     from pitpanel.operators.scd import build_index
     snaps = fx.fx_hashed_snapshots(spark, sf)
-    last = snaps.select(F.max("observed_at")).scalar()
+    last = F.lit(snaps.agg(F.max("observed_at")).first()[0]).cast("timestamp_ntz")
     current = snaps.where(F.col("observed_at") == last)
     index = build_index(snaps.where(F.col("observed_at") < last))
     return current, index
@@ -223,7 +223,7 @@ def dept_volatility(spark, sf):
     """AGG12 + AGG4 + AGG2 + FLT10: sale-price stddev and distinct keys per
     department over the trailing year before the latest run."""
     prices = fx.fx_prices(spark, sf)
-    now = prices.select(F.max("fetched_at")).scalar()
+    now = F.lit(prices.agg(F.max("fetched_at")).first()[0]).cast("timestamp_ntz")
     recent = prices.where(F.col("fetched_at") >= now - F.expr("INTERVAL 365 DAYS"))
     cur = fx.fx_metadata_current(spark, sf).select("sku", "department")
     from pitpanel.operators.joins import maybe_broadcast
