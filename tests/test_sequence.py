@@ -122,3 +122,19 @@ def test_point_in_time_strategies_agree_with_brute_force(spark, strategy):
         best = max(c) if c else None
         want.append((pid, best[2] if best else None, best[0] if best else None))
     assert got == sorted(want)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 40)), min_size=1, max_size=25)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=_rows, right=_rows, strict=st.booleans(), bucket=st.sampled_from([1, 3, 10, 100]))
+def test_asof_property(spark, left, right, strict, bucket):
+    L = [(k, _ts(d // 4, (d % 4) * 6), i) for i, (k, d) in enumerate(left)]
+    R = [(k, _ts(d // 4, (d % 4) * 6), i, f"v{i}") for i, (k, d) in enumerate(right)]
+    got = run_asof(spark, L, R, strict, bucket)
+    want = brute_asof(L, [x for x in R if x[0] is not None], strict)
+    assert got == want
