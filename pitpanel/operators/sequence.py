@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 # Bucket width: bounds the rows of one key that one task orders (about 120
 # at four runs a day) and the buckets a key's summary spans (about 120 over
-# ten years).  Coarser data (monthly runs) can use wider buckets.
+# ten years).  Coarser data (monthly runs) can use wider buckets; pass
+# bucket_days="auto" to derive the width from the data's density.
 DEFAULT_BUCKET_DAYS = 30
 
 _B = "__pp_bucket"
@@ -59,6 +60,30 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def suggest_bucket_days(df: DataFrame, keys: str | Sequence[str], ts: str,
+                        rows_per_bucket: int = 128, max_days: int = 3660) -> int:
+    """A bucket width giving about ``rows_per_bucket`` rows of a key per bucket.
+
+    One aggregate: row count, an approximate distinct key count (HyperLogLog,
+    partial per task) and the time span in days; the density of an average
+    key decides the width.  The width only tunes task sizes -- results are
+    exact for any width.
+    """
+    keys = _as_list(keys)
+    key = F.struct(*[_q(k) for k in keys]) if len(keys) > 1 else _q(keys[0])
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(key).alias("k"),
+               F.min(F.unix_date(F.to_date(_q(ts)))).alias("d0"),
+               F.max(F.unix_date(F.to_date(_q(ts)))).alias("d1")).first()
+    if not r["n"] or not r["k"] or r["d0"] is None:
+        return DEFAULT_BUCKET_DAYS
+    per_key_per_day = r["n"] / r["k"] / (r["d1"] - r["d0"] + 1)
+    return int(min(max(round(rows_per_bucket / max(per_key_per_day, 1e-9)), 1), max_days))
+
+
+def _width(df: DataFrame, keys, ts: str, bucket_days) -> int:
+    return suggest_bucket_days(df, keys, ts) if bucket_days == "auto" else int(bucket_days)
+
+
 def _as_list(x: str | Sequence[str] | None) -> list[str]:
     if x is None:
         return []
@@ -69,7 +94,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
               left_ts: str, right_ts: str,
               right_cols: Sequence[str] | dict[str, str],
               *, strict: bool = False, tiebreak: str | Sequence[str] | None = None,
-              bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
+              bucket_days: int | str = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Left as-of join.
 
     Every ``left`` row is kept once and gets the ``right`` row of the same
@@ -102,7 +127,9 @@ def asof_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                     F.lit(1).alias(_S), F.lit(left_ord).alias(_O),
                     F.lit(None).cast(r.schema[_TB].dataType).alias(_TB),
                     F.lit(None).cast(m_type).alias(_M))
-    u = l.unionByName(r, allowMissingColumns=True).withColumn(_B, time_bucket(_T, bucket_days))
+    u = l.unionByName(r, allowMissingColumns=True)
+    bucket_days = _width(u, keys, _T, bucket_days)
+    u = u.withColumn(_B, time_bucket(_T, bucket_days))
 
     # inside (key, bucket): running "last right row so far"
     ordered = (Window.partitionBy(*[_q(k) for k in keys], _q(_B))
@@ -134,7 +161,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
 def with_neighbor(df: DataFrame, keys: str | Sequence[str], ts: str,
                   cols: Sequence[str], *, direction: str = "prev",
                   tiebreak: str | Sequence[str] | None = None,
-                  bucket_days: int = DEFAULT_BUCKET_DAYS, out: str = "neighbor") -> DataFrame:
+                  bucket_days: int | str = DEFAULT_BUCKET_DAYS, out: str = "neighbor") -> DataFrame:
     """Add struct column ``out`` holding ``cols`` of the previous
     (``direction="prev"``) or next (``"next"``) row of the same key in
     ``(ts, tiebreak)`` order; null when there is none.  A row whose key is
@@ -147,6 +174,7 @@ def with_neighbor(df: DataFrame, keys: str | Sequence[str], ts: str,
         raise ValueError("direction must be 'prev' or 'next'")
     keys = _as_list(keys)
     order = [_q(ts), *[_q(c) for c in _as_list(tiebreak)]]
+    bucket_days = _width(df, keys, ts, bucket_days)
     d = (df.withColumn(_V, F.struct(*[_q(c) for c in cols]))
          .withColumn(_B, time_bucket(ts, bucket_days)))
     ordered = Window.partitionBy(*[_q(k) for k in keys], _q(_B)).orderBy(*order)

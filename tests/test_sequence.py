@@ -138,3 +138,14 @@ def test_asof_property(spark, left, right, strict, bucket):
     got = run_asof(spark, L, R, strict, bucket)
     want = brute_asof(L, [x for x in R if x[0] is not None], strict)
     assert got == want
+
+
+def test_auto_bucket_width(spark):
+    from pitpanel.operators.sequence import suggest_bucket_days
+    # 10 keys, one row per key every 6 hours for 200 days -> 4 rows/key/day -> 32-day buckets
+    rows = [(str(k), _ts(d, h)) for k in range(10) for d in range(200) for h in (0, 6, 12, 18)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz").withColumn("v", F.lit(1))
+    assert 28 <= suggest_bucket_days(df, "k", "t") <= 36
+    a = with_neighbor(df, "k", "t", ["t"], bucket_days="auto", out="p")
+    b = with_neighbor(df, "k", "t", ["t"], bucket_days=1, out="p")
+    assert sorted((r.k, r.t, r.p) for r in a.collect()) == sorted((r.k, r.t, r.p) for r in b.collect())
