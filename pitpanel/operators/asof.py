@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, row_bytes
-from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS, asof_join, time_bucket, with_neighbor
+from pitpanel.operators.sequence import (DEFAULT_BUCKET_DAYS, asof_join, suggest_bucket_days,
+                                        time_bucket, with_neighbor)
 
 
 def _q(name: str):
@@ -68,7 +69,8 @@ def interval_tables_fit(history: DataFrame, key: str, meta_ts: str, columns: Seq
 def point_in_time(prices: DataFrame, history: DataFrame, columns: Sequence[str],
                   key: str = "sku", price_ts: str = "fetched_at", meta_ts: str = "observed_at",
                   observed_alias: str = "metadata_observed_at",
-                  tiebreak: Sequence[str] = ("content_hash",), bucket_days: int = DEFAULT_BUCKET_DAYS,
+                  tiebreak: Sequence[str] = ("content_hash",),
+                  bucket_days: int | str = DEFAULT_BUCKET_DAYS,
                   strategy: str = "auto", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Every price row with the history row of its key having the greatest
@@ -85,6 +87,11 @@ def point_in_time(prices: DataFrame, history: DataFrame, columns: Sequence[str],
     tb = [c for c in tiebreak if c in history.columns]
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError("strategy must be 'auto', 'broadcast' or 'shuffle'")
+    shuffle_width = bucket_days
+    if bucket_days == "auto":
+        # broadcast plan: few versions of a key per bucket keep the candidate
+        # intervals per price row small
+        bucket_days = suggest_bucket_days(history, key, meta_ts, rows_per_bucket=8)
     if strategy != "shuffle" and (strategy == "broadcast" or interval_tables_fit(
             history, key, meta_ts, [*columns, *tb], bucket_days, broadcast_rows, broadcast_bytes)):
         payload = F.struct(*[_q(src).alias(dst) for src, dst in wanted.items()])
@@ -103,4 +110,4 @@ def point_in_time(prices: DataFrame, history: DataFrame, columns: Sequence[str],
         return j.select(*[p[f"`{c}`"] for c in prices.columns],
                         *[m[dst].alias(dst) for dst in wanted.values()])
     return asof_join(prices, history, key, price_ts, meta_ts, wanted,
-                     tiebreak=tb or None, bucket_days=bucket_days)
+                     tiebreak=tb or None, bucket_days=shuffle_width)

@@ -102,8 +102,9 @@ def test_null_key_rows_have_no_neighbour(spark):
     assert got == {1: None, 2: None, 3: None, 4: 3}
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "auto"])
-def test_point_in_time_strategies_agree_with_brute_force(spark, strategy):
+@pytest.mark.parametrize("strategy,width", [("broadcast", 7), ("shuffle", 7), ("auto", 7),
+                                            ("broadcast", "auto"), ("shuffle", "auto")])
+def test_point_in_time_strategies_agree_with_brute_force(spark, strategy, width):
     from pitpanel.operators.asof import point_in_time
     rnd = random.Random(11)
     prices = [(rnd.choice("aaaabcd"), _ts(rnd.randrange(90), rnd.randrange(24)), i) for i in range(400)]
@@ -115,7 +116,7 @@ def test_point_in_time_strategies_agree_with_brute_force(spark, strategy):
     p = spark.createDataFrame(prices, "sku string, fetched_at timestamp_ntz, pid long")
     h = spark.createDataFrame(hist, "sku string, observed_at timestamp_ntz, color string, content_hash string")
     got = sorted((r.pid, r.color, r.metadata_observed_at)
-                 for r in point_in_time(p, h, ["color"], bucket_days=7, strategy=strategy).collect())
+                 for r in point_in_time(p, h, ["color"], bucket_days=width, strategy=strategy).collect())
     want = []
     for k, t, pid in prices:
         c = [(ht, hh, col) for hk, ht, col, hh in hist if hk == k and ht <= t]
