@@ -9,6 +9,13 @@ health rollups.  Everything is lazy DataFrame code; nothing is collected
 to the driver except bounded, explicitly sized values.
 """
 
-from pitpanel.session import build_session, checkpoint_dir
+from pitpanel.plans.loaders import (load_day_last_snapshot, load_metadata_at, load_metadata_current,
+                                    load_panel, load_panel_historical, load_prices, load_prices_latest)
+from pitpanel.session import build_session, checkpoint_dir, materialize
+from pitpanel.sources.store import PanelStore
 
-__all__ = ["build_session", "checkpoint_dir"]
+__all__ = [
+    "PanelStore", "build_session", "checkpoint_dir", "materialize",
+    "load_prices_latest", "load_prices", "load_day_last_snapshot", "load_metadata_current",
+    "load_metadata_at", "load_panel", "load_panel_historical",
+]
