@@ -155,3 +155,20 @@ def as_of_many(history: DataFrame, moments: Sequence, columns: Sequence[str],
                       for i, m in enumerate(moments)])
     long = wide.select(_q(key), F.inline(pairs)).where(F.col("v").isNotNull())
     return long.select(_q(key), _q(out_ts), *[F.col("v")[c].alias(c) for c in [ts, *columns]])
+
+
+def drifted_keys(history: DataFrame, moments: Sequence, columns: Sequence[str],
+                 key: str = "sku", ts: str = "observed_at",
+                 tiebreak: Sequence[str] = ("content_hash",)) -> DataFrame:
+    """Keys whose ``columns`` differ between the states as of ``moments``.
+
+    Rows ``key, n_states, first_as_of, last_as_of``: the number of distinct
+    attribute states seen across the moments (> 1) and the first and last
+    moment at which the key existed.  Built on :func:`as_of_many`, then one
+    grouped aggregation per key.
+    """
+    states = as_of_many(history, moments, columns, key=key, ts=ts, tiebreak=tiebreak)
+    g = states.groupBy(_q(key)).agg(
+        F.count_distinct(F.struct(*[_q(c) for c in columns])).alias("n_states"),
+        F.min("as_of").alias("first_as_of"), F.max("as_of").alias("last_as_of"))
+    return g.where(F.col("n_states") > 1)

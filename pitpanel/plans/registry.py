@@ -119,6 +119,13 @@ def attribute_drift(spark, sf):
     return as_of_many(fx.fx_history(spark, sf), DRIFT_DATES, ATTRS)
 
 
+@query("drifted_keys")
+def drifted_keys_q(spark, sf):
+    """WIN2: keys whose class or department changed across the drift dates."""
+    from pitpanel.operators.scd import drifted_keys
+    return drifted_keys(fx.fx_history(spark, sf), DRIFT_DATES, ATTRS)
+
+
 @query("panel_current")
 def panel_current(spark, sf):
     """JN1 + PRJ7: prices LEFT JOIN current attributes."""
