@@ -102,10 +102,12 @@ def build_index(log: DataFrame, key: str = "sku", ts: str = "observed_at",
     """``key, last hash, first_seen = min(ts), last_seen = max(ts)``.
 
     Built from a change log it gives first/last *change*; from snapshots,
-    first/last *sighting* -- the index a run-by-run fold would leave.
+    first/last *sighting* -- the index a run-by-run fold would leave.  Rows
+    sharing the last timestamp are ordered by hash, so the result is
+    deterministic.
     """
     return (log.groupBy(_q(key))
-            .agg(F.max_by(_q(hash_col), _q(ts)).alias(hash_col),
+            .agg(F.max_by(_q(hash_col), F.struct(_q(ts), _q(hash_col))).alias(hash_col),
                  F.min(_q(ts)).alias("first_seen"),
                  F.max(_q(ts)).alias("last_seen")))
 
