@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.operators.joins import provably_small
+from pitpanel.operators.joins import maybe_broadcast, provably_small
 
 
 def top_k(df: DataFrame, by: str, k: int, tiebreak: Sequence[str] = ("sku",),
@@ -124,7 +124,11 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
                            F.element_at("__q", k + kk).alias("__hi"),
                            ((F.col("__n") - 1) * F.lit(float(p))).alias("__pos"))
     if by:
-        j = d.join(bounds, on=by, how="inner")      # one row per group; AQE broadcasts it when small
+        # one row per group: computed once (the sketch pass), then broadcast
+        # behind the size proof; beyond it a shuffle join (AQE splits a hot group)
+        from pitpanel.session import materialize
+        bounds = materialize(bounds, "percentile-bounds")
+        j = d.join(maybe_broadcast(bounds), on=by, how="inner")
     else:
         # one group: its three bounds are resolved by a small job, then literals
         s = bounds.first()
