@@ -45,12 +45,12 @@ def histogram(df: DataFrame, col: str, bins: int = 80, positive_only: bool = Tru
     """
     x = F.col(col)
     d = df.where(x.isNotNull() & (x > 0)) if positive_only else df.where(x.isNotNull())
-    b = d.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()   # two numbers
-    lo, hi = F.lit(b["lo"]).cast("double"), F.lit(b["hi"]).cast("double")
+    extent = d.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()   # two numbers
+    lo, hi = F.lit(extent["lo"]).cast("double"), F.lit(extent["hi"]).cast("double")
     width = (hi - lo) / F.lit(float(bins))
     raw = F.floor((x - lo) / (hi - lo) * F.lit(float(bins))).cast("long")
-    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("long")
-    counts = d.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bin_of = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("long")
+    counts = d.groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return counts.select("bin", (lo + F.col("bin") * width).alias("bin_lo"),
                          (lo + (F.col("bin") + 1) * width).alias("bin_hi"), "n")
 
