@@ -15,7 +15,10 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     root = root.rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", glob).load(root))
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + root.split("://")[-1].replace(".", r"\.") + "/", "")
+    # strip everything up to and including the root (quoted literally, so
+    # any character in the path is safe; the scheme prefix may differ)
+    bare = root.split("://")[-1].split(":", 1)[-1] if root.startswith("file:") else root.split("://")[-1]
+    rel = F.regexp_replace(F.col("path"), r"^.*?\Q" + bare + r"\E/", "")
     return files.select(rel.alias("path"), F.split(rel, "/").getItem(0).alias("prefix"),
                         "length", F.col("modificationTime").alias("modified"))
 
