@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pitpanel.operators.joins import maybe_broadcast
 
 PARTITION_COLS = ("year", "month", "day")
+MAX_IN_LIST = 10_000       # longer key lists are joined, not inlined
 
 
 def _ts_literal(value, dtype: T.DataType):
@@ -65,6 +66,12 @@ def key_filter(df: DataFrame, key: str, keys: Sequence[str] | DataFrame | None,
     keys = [str(k) for k in keys]
     if not keys:
         return df
+    if len(keys) > MAX_IN_LIST:
+        # a very long literal list bloats every plan it appears in; as a
+        # (provably small) frame it becomes a broadcast semi join instead
+        spark = df.sparkSession
+        frame = spark.createDataFrame([(k,) for k in sorted(set(keys))], f"`{key}` string")
+        return df.join(maybe_broadcast(frame, max_broadcast_rows), on=key, how="left_semi")
     return df.where(F.col(key).isin(keys))
 
 

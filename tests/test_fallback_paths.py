@@ -49,3 +49,26 @@ def test_key_filter_with_key_frame_without_broadcast(spark):
     a = key_filter(p, "sku", keys, max_broadcast_rows=0)
     b = key_filter(p, "sku", keys)
     assert rows(a) == rows(b) and a.count() < p.count()
+
+
+def test_long_key_list_becomes_semi_join(spark):
+    p = fx.fx_prices(spark, SF)
+    keys = [str(k) for k in range(1, 20_001)]
+    a = key_filter(p, "sku", keys)
+    assert "LeftSemi" in _plan(a) or "LeftSemi" in str(a._jdf.queryExecution().optimizedPlan())
+    b = p.where(F.col("sku").cast("long").between(1, 20_000))
+    assert rows(a) == rows(b)
+
+
+def test_relative_prices_rejects_duplicate_cells(spark):
+    import pytest
+    from pitpanel.operators.reshape import relative_prices
+    P = "sku string, fetched_at timestamp_ntz, sale_price double"
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    prices = spark.createDataFrame([("a", t, 1.0), ("a", t, 2.0), ("b", t, 4.0)], P)
+    choice = spark.createDataFrame([("a", 1), ("b", 2)], "sku string, rank int")
+    with pytest.raises(Exception, match="duplicate cell"):
+        relative_prices(prices, choice, 2).collect()
+    ok = relative_prices(prices.where("sale_price <> 2.0"), choice, 2).first()
+    assert (ok.p1, ok.p2, ok.rel_2) == (1.0, 4.0, 4.0)
