@@ -10,6 +10,12 @@ hash index.  Layout under a data root (any Hadoop path)::
 Full-state tables are never overwritten in place (a reader of the old
 files would fail); each run writes a new ``version`` partition and readers
 take the newest one -- a partition filter, so only that version is read.
+
+Data in the original single-machine layout reads as well: one parquet file
+per run directly under ``prices/year=/month=/day=``, history files named
+``day=DD.parquet`` under ``year=/month=``, and unversioned current / index
+files.  Missing partition columns read as null and the readers fall back
+accordingly.
 """
 
 from __future__ import annotations
@@ -73,6 +79,9 @@ class PanelStore:
         # the newest version id comes from partition values alone; as a
         # literal it prunes the scan to that version's directory
         newest = df.select(F.max("version")).first()[0]
+        if newest is None:
+            # an unversioned table (a single file overwritten per run)
+            return df.drop("version")
         return df.where(F.col("version") == F.lit(newest)).drop("version")
 
     def latest_version(self, rel: str) -> str | None:
