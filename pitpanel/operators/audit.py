@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.operators.sequence import with_neighbor
 from pitpanel.operators.stats import exact_median
+from pitpanel.session import materialize
 
 _ALL = "__all"
 
@@ -59,7 +60,8 @@ def run_overlap(prices: DataFrame, key: str = "sku", ts: str = "fetched_at") ->
     one row per run; the overlap is an equi-join on ``(key, run)`` where
     both sides are unique, so there is no fan-out.
     """
-    sizes = prices.groupBy(ts).agg(F.count(F.lit(1)).alias("n_keys"))
+    # one row per run: written once, then read by both neighbour branches
+    sizes = materialize(prices.groupBy(ts).agg(F.count(F.lit(1)).alias("n_keys")), "run-sizes")
     seq = with_neighbor(sizes.withColumn(_ALL, F.lit(0)), _ALL, ts, [ts, "n_keys"],
                         direction="prev", bucket_days=366, out="__p")
     pairs = seq.select(ts, F.col("__p")[ts].alias("prev_ts"), "n_keys",
