@@ -36,7 +36,7 @@ def panel_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- helpers
 GRID = 2.0 ** 20     # float aggregates are quantised to 2^-20 (see oracle module)
-TOP_K = 5            # choice set of the relative-price matrix (notebook's GARP hook)
+TOP_K = 5            # size of the relative-price choice set (most-reviewed keys)
 DRIFT_DATES = ("1994-01-01", "1996-01-01", "1998-01-01")
 AS_OF = "1998-01-01"
 RANGE = ("1995-01-01", "1995-12-31")
