@@ -83,3 +83,23 @@ def test_json_paths_on_arrays_and_entries(spark):
     names = [r.col.name for r in df.select(json_items("categoryPath", "struct<name:string,id:string>")).collect()]
     assert names == ["TV", "OLED"]
     assert sorted((r.key, r.value) for r in df.select(json_entries("props")).collect()) == [("a", "1"), ("b", "x")]
+
+
+def test_time_helpers(spark):
+    import datetime as dt
+    from pitpanel.functions.timeparts import partition_parts, run_stamp, seconds_between
+    df = spark.createDataFrame([(dt.datetime(2026, 4, 22, 7, 50, 57, 123456), dt.datetime(2026, 4, 22, 8, 1, 58))],
+                               "s timestamp_ntz, f timestamp_ntz")
+    r = df.select(*partition_parts("s"), run_stamp(F.col("s").cast("timestamp")).alias("stamp"),
+                  seconds_between("s", "f").alias("d"), floor_to("s", "hour").alias("h"),
+                  floor_to("s", "year").alias("y"), floor_to("s", "week").alias("w")).first()
+    assert (r.year, r.month, r.day) == (2026, 4, 22)
+    assert r.stamp == "2026-04-22T07-50-57Z"
+    assert abs(r.d - 660.876544) < 1e-9
+    assert r.h == dt.datetime(2026, 4, 22, 7) and r.y == dt.datetime(2026, 1, 1)
+    assert r.w == dt.datetime(2026, 4, 20)            # Monday of that week
+
+
+def test_canonical_json_nested_arrays(spark):
+    df = spark.createDataFrame([('[{"z": [3, {"b": 2, "a": 1}], "y": null}]',)], "s string")
+    assert df.select(canonical_json("s")).first()[0] == '[{"y":null,"z":[3,{"a":1,"b":2}]}]'
