@@ -39,6 +39,15 @@ def run_stamp(ts: str | Column) -> Column:
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH-mm-ss'Z'")
 
 
+def stamp_to_timestamp(stamp: str | Column) -> Column:
+    """Run identifier ``yyyy-MM-ddTHH-mm-ssZ`` -> the UTC instant, independent
+    of the session time zone."""
+    c = _col(stamp)
+    part = lambda a, n: F.substring(c, a, n).cast("int")
+    return F.make_timestamp(part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2),
+                            part(18, 2).cast("decimal(16,6)"), F.lit("UTC"))
+
+
 def parse_iso(text: str | Column) -> Column:
     """ISO-8601 text -> timestamp; accepts ``T`` or space, ``Z`` or an
     offset, fractional seconds; unparsable -> null."""

@@ -102,3 +102,26 @@ def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select("event_id", F.col("user_id").cast("string").alias("sku"),
                      F.col("ts").alias("observed_at"), "event_type", "value", "props")
+
+
+def land_fixture_pages(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """Write the quarterly snapshots as landed API pages, one run per
+    quarter: envelopes of at most 100 consecutive keys (``sku // 100``, so
+    no group grows with the catalog), one envelope per line, under
+    ``landing/run=<stamp>/``."""
+    from pitpanel import schemas
+    from pitpanel.functions.timeparts import run_stamp
+    snaps = fx_snapshots(spark, sf_dir)
+    present = {"sku": F.col("sku").cast("long"), "class": F.col("class"),
+               "department": F.col("department"), "active": F.lit(True)}
+    record = F.struct(*[(present[n] if n in present else F.lit(None).cast(t)).alias(n)
+                        for n, t in ((f.name, f.dataType) for f in schemas.RAW_RECORD.fields)])
+    recs = snaps.select(run_stamp(F.col("observed_at").cast("timestamp")).alias("run"),
+                        (F.col("sku").cast("long") / 100).cast("long").alias("page"),
+                        record.alias("rec"))
+    pages = recs.groupBy("run", "page").agg(F.collect_list("rec").alias("products"),
+                                            F.count(F.lit(1)).alias("n"))
+    totals = pages.groupBy("run").agg(F.count(F.lit(1)).alias("totalPages"), F.sum("n").alias("total"))
+    env = pages.join(totals, on="run").select(
+        "run", (F.col("page") + 1).alias("currentPage"), "totalPages", "total", "products")
+    env.write.mode("overwrite").partitionBy("run").json(landing)

@@ -535,3 +535,20 @@ def json_each_q(spark, sf):
     """§2.12: key/value pairs of JSON objects held as text."""
     from pitpanel.functions.canonical import json_entries
     return fx.fx_raw(spark, sf).select("event_id", json_entries("props"))
+
+
+@query("intake_stream_history")
+def intake_stream_history(spark, sf):
+    """ING1 + STR1: the quarterly snapshots landed as API pages, ingested by
+    the Structured Streaming intake; its change log equals the fixture's."""
+    import uuid
+    from pitpanel.session import checkpoint_dir
+    from pitpanel.sources.store import PanelStore
+    from pitpanel.streaming.intake import stream_intake
+    base = f"{checkpoint_dir(spark).rstrip('/')}/pitpanel-intake-{uuid.uuid4().hex}"
+    fx.land_fixture_pages(spark, sf, f"{base}/landing")
+    stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/stream-checkpoint",
+                  multiline=False).awaitTermination()
+    h = PanelStore(spark, f"{base}/panel").history()
+    return h.select("sku", F.to_timestamp_ntz(F.col("run"), F.lit("yyyy-MM-dd'T'HH-mm-ss'Z'")).alias("observed_at"),
+                    "class", "department")
