@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pitpanel.session import materialize
 
 BLOCK_BYTES = 4 << 20
+KINDS = 4        # a block's id modulo this is its kind
 BLOCK_SCHEMA = "block long, kind int, ids array<long>, sizes array<long>, n_bytes long, payload binary"
 EXCHANGE_SCHEMA = "part int, block long, n long, payload binary"
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(),
@@ -72,7 +73,7 @@ def pack_blocks(batches, block_bytes: int):
         ids, texts, _ = waiting.pop(kind)
         joined = b"".join(texts)
         out = pa.RecordBatch.from_arrays(
-            [pa.array([base + made], pa.int64()), pa.array([kind], pa.int32()), pa.array([ids], pa.list_(pa.int64())),
+            [pa.array([(base + made) * KINDS + kind], pa.int64()), pa.array([kind], pa.int32()), pa.array([ids], pa.list_(pa.int64())),
              pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([len(joined)], pa.int64()),
              pa.array([pa.compress(joined, codec="zstd", asbytes=True)], pa.binary())], schema=schema)
         made += 1
