@@ -80,8 +80,8 @@ def pack_blocks(batches, block_bytes: int):
         return out
 
     for batch in batches:
-        for i, t, kind in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-            t = t.as_buffer().to_pybytes() if t.is_valid else b""
+        for i, t, kind in zip(*(c.to_pylist() for c in batch.columns)):
+            t = t or b""
             ids, texts, size = waiting.get(kind, ([], [], 0))
             if texts and size + len(t) > block_bytes:
                 yield row(kind)
