@@ -25,6 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_VALUES = mix(np.arange(1, 257, dtype=U) * U(0xA24BAED4963EE407))
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
+NOT_LETTERS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])    # any byte beyond ASCII is a letter
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -70,9 +71,9 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1:width - 1 + n])
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray,
+def word_hashes(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray = SPACES,
                 chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of documents stored end to end.
+    """Words (``[^\\x20\\x09-\\x0D]+`` by default) of documents stored end to end.
 
     ``data`` holds the bytes, document ``i`` is ``data[bounds[i]:bounds[i+1]]``.
     Returns each word's hash, first byte, end byte, and the first word's index
@@ -86,7 +87,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray,
         j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + chunk, side="right")) - 1)
         lo, hi = int(bounds[i]), int(bounds[j])
         part = data[lo:hi]
-        inside = ~SPACES[part]
+        inside = ~separators[part]
         before = np.zeros(len(part), dtype=bool)
         before[1:] = inside[:-1]
         cuts = bounds[i:j] - lo
@@ -106,3 +107,44 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray,
     firsts[-1] = n_words
     cat = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, dtype=kind)
     return cat(hashes, U), cat(starts, np.int64), cat(ends, np.int64), firsts
+
+
+class Lookup:
+    """Values of 64-bit keys by open addressing; 0 for a key that isn't there."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.mask = (1 << bits) - 1
+        self.keys = np.zeros(1 << bits, dtype=U)
+        self.values = np.zeros(1 << bits, dtype=values.dtype)
+        keys, values = np.where(keys == 0, U(1), keys), values
+        slot, self.probes = (keys & U(self.mask)).astype(np.int64), 0
+        while len(keys):
+            self.probes += 1
+            free = np.flatnonzero(self.keys[slot] == 0)
+            at, chosen = np.unique(slot[free], return_index=True)
+            chosen = free[chosen]
+            self.keys[at], self.values[at] = keys[chosen], values[chosen]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[chosen] = False
+            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & self.mask
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each key, and whether it is there."""
+        keys = np.where(keys == 0, U(1), keys)
+        slot = (keys & U(self.mask)).astype(np.int64)
+        there = self.keys[slot]
+        found = there == keys
+        out = np.where(found, self.values[slot], 0).astype(self.values.dtype)
+        left = np.flatnonzero(~found & (there != 0))
+        for _ in range(self.probes):
+            if not len(left):
+                break
+            at = (slot[left] + 1) & self.mask
+            slot[left] = at
+            there = self.keys[at]
+            hit = there == keys[left]
+            out[left[hit]] = self.values[at[hit]]
+            found[left[hit]] = True
+            left = left[~hit & (there != 0)]
+        return out, found

@@ -4,14 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitpanel.llm.lm_score import interpolated_scores
 from pitpanel.llm.lz_dedup import duplicate_words
+from pitpanel.llm.simhash import near_duplicates
 from pitpanel.llm.suffix_dedup import duplicate_bytes
+from pitpanel.llm.toxicity import toxicity_scores
+from pitpanel.llm.url_filter import judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_scores(table(spark, sf_dir, "documents"))
+
+
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_bytes(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -20,7 +36,9 @@ def op9_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_words(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {
-    "op8_suffix_array": op8_suffix_array,
-    "op9_lempel_ziv": op9_lempel_ziv,
-}
+def op10_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_deleted_interpolation, op5_kneser_ney, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv,
+                                   op10_simhash_balls)}
