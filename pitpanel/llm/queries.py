@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitpanel.llm.lm_score import interpolated_scores
 from pitpanel.llm.lz_dedup import duplicate_words
+from pitpanel.llm.secrets import find_secrets
 from pitpanel.llm.simhash import near_duplicates
+from pitpanel.llm.spotsigs import edited_fingerprints
 from pitpanel.llm.suffix_dedup import duplicate_bytes
 from pitpanel.llm.toxicity import toxicity_scores
 from pitpanel.llm.url_filter import judge_urls
@@ -20,6 +22,14 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_scores(table(spark, sf_dir, "documents"))
 
 
+def op3_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,5 +50,5 @@ def op10_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_deleted_interpolation, op5_kneser_ney, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv,
+QUERIES = {f.__name__: f for f in (op1_deleted_interpolation, op3_randomness_battery, op4_spotsigs, op5_kneser_ney, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv,
                                    op10_simhash_balls)}
