@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitpanel.llm.decontaminate import contaminated
 from pitpanel.llm.lm_score import interpolated_scores
 from pitpanel.llm.lz_dedup import duplicate_words
+from pitpanel.llm.mixing import mixed_rates
 from pitpanel.llm.secrets import find_secrets
 from pitpanel.llm.simhash import near_duplicates
 from pitpanel.llm.spotsigs import edited_fingerprints
@@ -22,6 +24,10 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_scores(table(spark, sf_dir, "documents"))
 
 
+def op2_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
@@ -34,6 +40,10 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -46,9 +56,14 @@ def op9_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_words(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_deleted_interpolation, op3_randomness_battery, op4_spotsigs, op5_kneser_ney, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv,
-                                   op10_simhash_balls)}
+QUERIES = {f.__name__: f for f in (op1_deleted_interpolation, op2_latent_retrieval, op3_randomness_battery, op4_spotsigs, op5_kneser_ney,
+                                   op6_soft_mixing, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv, op10_simhash_balls, pipeline)}

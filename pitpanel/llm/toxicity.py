@@ -249,3 +249,18 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = 2000, p
                                              names=["doc_id", "held_out", "score", "predicted", "evidence"])
 
     return rows.withColumn("text", F.col("text").cast("binary")).mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int, evidence double")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = 2000, passage: int = 4, folds: int = 5, held_out_fold: int = 0) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below a half."""
+    fitted = fit(docs, labels, per_class, passage, folds, held_out_fold)
+    if fitted is None:
+        return docs
+    shared, slope, intercept = fitted
+
+    def keep(batches):
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            yield batch.filter(pa.array(slope * document_evidence(texts, shared.value, passage) + intercept < 0))
+
+    return docs.mapInArrow(keep, docs.schema)
