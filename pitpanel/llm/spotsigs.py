@@ -24,7 +24,6 @@ ANCHORS = """a an and are as at be by for from he in is it of on or she that the
 der die das den dem ein eine ist im mit nicht sich und von zu auf
 le la les un une de des du en est et que qui dans pour pas
 el los las una del es y por con no se""".split()
-CHAIN = 2
 BUCKET_ROWS, BUCKETS, WINDOW_ROWS = 500, 200_000, 10_000
 
 
@@ -33,22 +32,37 @@ def normal(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
 
 
-def signatures(text: Column, anchors=ANCHORS, chain: int = CHAIN) -> Column:
-    """Distinct signatures of a text, hashed, in order.  A text without any has one: that
-    of its words (so that equal texts are always alike)."""
-    word = "(?:" + "|".join(sorted(anchors)) + ")"
-    spot = rf"(?<= )(?=({word}(?: (?:{word} )*+[^ ]+){{{chain}}}) )(?={word} )"
+def one_of(words: list[str]) -> str:
+    """Pattern for any of the words that shares their beginnings, so that a text is
+    compared with few alternatives."""
+    ends, tails = "" in words, sorted({w for w in words if w})
+    branches = [c + one_of([w[1:] for w in tails if w[0] == c]) for c in sorted({w[0] for w in tails})]
+    if not branches:
+        return ""
+    return "(?:" + "|".join(branches) + ")" + ("?" if ends else "")
+
+
+def signatures(text: Column, anchors=ANCHORS) -> Column:
+    """Distinct signatures of a text, hashed to ints, in order.  A text without any has one:
+    that of its words (so that equal texts are always alike)."""
     words = normal(text)
-    found = F.regexp_extract_all(words, F.lit(spot), F.lit(1))
-    # the common words inside a chain don't belong to it
-    chains = F.transform(found, lambda s: F.regexp_replace(s, rf"(?<= ){word} ", ""))
-    chains = F.when(F.size(chains) > 0, chains).otherwise(F.array(F.concat(F.lit("="), words)))
-    return F.array_sort(F.array_distinct(F.transform(chains, lambda s: F.xxhash64(s).bitwiseAND(F.lit(0xFFFFFFFF)))))
+    # mark the common words; then the two next words without a mark are the chain
+    marked = F.regexp_replace(words, rf" (?={one_of(list(anchors))} )", " \u0001")
+    skip = "(?: \u0001[^ ]+)*+"
+    spot = rf"\u0001([^ ]+)(?={skip} ([^ ]+){skip} ([^ ]+) )"
+
+    def chains(m):
+        zipped = F.arrays_zip(*[F.regexp_extract_all(m, F.lit(spot), F.lit(g)).alias(n) for g, n in ((1, "anchor"), (2, "one"), (3, "two"))])
+        return F.transform(zipped, lambda c: F.hash(c["anchor"], c["one"], c["two"]))
+
+    found = F.transform(F.array(marked), chains)[0]
+    either = lambda f: F.when(F.size(f) > 0, f).otherwise(F.array(F.hash(F.lit("="), words)))
+    return F.transform(F.array(found), lambda f: F.sort_array(F.array_distinct(either(f))))[0]
 
 
 def fingerprint(signs: Column) -> Column:
     """Text form of a signature set."""
-    return F.array_join(F.transform(signs, lambda s: F.lpad(F.lower(F.hex(s)), 8, "0")), "")
+    return F.array_join(F.transform(signs, lambda s: F.lpad(F.lower(F.hex(s.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -89,16 +103,16 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     null_bucket = -1 - F.pmod(F.xxhash64("text"), F.lit(max(1, -(-(rows - n) // each))))
     where = F.when(F.col("doc_id").isNull(), null_bucket).otherwise(bucket(F.col("doc_id"), low or 0, high or 0, n, each))
     here = docs.withColumn("bucket", where).withColumn("hash", F.bitwise_not(F.xxhash64("text")))
-    order = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("hash").desc(), "text")
-    ahead = here.withColumn("ahead", F.lead(F.struct(*columns)).over(order))
     # the first row of every bucket: BUCKETS at most, so they can be broadcast to find their texts
     tops = materialize(here.groupBy("bucket").agg(F.max(F.struct("doc_id", "hash")).alias("top")), "tops")
     heads = here.join(F.broadcast(tops), "bucket").where(F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("hash") == F.col("top.hash")))
-    heads = heads.select("bucket", F.struct(*columns).alias("head")).dropDuplicates(["bucket"])
-    after = following(tops.select(F.col("bucket").alias("id"))).withColumnRenamed("id", "bucket")
-    heads = after.join(heads.withColumnRenamed("bucket", "next"), "next").select("bucket", "head")
-    last = ahead.where("ahead is null").drop("ahead").join(heads, "bucket").withColumnRenamed("head", "ahead")
-    out = ahead.where("ahead is not null").unionByName(last)
+    heads = heads.drop("top").dropDuplicates(["bucket"])
+    # a copy of it closes the bucket before, where the window can see it
+    after = following(tops.select(F.col("bucket").alias("id")))
+    closing = heads.withColumnRenamed("bucket", "next").join(after, "next").withColumnRenamed("id", "bucket").drop("next")
+    rows = here.withColumn("copy", F.lit(False)).unionByName(closing.withColumn("copy", F.lit(True)))
+    order = Window.partitionBy("bucket").orderBy("copy", F.col("doc_id").desc_nulls_last(), F.col("hash").desc(), "text")
+    out = rows.withColumn("ahead", F.lead(F.struct(*columns)).over(order)).where("not copy")
     return out.select(*docs.columns, *[F.col(f"ahead.{c}").alias(f"next_{c}") for c in columns])
 
 
