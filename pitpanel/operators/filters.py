@@ -62,7 +62,7 @@ def key_filter(df: DataFrame, key: str, keys: Sequence[str] | DataFrame | None,
         return df
     if isinstance(keys, DataFrame):
         k = keys.select(F.col(keys.columns[0]).cast("string").alias(key)).distinct()
-        return df.join(maybe_broadcast(k, max_broadcast_rows), on=key, how="left_semi")
+        return df.join(maybe_broadcast(k, max_broadcast_rows), on=key, how="left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
     keys = [str(k) for k in keys]
     if not keys:
         return df
@@ -71,7 +71,7 @@ def key_filter(df: DataFrame, key: str, keys: Sequence[str] | DataFrame | None,
         # (provably small) frame it becomes a broadcast semi join instead
         spark = df.sparkSession
         frame = spark.createDataFrame([(k,) for k in sorted(set(keys))], f"`{key}` string")
-        return df.join(maybe_broadcast(frame, max_broadcast_rows), on=key, how="left_semi")
+        return df.join(maybe_broadcast(frame, max_broadcast_rows), on=key, how="left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
     return df.where(F.col(key).isin(keys))
 
 

@@ -34,5 +34,6 @@ def relative_prices(prices: DataFrame, choice: DataFrame, k: int, key: str = "sk
         cells.append(F.when(dup, F.raise_error(F.lit(f"duplicate cell for rank {r}")))
                      .otherwise(F.col(f"p{r}")).cast("double").alias(f"p{r}"))
     base = F.col(f"p{ranks[0]}") if ranks else F.lit(None)
-    rels = [(F.col(f"p{r}") / base).alias(f"rel_{r}") for r in ranks[1:]]
+    # a free baseline has no ratio: null
+    rels = [F.try_divide(F.col(f"p{r}"), base).alias(f"rel_{r}") for r in ranks[1:]]
     return wide.select(ts, *cells).select(ts, *[f"p{r}" for r in ranks], *rels)

@@ -50,11 +50,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's
     checkpoint dir).  Only when neither is set -- local tests -- a private
-    folder is created and registered, so ``DataFrame.checkpoint()`` works.
+    folder is created and registered, so ``DataFrame.checkpoint()`` works; on any other
+    master its absence is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="pitpanel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
