@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitpanel.operators.joins import join_null_safe
 from pitpanel.operators.sequence import with_neighbor
 from pitpanel.operators.stats import exact_median
 from pitpanel.session import materialize
@@ -33,7 +34,7 @@ def value_summary(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
             F.max(value).alias("max_value")]
     med = exact_median(df, value, by, out="median_value")
     if by:
-        return df.groupBy(*by).agg(*aggs).join(med, on=list(by), how="left")
+        return join_null_safe(df.groupBy(*by).agg(*aggs), med, by, how="left")
     return df.agg(*aggs).select("*", med.select("median_value").scalar().alias("median_value"))
 
 

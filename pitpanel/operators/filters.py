@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,11 +30,20 @@ def _partition_key(df: DataFrame):
     return None
 
 
+def _utc_day(ts: Column, dtype: T.DataType) -> Column:
+    """``yyyymmdd`` of a bound as the folders are named: by UTC, whatever the session zone."""
+    date = F.to_date(ts)
+    if not isinstance(dtype, T.TimestampNTZType):
+        date = F.date_add(F.lit(_dt.date(1970, 1, 1)), F.floor(F.unix_seconds(ts) / 86400).cast("int"))
+    return F.year(date) * 10000 + F.month(date) * 100 + F.day(date)
+
+
 def time_range(df: DataFrame, ts: str, start=None, end=None) -> DataFrame:
     """Rows with ``start <= ts <= end``; either bound may be None.
 
     On a ``year/month/day`` partitioned table the bounds are also applied
-    to the partition columns so whole directories are pruned.
+    to the partition columns so whole directories are pruned; rows without these (files
+    outside such folders) are judged by ``ts`` alone.
     """
     dtype = df.schema[ts].dataType
     pkey = _partition_key(df)
@@ -43,12 +52,12 @@ def time_range(df: DataFrame, ts: str, start=None, end=None) -> DataFrame:
         lo = _ts_literal(start, dtype)
         cond = cond & (F.col(ts) >= lo)
         if pkey is not None:
-            cond = cond & (pkey >= F.date_format(lo, "yyyyMMdd").cast("int"))
+            cond = cond & (pkey.isNull() | (pkey >= _utc_day(lo, dtype)))
     if end is not None:
         hi = _ts_literal(end, dtype)
         cond = cond & (F.col(ts) <= hi)
         if pkey is not None:
-            cond = cond & (pkey <= F.date_format(hi, "yyyyMMdd").cast("int"))
+            cond = cond & (pkey.isNull() | (pkey <= _utc_day(hi, dtype)))
     return df.where(cond)
 
 
@@ -93,7 +102,8 @@ def latest_snapshot(df: DataFrame, ts: str) -> DataFrame:
     pkey = _partition_key(df)
     if pkey is not None:
         last_day = _scalar(df, F.max(pkey))
-        df = df.where(pkey == F.lit(last_day))
+        if last_day is not None:
+            df = df.where(pkey.isNull() | (pkey == F.lit(last_day)))
     newest = _scalar(df, F.max(ts))
     return df.where(F.col(ts) == F.lit(newest).cast(df.schema[ts].dataType))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,3 +60,13 @@ def maybe_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS
     if max_rows is None:
         return df
     return F.broadcast(df) if provably_small(df, max_rows, max_bytes) else df
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which nulls of the ``on`` columns match; keeps the left side's."""
+    names = {c: f"__on_{i}" for i, c in enumerate(on)}
+    other = right.withColumnsRenamed(names)
+    cond = F.lit(True)
+    for c, n in names.items():
+        cond = cond & left[c].eqNullSafe(other[n])
+    return left.join(other, cond, how).drop(*names.values())

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.operators.joins import maybe_broadcast, provably_small
+from pitpanel.operators.joins import join_null_safe, provably_small
 
 
 def top_k(df: DataFrame, by: str, k: int, tiebreak: Sequence[str] = ("sku",),
@@ -128,7 +128,8 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
         # behind the size proof; beyond it a shuffle join (AQE splits a hot group)
         from pitpanel.session import materialize
         bounds = materialize(bounds, "percentile-bounds")
-        j = d.join(maybe_broadcast(bounds), on=by, how="inner")
+        small = provably_small(bounds)
+        j = join_null_safe(d, F.broadcast(bounds) if small else bounds, by)
     else:
         # one group: its three bounds are resolved by a small job, then literals
         s = bounds.first()

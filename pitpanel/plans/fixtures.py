@@ -3,8 +3,8 @@
 ``lineitem`` grouped by (part, month) becomes a price panel with one run
 per month; grouped by (part, quarter) it becomes full-state attribute
 snapshots whose change log is the metadata history; ``part`` is the
-current catalog (every tenth part is the discontinued archive, so left,
-semi and anti joins see unmatched keys); ``events`` become run logs and
+current catalog (sizes up to ``ACTIVE_SIZE`` are the active part of it, so left
+and semi joins on active keys see unmatched ones); ``events`` become run logs and
 semi-structured raw records.  All are lazy DataFrames over whole tables.
 """
 
@@ -22,6 +22,7 @@ SNAPSHOT_ATTRS = ("class", "department")
 # the fixture runs are monthly / quarterly: a one-year bucket holds at most
 # twelve rows of a key (see operators.sequence.DEFAULT_BUCKET_DAYS)
 BUCKET_DAYS = 366
+ACTIVE_SIZE = 45
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,12 +75,16 @@ def fx_history(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFr
 
 
 def fx_metadata_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current catalog; parts whose key is a multiple of ten are inactive."""
+    """Current catalog: every part."""
     part = table(spark, sf_dir, "part")
-    return (part.where(F.col("p_partkey") % 10 != 0)
-            .select(F.col("p_partkey").cast("string").alias("sku"),
-                    F.col("p_name").alias("name"), F.col("p_brand").alias("manufacturer"),
-                    F.col("p_type").alias("department"), F.col("p_size").alias("size")))
+    return part.select(F.col("p_partkey").cast("string").alias("sku"),
+                       F.col("p_name").alias("name"), F.col("p_brand").alias("manufacturer"),
+                       F.col("p_type").alias("department"), F.col("p_size").alias("size"))
+
+
+def fx_metadata_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The active catalog, where keys without a match are what a query is about."""
+    return fx_metadata_current(spark, sf_dir).where(F.col("size") <= ACTIVE_SIZE)
 
 
 def fx_runs(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:

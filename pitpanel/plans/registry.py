@@ -68,7 +68,7 @@ def snapshot_latest(spark, sf):
 def snapshot_latest_active(spark, sf):
     """FLT3 + FLT2 with a key DataFrame: latest run, active catalog only."""
     return loaders.load_prices_latest(fx.fx_prices(spark, sf),
-                                      skus=fx.fx_metadata_current(spark, sf).select("sku"))
+                                      skus=fx.fx_metadata_active(spark, sf).select("sku"))
 
 
 @query("prices_range")
@@ -109,7 +109,7 @@ def metadata_as_of(spark, sf):
 def metadata_as_of_active(spark, sf):
     """WIN1 + FLT5: as-of state restricted to the current catalog."""
     return loaders.load_metadata_at(fx.fx_history(spark, sf), AS_OF,
-                                    restrict_to=fx.fx_metadata_current(spark, sf))
+                                    restrict_to=fx.fx_metadata_active(spark, sf))
 
 
 @query("attribute_drift")
@@ -129,7 +129,7 @@ def drifted_keys_q(spark, sf):
 @query("panel_current")
 def panel_current(spark, sf):
     """JN1 + PRJ7: prices LEFT JOIN current attributes."""
-    return loaders.load_panel(fx.fx_prices(spark, sf), fx.fx_metadata_current(spark, sf),
+    return loaders.load_panel(fx.fx_prices(spark, sf), fx.fx_metadata_active(spark, sf),
                               columns=["name", "manufacturer", "department", "size"], sort=False)
 
 
@@ -243,25 +243,25 @@ def dept_volatility(spark, sf):
 
 @query("dept_top")
 def dept_top(spark, sf):
-    """AGG1 + SRT3: the ten largest departments of the current catalog."""
-    cur = fx.fx_metadata_current(spark, sf).where(F.col("department").isNotNull())
-    counts = cur.groupBy("department").agg(F.count(F.lit(1)).alias("n_skus"))
-    return counts.orderBy(F.col("n_skus").desc(), "department").limit(10)
+    """AGG1 + SRT3: the ten largest manufacturers of the current catalog."""
+    cur = fx.fx_metadata_current(spark, sf).where(F.col("manufacturer").isNotNull())
+    counts = cur.groupBy("manufacturer").agg(F.count(F.lit(1)).alias("n_skus"))
+    return counts.orderBy(F.col("n_skus").desc(), "manufacturer").limit(10)
 
 
 @query("dept_summary")
 def dept_summary(spark, sf):
-    """AGG11 + AGG7: latest run x current catalog per department, top 20."""
+    """AGG11 + AGG7: latest run x current catalog per manufacturer, top 20."""
     from pitpanel.operators.stats import share
     from pitpanel.operators.joins import maybe_broadcast
     latest = _latest(spark, sf)
-    cur = fx.fx_metadata_current(spark, sf).where(F.col("department").isNotNull()) \
-            .select("sku", "department")
+    cur = fx.fx_metadata_current(spark, sf).where(F.col("manufacturer").isNotNull()) \
+            .select("sku", "manufacturer")
     j = latest.join(maybe_broadcast(cur), on="sku", how="inner")
-    g = j.groupBy("department").agg(F.count(F.lit(1)).alias("n_skus"),
+    g = j.groupBy("manufacturer").agg(F.count(F.lit(1)).alias("n_skus"),
                                     _r(F.avg("regular_price")).alias("mean_price"),
                                     _r(share(F.col("on_sale"))).alias("pct_on_sale"))
-    return g.orderBy(F.col("n_skus").desc(), "department").limit(20)
+    return g.orderBy(F.col("n_skus").desc(), "manufacturer").limit(20)
 
 
 @query("on_sale_share")
@@ -460,67 +460,75 @@ def _views(spark, sf):
     """The fixture panel under the view names analysts query."""
     fx.fx_prices(spark, sf).createOrReplaceTempView("prices")
     fx.fx_metadata_current(spark, sf).createOrReplaceTempView("metadata_current")
+    fx.fx_metadata_active(spark, sf).createOrReplaceTempView("metadata_active")
     fx.fx_history(spark, sf).createOrReplaceTempView("metadata_history")
 
 
 @query("sql_category_daily_average")
 def sql_category_daily_average(spark, sf):
-    """SRC4 + AGG10 through spark.sql: category-level average price per day."""
+    """SRC4 + AGG10 through spark.sql: sums per key and day first, then per category."""
     _views(spark, sf)
     return spark.sql("""
-        SELECT CAST(date_trunc('day', p.fetched_at) AS TIMESTAMP_NTZ) AS day,
-               m.department,
-               round(avg(p.sale_price) * 1048576.0D) / 1048576.0D AS avg_sale_price,
-               count(*) AS n
-        FROM prices p
-        JOIN metadata_current m USING (sku)
-        GROUP BY 1, 2
-        ORDER BY 1, 2""")
+        WITH key_days AS (
+            SELECT sku, to_date(fetched_at) AS on_date, sum(sale_price) AS paid,
+                   count(sale_price) AS priced, count(*) AS seen
+            FROM prices GROUP BY sku, to_date(fetched_at)
+        )
+        SELECT CAST(on_date AS TIMESTAMP_NTZ) AS day, department,
+               round(try_divide(sum(paid), sum(priced)) * 1048576.0D) / 1048576.0D AS avg_sale_price,
+               sum(seen) AS n
+        FROM key_days INNER JOIN metadata_current ON key_days.sku = metadata_current.sku
+        GROUP BY on_date, department""")
 
 
 @query("sql_newly_on_sale_count")
 def sql_newly_on_sale_count(spark, sf):
-    """SRC4 + JN8 through spark.sql: products newly on sale vs the last run
-    more than a day older."""
+    """SRC4 + JN8 through spark.sql: keys whose flag turned on between the two compared runs,
+    by conditional aggregates per key (no self join)."""
     _views(spark, sf)
     return spark.sql("""
-        WITH latest AS (
-            SELECT * FROM prices WHERE fetched_at = (SELECT max(fetched_at) FROM prices)
+        WITH run_times AS (
+            SELECT fetched_at, max(fetched_at) OVER () AS newest FROM prices GROUP BY fetched_at
+        ),
+        compared AS (
+            SELECT newest, max(CASE WHEN fetched_at < newest - INTERVAL 1 DAY THEN fetched_at END) AS base
+            FROM run_times GROUP BY newest
+        ),
+        sides AS (
+            SELECT stack(2, newest, true, base, false) AS (fetched_at, is_newest) FROM compared
         ),
-        prev AS (
-            SELECT * FROM prices
-            WHERE fetched_at = (SELECT max(fetched_at) FROM prices
-                                WHERE fetched_at < (SELECT max(fetched_at) FROM prices) - INTERVAL 1 DAY)
+        flags AS (
+            SELECT sku, max(on_sale) FILTER (WHERE is_newest) AS now_on,
+                   max(on_sale) FILTER (WHERE NOT is_newest) AS base_on
+            FROM prices JOIN sides USING (fetched_at) GROUP BY sku
         )
-        SELECT count(*) AS newly_on_sale
-        FROM latest l JOIN prev p USING (sku)
-        WHERE l.on_sale AND NOT p.on_sale""")
+        SELECT count_if(now_on AND NOT base_on) AS newly_on_sale FROM flags""")
 
 
 @query("sql_on_sale_now")
 def sql_on_sale_now(spark, sf):
-    """SRC4 + AGG6 through spark.sql: FILTER clause and rounded share."""
+    """SRC4 + AGG6 through spark.sql: counts per run, the newest run's share."""
     _views(spark, sf)
     return spark.sql("""
-        SELECT count(*) FILTER (WHERE on_sale) AS on_sale,
-               count(*) AS total,
-               round(100.0D * count(*) FILTER (WHERE on_sale) / count(*), 2) AS pct_on_sale
-        FROM prices
-        WHERE fetched_at = (SELECT max(fetched_at) FROM prices)""")
+        SELECT on_sale, total, round(100.0D * on_sale / total, 2) AS pct_on_sale
+        FROM (SELECT fetched_at, count_if(on_sale) AS on_sale, count(*) AS total
+              FROM prices GROUP BY fetched_at)
+        ORDER BY fetched_at DESC LIMIT 1""")
 
 
 @query("sql_metadata_as_of")
 def sql_metadata_as_of(spark, sf):
-    """SRC4 + WIN1 through spark.sql: ranked as-of state, helper column removed."""
+    """SRC4 + WIN1 through spark.sql: the greatest version (time, then attributes: a total order)
+    of each active key."""
     _views(spark, sf)
     return spark.sql("""
-        WITH ranked AS (
-            SELECT *, row_number() OVER (PARTITION BY sku ORDER BY observed_at DESC) AS _rn
-            FROM metadata_history
-            WHERE observed_at <= TIMESTAMP_NTZ '1998-01-01 00:00:00'
-              AND sku IN (SELECT sku FROM metadata_current)
+        WITH seen AS (
+            SELECT h.sku, max(struct(h.observed_at, h.class, h.department)) AS newest
+            FROM metadata_history AS h LEFT SEMI JOIN metadata_active AS a ON a.sku = h.sku
+            WHERE h.observed_at <= TIMESTAMP_NTZ '1998-01-01 00:00:00'
+            GROUP BY h.sku
         )
-        SELECT * EXCEPT (_rn) FROM ranked WHERE _rn = 1""")
+        SELECT sku, newest.observed_at, newest.class, newest.department FROM seen""")
 
 
 @query("table_first_row")

@@ -16,3 +16,52 @@ def test_key_filter_keeps_column_order(spark):
     for keys in (["7"], ["7"] + [f"x{i}" for i in range(MAX_IN_LIST)], df.where("sku = '7'").select("sku")):
         out = key_filter(df, "sku", keys)
         assert out.columns == ["v", "sku"] and out.agg(F.sum("v")).first()[0] == 1.0
+
+
+def test_run_logs_with_text_numbers_or_no_start_are_kept(spark, tmp_path):
+    from pitpanel.sources.runlogs import read_run_logs, runs_summary
+    texts = {"a": '{"status": "ok", "api_calls": "564", "errors": ["x"]}', "b": '{"started_at": "2026-04-21", "api_calls": 3}',
+             "c": '{"started_at": "2026', "d": '{"started_at": "2026-04-22", "prices_rows": "many"}'}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    got = sorted((r.started_at or "", r.api_calls, r.prices_rows, r.errors) for r in read_run_logs(spark, str(tmp_path)).collect())
+    assert got == [("", 564, None, ["x"]), ("2026-04-21", 3, None, None), ("2026-04-22", None, None, None)]
+    assert runs_summary(spark, str(tmp_path)).count() == 3
+
+
+def test_time_bounds_follow_the_folders_in_any_session_zone(spark):
+    import datetime as dt
+    from pitpanel.operators.filters import latest_snapshot, time_range
+    at = lambda h: dt.datetime(2026, 4, 21, h, tzinfo=dt.timezone.utc)
+    rows = [("1", at(1), 2026, 4, 21), ("2", at(2), 2026, 4, 21), ("3", at(2), None, None, None), ("4", at(9), 2026, 4, 21)]
+    df = spark.createDataFrame(rows, "sku string, fetched_at timestamp, year int, month int, day int")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            for start, end, want in ((None, at(3), "123"), (at(2), at(3), "23"), (at(2), None, "234")):
+                got = sorted(r.sku for r in time_range(df, "fetched_at", start, end).collect())
+                assert got == list(want), (z, start, end)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r.sku for r in latest_snapshot(df.where("year is null"), "fetched_at").collect()] == ["3"]
+
+
+def test_null_group_keeps_its_median(spark):
+    from pitpanel.operators.audit import value_summary
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
+    got = {r.g: r.median_value for r in value_summary(df, "v", ["g"]).collect()}
+    assert got == {None: 2.0, "a": 5.0}
+
+
+def test_days_without_runs_and_unfinished_runs(spark):
+    from pitpanel.operators.monitor import alerts, report_lines
+    rows = [("2026-04-20", "2026-04-20 01:00:00", "2026-04-20 01:10:00", "ok", 5), ("2026-04-22", "2026-04-22 01:00:00", None, "running", None)]
+    runs = spark.createDataFrame(rows, "d string, s string, f string, status string, n long").selectExpr(
+        "cast(d as timestamp_ntz) run_day", "cast(s as timestamp_ntz) started_at", "cast(f as timestamp_ntz) finished_at", "status",
+        "n products_fetched", "n metadata_changed_rows", "n api_calls")
+    found = alerts(runs, today="2026-04-24", expected_runs=1)
+    assert {(r.run_day.day, r.value) for r in found.where("alert = 'too_few_runs'").collect()} == {(21, 0.0), (23, 0.0)}
+    lines = {(r.run_day.day, r.section, r.line_no): r.text for r in report_lines(runs, found).collect()}
+    assert lines[(21, 2, 0)] == "- Total: **0** (ok: 0, errors: 0)"
+    assert lines[(22, 2, 1)] == "| 2026-04-22 01:00:00 | running | ? | ? | ? | ? |"
