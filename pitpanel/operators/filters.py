@@ -101,9 +101,10 @@ def latest_snapshot(df: DataFrame, ts: str) -> DataFrame:
     """
     pkey = _partition_key(df)
     if pkey is not None:
-        last_day = _scalar(df, F.max(pkey))
+        last_day, outside = df.select(F.max(pkey), F.count_if(pkey.isNull())).first()
         if last_day is not None:
-            df = df.where(pkey.isNull() | (pkey == F.lit(last_day)))
+            newest_day = pkey == F.lit(last_day)
+            df = df.where(pkey.isNull() | newest_day if outside else newest_day)
     newest = _scalar(df, F.max(ts))
     return df.where(F.col(ts) == F.lit(newest).cast(df.schema[ts].dataType))
 

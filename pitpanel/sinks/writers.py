@@ -45,9 +45,25 @@ def write_run_partition(df: DataFrame, path: str, run_ts: _dt.datetime,
     _writer(_run_parts(df, run_ts), files).partitionBy("year", "month", "day", "run").parquet(path)
 
 
-def write_version(df: DataFrame, path: str, run_ts: _dt.datetime, files: int | None = None) -> None:
-    """Write a full-state table as a new ``version`` partition (idempotent)."""
-    _writer(df.withColumn("version", F.lit(stamp(run_ts))), files).partitionBy("version").parquet(path)
+def run_folder(run: str) -> list[str]:
+    """Folder names of a run stamp below a per-run table."""
+    return [f"year={int(run[:4])}", f"month={int(run[5:7])}", f"day={int(run[8:10])}", f"run={run}"]
+
+
+def write_runs(df: DataFrame, path: str) -> None:
+    """Write rows carrying a ``run`` stamp under ``year/month/day/run``
+    (partition values from the UTC stamp itself; idempotent)."""
+    part = lambda at, n: F.substring("run", at, n).cast("int")
+    parts = df.withColumn("year", part(1, 4)).withColumn("month", part(6, 2)).withColumn("day", part(9, 2))
+    _writer(parts, None).partitionBy("year", "month", "day", "run").parquet(path)
+
+
+def write_version(df: DataFrame, path: str, run_ts: _dt.datetime | None = None, files: int | None = None) -> None:
+    """Write a full-state table as a new ``version`` partition (idempotent); without
+    ``run_ts``, rows carry their ``version``."""
+    if run_ts is not None:
+        df = df.withColumn("version", F.lit(stamp(run_ts)))
+    _writer(df, files).partitionBy("version").parquet(path)
 
 
 def write_run_log(df: DataFrame, runs_dir: str, run_ts: _dt.datetime) -> None:

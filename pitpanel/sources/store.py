@@ -35,6 +35,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes below a Hadoop path, 0 where there is none (metadata calls only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -84,12 +91,17 @@ class PanelStore:
             return df.drop("version")
         return df.where(F.col("version") == F.lit(newest)).drop("version")
 
+    def versions(self, rel: str) -> list[str]:
+        """``version`` ids of a full-state table, from its folder names (one per run)."""
+        spark = self.spark
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(rel))
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(n.removeprefix("version=") for n in names if n.startswith("version="))
+
     def latest_version(self, rel: str) -> str | None:
         """Newest ``version`` id of a full-state table (None if absent)."""
-        p = self.path(rel)
-        if not path_exists(self.spark, p):
-            return None
-        return self.spark.read.parquet(p).select(F.max("version")).first()[0]
+        return max(self.versions(rel), default=None)
 
     def current(self) -> DataFrame:
         """Newest full-state attribute table (empty typed frame if none)."""
