@@ -45,7 +45,7 @@ def test_join_then_aggregate_preaggregates_when_not_broadcast(spark):
 
 def test_key_filter_with_key_frame_without_broadcast(spark):
     p = fx.fx_prices(spark, SF)
-    keys = fx.fx_metadata_current(spark, SF).select("sku")
+    keys = fx.fx_metadata_active(spark, SF).select("sku")
     a = key_filter(p, "sku", keys, max_broadcast_rows=0)
     b = key_filter(p, "sku", keys)
     assert rows(a) == rows(b) and a.count() < p.count()
