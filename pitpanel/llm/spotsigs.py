@@ -24,7 +24,7 @@ ANCHORS = """a an and are as at be by for from he in is it of on or she that the
 der die das den dem ein eine ist im mit nicht sich und von zu auf
 le la les un une de des du en est et que qui dans pour pas
 el los las una del es y por con no se""".split()
-BUCKET_ROWS, BUCKETS, WINDOW_ROWS = 500, 200_000, 10_000
+BUCKET_ROWS, BUCKETS = 500, 200_000
 
 
 def normal(text: Column) -> Column:
@@ -71,27 +71,51 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def following(ids: DataFrame) -> DataFrame:
-    """``id, next`` for distinct longs: the next smaller one; the largest after the smallest.
+def wide(c) -> Column:
+    """A long where sums and differences of longs don't overflow."""
+    return c.cast("decimal(20,0)")
+
+
+def steps(value: Column, width: Column) -> Column:
+    """How many whole widths a value holds."""
+    return F.call_function("div", value, wide(width))
 
-    Ids are dealt into ranges of about ``WINDOW_ROWS``; the ranges' own order is found the
-    same way, so no window grows with the table.
-    """
-    low, high, n = ids.agg(F.min("id"), F.max("id"), F.count("id")).first()
-    if n <= WINDOW_ROWS:
-        whole = Window.orderBy(F.col("id").desc())
-        return ids.select("id", F.coalesce(F.lead("id").over(whole), F.lit(high).cast("long")).alias("next"))
-    ranged = ids.withColumn("bucket", bucket(F.col("id"), low, high, n, WINDOW_ROWS))
-    inner = ranged.select("id", "bucket", F.lead("id").over(Window.partitionBy("bucket").orderBy(F.col("id").desc())).alias("next"))
-    tops = materialize(ranged.groupBy("bucket").agg(F.max("id").alias("top")), "id-ranges")
-    after = following(tops.select(F.col("bucket").alias("id"))).join(tops.select(F.col("bucket").alias("next"), "top"), "next").select(F.col("id").alias("bucket"), "top")
-    return inner.join(after, "bucket").select("id", F.coalesce("next", "top").alias("next"))
 
+def start_of(ids: Column, low: Column, high: Column, parts: Column) -> Column:
+    """Start of an id's range, where ``low .. high`` is cut into ``parts`` (2 or more) even ranges."""
+    width = wide(steps(wide(high) - wide(low), parts)) + 1
+    return (wide(low) + wide(steps(wide(ids) - wide(low), width)) * width).cast("long")
 
-def bucket(ids: Column, low: int, high: int, n: int, rows: int) -> Column:
-    """Range of an id, of about ``rows`` ids where they lie evenly."""
-    width = max(1, -(-(high - low + 1) // max(1, -(-n // rows))))
-    return F.floor((ids.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("long")
+
+def dealt(docs: DataFrame, each: int, rows: int, n: int, low: int | None, high: int | None) -> DataFrame:
+    """``docs`` (with ``doc_id, hash``) and their bucket: ``known, at, part``.
+
+    Descending buckets hold descending ids, nulls last.  Ids are cut into even ranges, and
+    a range that holds much more than ``each`` rows is cut again between its least and
+    largest id until none does, so ids may lie as unevenly as they like; a single crowded
+    id is cut by its rows' hashes.  A level's crowded ranges are ``rows / (4 * each)`` at
+    most, so their table can be broadcast.
+    """
+    parts = lambda n: F.ceil(n / F.lit(each)).cast("long")
+    known = F.col("doc_id").isNotNull()
+    nulls = F.pmod("hash", F.lit(max(1, -(-(rows - n) // each))))
+    at = start_of(F.col("doc_id"), F.lit(low), F.lit(high), F.lit(max(2, -(-n // each)))) if n else F.lit(0)
+    out = docs.withColumn("known", known).withColumn("at", F.when(known, at).otherwise(nulls).cast("long"))
+    crowded = None
+    while n:
+        ranges = out.where("known").groupBy("known", "at").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        crowded = materialize(ranges.where(F.col("n") > 4 * each), "crowded")
+        cut = crowded.where("low < high").withColumn("n", parts(F.col("n")))
+        if cut.isEmpty():
+            break
+        finer = F.when(F.col("n").isNull(), F.col("at")).otherwise(start_of(F.col("doc_id"), F.col("low"), F.col("high"), F.col("n")))
+        out = out.join(F.broadcast(cut), ["known", "at"], "left").withColumn("at", finer).drop("n", "low", "high")
+    if crowded is None or crowded.isEmpty():
+        return out.withColumn("part", F.lit(0).cast("long"))
+    out = out.join(F.broadcast(crowded.select("known", "at", parts(F.col("n")).alias("n"))), ["known", "at"], "left")
+    share = wide(F.call_function("div", F.lit(1 << 62), F.col("n"))) * 4 + 4
+    part = F.call_function("div", wide(F.col("hash")) + F.lit(1 << 62).cast("decimal(20,0)") * 2, share)
+    return out.withColumn("part", F.when(F.col("n").isNull(), F.lit(0)).otherwise(part).cast("long")).drop("n")
 
 
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -100,18 +124,18 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     row after the last), named ``next_*``."""
     low, high, n, rows = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id"), F.count("*")).first()
     each = max(BUCKET_ROWS, -(-rows // BUCKETS))
-    null_bucket = -1 - F.pmod(F.xxhash64("text"), F.lit(max(1, -(-(rows - n) // each))))
-    where = F.when(F.col("doc_id").isNull(), null_bucket).otherwise(bucket(F.col("doc_id"), low or 0, high or 0, n, each))
-    here = docs.withColumn("bucket", where).withColumn("hash", F.bitwise_not(F.xxhash64("text")))
-    # the first row of every bucket: BUCKETS at most, so they can be broadcast to find their texts
-    tops = materialize(here.groupBy("bucket").agg(F.max(F.struct("doc_id", "hash")).alias("top")), "tops")
-    heads = here.join(F.broadcast(tops), "bucket").where(F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("hash") == F.col("top.hash")))
-    heads = heads.drop("top").dropDuplicates(["bucket"])
+    key = ["known", "at", "part"]
+    here = dealt(docs.withColumn("hash", F.bitwise_not(F.xxhash64("text"))), each, rows, n, low, high)
+    # the first row of every bucket: as many as buckets, so they can be broadcast to find their texts
+    tops = materialize(here.groupBy(*key).agg(F.max(F.struct("doc_id", "hash")).alias("top")), "tops")
+    heads = here.join(F.broadcast(tops), key).where(F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("hash") == F.col("top.hash")))
+    heads = heads.drop("top").dropDuplicates(key)
     # a copy of it closes the bucket before, where the window can see it
-    after = following(tops.select(F.col("bucket").alias("id")))
-    closing = heads.withColumnRenamed("bucket", "next").join(after, "next").withColumnRenamed("id", "bucket").drop("next")
+    down = Window.orderBy(*[F.col(c).desc() for c in key])
+    after = tops.select(F.struct(*key).alias("own"), F.coalesce(F.lead(F.struct(*key)).over(down), F.first(F.struct(*key)).over(down)).alias("then"))
+    closing = heads.join(F.broadcast(after), F.struct(*key) == F.col("then")).drop(*key, "then").select("*", "own.*").drop("own")
     rows = here.withColumn("copy", F.lit(False)).unionByName(closing.withColumn("copy", F.lit(True)))
-    order = Window.partitionBy("bucket").orderBy("copy", F.col("doc_id").desc_nulls_last(), F.col("hash").desc(), "text")
+    order = Window.partitionBy(*key).orderBy("copy", F.col("doc_id").desc_nulls_last(), F.col("hash").desc(), "text")
     out = rows.withColumn("ahead", F.lead(F.struct(*columns)).over(order)).where("not copy")
     return out.select(*docs.columns, *[F.col(f"ahead.{c}").alias(f"next_{c}") for c in columns])
 

@@ -5,9 +5,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitpanel.llm import spotsigs
-from pitpanel.llm.spotsigs import ANCHORS, edited_fingerprints, following, similar_fingerprints
+from pitpanel.llm.spotsigs import ANCHORS, dealt, edited_fingerprints, similar_fingerprints, with_next
 
 
 def chains(t):
@@ -35,7 +36,6 @@ def corpus():
 @pytest.mark.parametrize("rows_each", [500, 7])
 def test_matches_direct_implementation(spark, monkeypatch, rows_each):
     monkeypatch.setattr(spotsigs, "BUCKET_ROWS", rows_each)
-    monkeypatch.setattr(spotsigs, "WINDOW_ROWS", 5)
     rows = corpus()
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, next string").repartition(4)
     got = {r.doc_id: r for r in edited_fingerprints(df).collect()}
@@ -63,11 +63,28 @@ def test_edges(spark):
     assert edited_fingerprints(nulls.limit(0)).count() == 0
 
 
-def test_following_small_windows(spark, monkeypatch):
-    monkeypatch.setattr(spotsigs, "WINDOW_ROWS", 4)
-    ids = sorted(random.Random(2).sample(range(-10**15, 10**15), 50) + [-(1 << 63), (1 << 63) - 1], reverse=True)
-    got = {r.id: r.next for r in following(spark.createDataFrame([(i,) for i in ids], "id long")).collect()}
-    assert got == dict(zip(ids, ids[1:] + ids[:1]))
+def test_uneven_ids_stay_in_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "BUCKET_ROWS", 5)
+    ids = [(s << 40) + i for s in (-3, 0, 1, 9) for i in range(60)] + [(5 << 50) + i * i * i for i in range(30)] + [-(1 << 63), (1 << 63) - 1]
+    rows = [(i, f"the w{k} of x{k}") for k, i in enumerate(ids)] + [(77 << 41, f"the fox {k} of dog {k}") for k in range(90)]
+    random.Random(5).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    hashed = df.withColumn("hash", F.xxhash64("text"))
+    sizes = [r["count"] for r in dealt(hashed, 5, len(rows), len(rows), min(ids), max(ids)).groupBy("known", "at", "part").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 20
+    got = {r.doc_id: r.edited_sha256 for r in edited_fingerprints(df.where(F.col("doc_id") != 77 << 41)).collect()}
+    order = sorted(((d, t) for d, t in rows if d != 77 << 41), reverse=True)
+    for (d, t), (_, after) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        assert got[d] == hashlib.sha256((t[:len(t) - half] + after[:half]).encode()).hexdigest()
+    # rows of one id follow each other: each row's text is the next one of exactly one row
+    chain = with_next(df, ["doc_id", "text"]).collect()
+    assert sorted((r.next_doc_id, r.next_text) for r in chain) == sorted(rows)
+    follow = {(r.doc_id, r.text): (r.next_doc_id, r.next_text) for r in chain}
+    at, seen = rows[0], 0
+    while seen == 0 or at != rows[0]:
+        at, seen = follow[at], seen + 1
+    assert seen == len(rows)
 
 
 def test_similar_pairs(spark):
