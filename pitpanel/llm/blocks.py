@@ -51,6 +51,14 @@ def unpack(payload: bytes, n: int, *kinds) -> list[np.ndarray]:
     return out
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts (sizes the exchange, not the data)."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("b")).first()["b"]

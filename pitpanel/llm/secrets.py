@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitpanel.llm.blocks import free_name
+
 # fixed values: kind, pattern, group that is measured, least length
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 BASE = [
@@ -181,7 +183,7 @@ def find_secrets(docs: DataFrame, fdr: float = 0.05, doc_id: str = "doc_id", tex
 
 def redact(docs: DataFrame, fdr: float = 0.05, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark`` (overlapping ones by one)."""
-    whole = F.col(text)
+    whole, spans_at = F.col(text), free_name(docs, "_secret_spans")
     first = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(a, s):
@@ -189,6 +191,6 @@ def redact(docs: DataFrame, fdr: float = 0.05, text: str = "text", mark: str = "
         return F.when(s["start"] >= a["at"], F.struct(gap.alias("out"), s["end"].alias("at"))).otherwise(
             F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at")))
 
-    clean = F.aggregate("_secret_spans", first, step, lambda a: F.concat(a["out"], F.substr(whole, a["at"] + 1, F.length(whole))))
-    rows = with_secret_spans(docs, fdr, text, "_secret_spans")
-    return rows.withColumn(text, F.when(F.size("_secret_spans") > 0, clean).otherwise(whole)).drop("_secret_spans")
+    clean = F.aggregate(spans_at, first, step, lambda a: F.concat(a["out"], F.substr(whole, a["at"] + 1, F.length(whole))))
+    rows = with_secret_spans(docs, fdr, text, spans_at)
+    return rows.withColumn(text, F.when(F.size(spans_at) > 0, clean).otherwise(whole)).drop(spans_at)

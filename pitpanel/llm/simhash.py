@@ -220,9 +220,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, small:
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, small: int = SMALL, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that have the least ``doc_id`` of their
     component (null ids last; one row of equal ids)."""
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    member = near_duplicates(numbered, shingle, distance, small, "_row", text)
-    ids = numbered.select(F.col("_row").alias("doc_id"), F.col(doc_id).alias("_id"))
+    row = B.free_name(docs, "_row")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    member = near_duplicates(numbered, shingle, distance, small, row, text)
+    ids = numbered.select(F.col(row).alias("doc_id"), F.col(doc_id).alias("_id"))
     order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("doc_id"))
-    kept = member.join(ids, "doc_id").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = member.join(ids, "doc_id").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -44,9 +44,10 @@ def test_each_stage_does_what_its_operator_says(spark):
 
 
 def test_nulls_repeats_and_an_empty_table(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, component_id string"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, component_id string, _row string, _secret_spans string"
     rows = [(None, None, None, None, None, "a"), (1, "", "en", "s", 0, "b"), (2, "token=abcdefgh here", "en", "s", 19, "c"),
             (2, "token=abcdefgh here", "en", "s", 19, "c"), (None, "only this long text here", "de", "s", 3, "d"), (9, "x " * 30000, "en", None, 1, None)]
+    rows = [(*r, "e", "f") for r in rows]
     for data, want in ((rows, 4), ([], 0)):
         docs = spark.createDataFrame(data, schema)
         for name, f in corpus_pipeline.STAGES:
