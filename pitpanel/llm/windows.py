@@ -36,6 +36,7 @@ from pitpanel.session import materialize
 U = np.uint64
 NO_DOC = np.iinfo(np.int64).max
 UNIQUE, SETTLED, OPEN = 0, 1, 2
+CHUNK = 1 << 20         # window starts hashed at once
 
 
 @dataclass(frozen=True)
@@ -58,44 +59,75 @@ class Cells:
     doc: np.ndarray
 
 
-def find_cells(values: np.ndarray, bounds: np.ndarray, shape: Shape) -> Cells:
-    """Cells of documents whose symbol values are stored end to end."""
-    w, none = shape.width, np.zeros(0, dtype=np.int64)
-    n = len(values)
-    if n < w:
+def find_cells(values: np.ndarray, bounds: np.ndarray, shape: Shape, chunk: int = CHUNK) -> Cells:
+    """Cells of documents whose symbol values are stored end to end.
+
+    Window starts are worked off in chunks, so scratch arrays don't grow with a document;
+    a cell that a chunk's end cuts is put together again.
+    """
+    n = len(values) - shape.width + 1
+    pieces: list[tuple] = []
+    for at in range(0, n, chunk):
+        piece = cells_between(values, bounds, shape, at, min(at + chunk, n))
+        if pieces and len(piece[2]) and len(pieces[-1][2]):
+            before = pieces[-1]
+            # neighbours with the same anchor and band in the same document are one cell
+            if before[3][-1] + 1 == piece[2][0] == at and all(before[i][-1] == piece[i][0] for i in (4, 5, 6)):
+                before[3][-1] = piece[3][0]
+                piece = tuple(x[1:] for x in piece)
+                if not len(piece[2]):
+                    continue
+        pieces.append(piece)
+    if not pieces:
+        none = np.zeros(0, dtype=np.int64)
         return Cells(none.astype(U), none.astype(U), none, none, none)
-    one, two = Sequence(values, 0), Sequence(values, 1)
+    return Cells(*(np.concatenate(x) for x in list(zip(*pieces))[:5]))
+
+
+def cells_between(values: np.ndarray, bounds: np.ndarray, shape: Shape, begin: int, end: int) -> tuple:
+    """Inner, outer, first, last, doc, anchor and band of the cells whose windows start
+    in ``begin .. end - 1``."""
+    w, step = shape.width, shape.step
+    base = max(begin - step + 1, 0)             # as far as an outer part reaches
+    part = values[base:end + w + step - 1]
+    one, two = Sequence(part, 0), Sequence(part, 1)
     # the minimal gram of each window; ties go to the leftmost
-    grams = (one.all_windows(shape.gram) & U(0xFFFFFFFF00000000)) | np.arange(n - shape.gram + 1, dtype=U)
-    anchor = (sliding_min(grams, w - shape.gram + 1) & U(0xFFFFFFFF)).astype(np.int64)
+    lo, size = begin - base, end - begin + w - shape.gram
+    grams = one.all_windows(shape.gram)[lo:lo + size]
+    grams = (grams & U(0xFFFFFFFF00000000)) | np.arange(size, dtype=U)
+    anchor = (sliding_min(grams, w - shape.gram + 1) & U(0xFFFFFFFF)).astype(np.int64) + begin
     del grams
-    starts = np.arange(n - w + 1)
-    band = (anchor - starts) // shape.step
-    new = np.ones(len(starts), dtype=bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (band[1:] != band[:-1])
+    starts = np.arange(begin, end)
+    band = (anchor - starts) // step
+    some = np.arange(np.searchsorted(bounds, begin, side="right") - 1, np.searchsorted(bounds, end - 1, side="right"))
+    sizes = np.maximum(np.minimum(bounds[some + 1], end) - np.maximum(bounds[some], begin), 0)
+    doc = np.repeat(some, sizes)
     # a window must end in the document it starts in
-    inside = np.zeros(len(starts) + 1, dtype=np.int64)
-    for_doc = np.diff(bounds) >= w
-    inside[bounds[:-1][for_doc]] += 1
-    inside[bounds[1:][for_doc] - w + 1] -= 1
-    valid = np.cumsum(inside[:-1]) > 0
-    new[1:] |= valid[1:] != valid[:-1]
-    edge = np.zeros(len(starts) + 1, dtype=bool)
-    edge[bounds[bounds <= len(starts)]] = True
-    new |= edge[:-1]
+    valid = starts <= np.repeat(bounds[some + 1] - w, sizes)
+    new = np.ones(len(starts), dtype=bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (band[1:] != band[:-1]) | (doc[1:] != doc[:-1]) | (valid[1:] != valid[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
     keep = valid[first]
     first, last = first[keep], last[keep]
-    a, j = anchor[first], band[first]
-    doc = np.searchsorted(bounds, first, side="right") - 1
-    lo, size = a - shape.step * j, w - shape.step + 1
-    inner = mix(one.windows(lo, size) + j.astype(U))
-    lo, size = lo - shape.step + 1, w + shape.step - 1
+    a, j, doc = anchor[first], band[first], doc[first]
+    lo, size = a - step * j, w - step + 1
+    inner = mix(one.windows(lo - base, size) + j.astype(U))
+    lo, size = lo - step + 1, w + step - 1
     whole = (lo >= bounds[doc]) & (lo + size <= bounds[doc + 1])
     outer = np.zeros(len(first), dtype=U)
-    outer[whole] = two.windows(lo[whole], size) | U(1)     # 0: not provable
-    return Cells(inner, outer, first, last, doc)
+    outer[whole] = two.windows(lo[whole] - base, size) | U(1)     # 0: not provable
+    return inner, outer, first + begin, last + begin, doc, a, j
+
+
+def window_keys(values: np.ndarray, at: np.ndarray, width: int, chunk: int = CHUNK) -> np.ndarray:
+    """Hash of the window at each of the ascending positions, in chunks."""
+    keys = np.empty(len(at), dtype=U)
+    for lo in range(0, len(values), chunk):
+        i, j = np.searchsorted(at, [lo, lo + chunk])
+        if i < j:
+            keys[i:j] = Sequence(values[lo:lo + chunk + width - 1], 1).windows(at[i:j] - lo, width)
+    return keys
 
 
 def ordinals(ids: list) -> np.ndarray:
@@ -117,17 +149,12 @@ def distinct(keys: np.ndarray, second: np.ndarray, docs: np.ndarray):
     return k[at], s[at], many, d[at], entry
 
 
-def spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """All integers of the ranges ``first .. last``, one range after the other."""
-    sizes = last - first + 1
-    total = int(sizes.sum())
-    if not total:
-        return np.zeros(0, dtype=np.int64)
-    jump = np.ones(total, dtype=np.int64)
-    jump[0] = first[0]
-    at = np.cumsum(sizes)[:-1]
-    jump[at] = first[1:] - last[:-1]
-    return np.cumsum(jump)
+def within(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """Mask of the positions inside the ranges ``first .. last``, which don't overlap."""
+    step = np.zeros(n + 1, dtype=np.int8)
+    step[first] += 1
+    step[last + 1] -= 1
+    return np.cumsum(step[:-1], dtype=np.int8) > 0
 
 
 def covered(starts_dup: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -136,7 +163,7 @@ def covered(starts_dup: np.ndarray, n: int, width: int) -> np.ndarray:
     at = np.flatnonzero(starts_dup)
     step[at] += 1
     step[at + width] -= 1           # starts are distinct, so plain indexing adds up
-    return np.cumsum(step[:-1]) > 0
+    return np.cumsum(step[:-1], dtype=np.int32) > 0
 
 
 class Matcher:
@@ -190,9 +217,9 @@ class Matcher:
         own = ordinals(row["ids"])
         marks = np.zeros(len(values) + 1, dtype=np.uint8)       # of window starts: 1 known to be duplicate, 2 open
         dup = (code[entry] == SETTLED) & self.is_dup(count[entry], least[entry], own[cells.doc])
-        marks[spread(cells.first[dup], cells.last[dup])] = 1
+        marks[:-1][within(cells.first[dup], cells.last[dup], len(values))] = 1
         wait = code[entry] == OPEN
-        marks[spread(cells.first[wait], cells.last[wait])] = 2
+        marks[:-1][within(cells.first[wait], cells.last[wait], len(values))] = 2
         waiting = np.zeros(len(bounds) - 1, dtype=bool)
         waiting[cells.doc[wait]] = True
         raw_ids, raw_bounds, raw = B.open_block(row)
@@ -223,7 +250,7 @@ class Matcher:
         values, bounds = self.symbols(todo)
         at = np.flatnonzero(todo["marks"] == 2)
         doc = np.searchsorted(bounds, at, side="right") - 1
-        keys = Sequence(values, 1).windows(at, self.shape.width) if len(at) else np.zeros(0, dtype=U)
+        keys = window_keys(values, at, self.shape.width)
         own = ordinals(todo["ids"])[doc]
         key, zero, many, least, entry = distinct(keys, np.zeros(len(keys), dtype=U), own)
         rows, order = B.deal(todo["block"], key, parts, many, least)

@@ -3,10 +3,13 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
+from pitpanel.llm.hashing import mix
 from pitpanel.llm.lz_dedup import duplicate_words
 from pitpanel.llm.suffix_dedup import duplicate_bytes
+from pitpanel.llm.windows import Shape, find_cells, window_keys
 
 
 def byte_truth(rows, width):
@@ -78,6 +81,22 @@ def test_words_match_brute_force(spark, seed):
         assert sorted(got, key=str) == word_truth(rows, width)
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 64, 1000])
+def test_chunks_leave_the_cells_as_they_are(chunk):
+    rng = np.random.default_rng(chunk)
+    values = mix(rng.integers(0, 3, 2500).astype(np.uint64))
+    bounds = np.array([0, 0, 3, 700, 700, 703, 1500, 1520, 2500, 2500])
+    shape = Shape(24, 4, 5)
+    whole, cut = find_cells(values, bounds, shape), find_cells(values, bounds, shape, chunk)
+    for name in ("inner", "outer", "first", "last", "doc"):
+        assert (getattr(whole, name) == getattr(cut, name)).all()
+    # every window inside a document belongs to one cell
+    windows = [s for a, b in zip(bounds[:-1], bounds[1:]) for s in range(a, b - 23)]
+    assert [s for a, b in zip(cut.first, cut.last) for s in range(a, b + 1)] == windows
+    at = np.array(windows)[::3]
+    assert (window_keys(values, at, 24, chunk) == window_keys(values, at, 24)).all()
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert duplicate_bytes(df).count() == 0
