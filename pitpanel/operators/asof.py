@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, row_bytes
+from pitpanel.session import materialize
 from pitpanel.operators.sequence import (DEFAULT_BUCKET_DAYS, asof_join, suggest_bucket_days,
                                         time_bucket, with_neighbor)
 
@@ -96,6 +97,7 @@ def point_in_time(prices: DataFrame, history: DataFrame, columns: Sequence[str],
             history, key, meta_ts, [*columns, *tb], bucket_days, broadcast_rows, broadcast_bytes)):
         payload = F.struct(*[_q(src).alias(dst) for src, dst in wanted.items()])
         iv = _intervals(history, key, meta_ts, payload, tb, bucket_days).withColumnRenamed(key, "__key")
+        iv = materialize(iv, "intervals")       # proven small; both tables below come from it
         b_from, b_to = time_bucket("__from", bucket_days), time_bucket("__to", bucket_days)
         closed = (iv.where(F.col("__to").isNotNull())
                   .select("__key", F.explode(F.sequence(b_from, b_to)).alias("__b"), "__from", "__to", "__m"))

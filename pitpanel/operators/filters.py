@@ -84,9 +84,13 @@ def key_filter(df: DataFrame, key: str, keys: Sequence[str] | DataFrame | None,
     return df.where(F.col(key).isin(keys))
 
 
-def _scalar(df: DataFrame, expr):
-    """One value computed by a small job (a bounded result, not data)."""
-    return df.select(expr.alias("v")).first()["v"]
+def _newest(df: DataFrame, ts: str) -> Column:
+    """The greatest ``ts`` as a literal, found by a small job.  Instants travel as
+    microseconds, so the driver machine's zone plays no part."""
+    dtype = df.schema[ts].dataType
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.lit(df.select(F.unix_micros(F.max(ts))).first()[0]).cast("long"))
+    return F.lit(df.select(F.max(ts)).first()[0]).cast(dtype)
 
 
 def latest_snapshot(df: DataFrame, ts: str) -> DataFrame:
@@ -105,17 +109,13 @@ def latest_snapshot(df: DataFrame, ts: str) -> DataFrame:
         if last_day is not None:
             newest_day = pkey == F.lit(last_day)
             df = df.where(pkey.isNull() | newest_day if outside else newest_day)
-    newest = _scalar(df, F.max(ts))
-    return df.where(F.col(ts) == F.lit(newest).cast(df.schema[ts].dataType))
+    return df.where(F.col(ts) == _newest(df, ts))
 
 
 def previous_snapshot(df: DataFrame, ts: str, older_than: str = "1 day") -> DataFrame:
     """Rows of the last run more than ``older_than`` before the latest run."""
-    dtype = df.schema[ts].dataType
-    latest = _scalar(df, F.max(ts))
-    bound = F.lit(latest).cast(dtype) - F.expr(f"INTERVAL {older_than}")
-    prev = _scalar(df.where(F.col(ts) < bound), F.max(ts))
-    return df.where(F.col(ts) == F.lit(prev).cast(dtype))
+    bound = _newest(df, ts) - F.expr(f"INTERVAL {older_than}")
+    return df.where(F.col(ts) == _newest(df.where(F.col(ts) < bound), ts))
 
 
 def updated_since(recs: DataFrame, since, col: str = "itemUpdateDate") -> DataFrame:

@@ -51,9 +51,12 @@ _BL = "__pp_bucket_edge"
 
 
 def time_bucket(ts: str | Column, bucket_days: int) -> Column:
-    """Integer bucket of a timestamp: whole days since epoch // bucket_days."""
+    """Integer bucket of a timestamp: seconds since epoch // ``bucket_days`` days of them.
+
+    Counted in seconds, not in dates of the session zone, which a zone that steps back
+    across midnight puts out of order."""
     col = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_date(F.to_date(col)) / F.lit(int(bucket_days))).cast("long")
+    return F.floor(F.unix_timestamp(col) / F.lit(86400 * int(bucket_days))).cast("long")
 
 
 def _q(name: str) -> Column:

@@ -86,7 +86,8 @@ def mean_and_count_by(facts: DataFrame, dims: DataFrame, key: str, value: str,
 
 
 def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = (),
-                     out: str = "percentile", accuracy: int = 100_000) -> DataFrame:
+                     out: str = "percentile", accuracy: int = 100_000,
+                     also: Sequence[Column] = ()) -> DataFrame:
     """Exact interpolated percentile (``percentile(value, p)`` semantics)
     without holding a whole group in one aggregation buffer.
 
@@ -102,6 +103,10 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
        interpolates between ranks ``floor``/``ceil`` of ``(n - 1) * p``
        exactly as Spark's ``percentile`` does.
 
+    ``also`` are named aggregates over all rows of a group (``by`` must be given), computed in
+    the pass of the sketch; then every group has a row, with a null percentile where it
+    holds no value.
+
     Should the band ever miss a rank (it cannot while the sketch guarantee
     holds) the query fails loudly instead of returning a wrong value.
     """
@@ -115,19 +120,22 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
     ladder = [2.0 ** -k for k in range(1, 40) if 2.0 ** -k >= 3.0 / accuracy]
     kk = len(ladder)
     pcts = [max(0.0, p - e) for e in ladder] + [min(1.0, p + e) for e in ladder]
-    sketch = d.groupBy(*by).agg(
+    source = df.withColumn("__x", F.col(value).cast("double")) if also else d
+    sketch = source.groupBy(*by).agg(
         F.percentile_approx("__x", pcts, accuracy).alias("__q"),
-        F.count(F.lit(1)).alias("__n"))
-    need = F.greatest(F.lit(3.0 / accuracy), F.lit(3.0) / F.col("__n"))
+        F.count("__x").alias("__n"), *also)
+    names = [c for c in sketch.columns if c not in (*by, "__q", "__n")]
+    need = F.greatest(F.lit(3.0 / accuracy), F.lit(3.0) / F.greatest(F.col("__n"), F.lit(1)))
     k = F.least(F.greatest(F.floor(-F.log2(need)), F.lit(1)), F.lit(kk)).cast("int")
-    bounds = sketch.select(*by, F.element_at("__q", k).alias("__lo"),
+    bounds = sketch.select(*by, *names, F.element_at("__q", k).alias("__lo"),
                            F.element_at("__q", k + kk).alias("__hi"),
                            ((F.col("__n") - 1) * F.lit(float(p))).alias("__pos"))
     if by:
         # one row per group: computed once (the sketch pass), then broadcast
         # behind the size proof; beyond it a shuffle join (AQE splits a hot group)
         from pitpanel.session import materialize
-        bounds = materialize(bounds, "percentile-bounds")
+        everything = materialize(bounds, "percentile-bounds")
+        bounds = everything.drop(*names)
         small = provably_small(bounds)
         j = join_null_safe(d, F.broadcast(bounds) if small else bounds, by)
     else:
@@ -157,7 +165,8 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
                      F.raise_error(F.lit("exact_percentile: sketch band missed a rank")))
               .when((r_lo == r_hi) | (vlo == vhi), vlo)
               .otherwise((r_hi - pos) * vlo + (pos - r_lo) * vhi))
-    return picked.select(*by, interp.cast("double").alias(out))
+    found = picked.select(*by, interp.cast("double").alias(out))
+    return join_null_safe(everything.select(*by, *names), found, by, how="left") if names else found
 
 
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "median",

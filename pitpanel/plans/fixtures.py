@@ -10,13 +10,15 @@ semi-structured raw records.  All are lazy DataFrames over whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.canonical import content_hash
-from pitpanel.functions.timeparts import floor_to
+from pitpanel.functions.timeparts import floor_to, run_stamp, stamp_to_timestamp
 from pitpanel.operators.scd import change_log
 from pitpanel.session import materialize
+from pitpanel.sinks import writers
+from pitpanel.sources.store import PanelStore
 
 SNAPSHOT_ATTRS = ("class", "department")
 # the fixture runs are monthly / quarterly: a one-year bucket holds at most
@@ -29,8 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fx_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sku, fetched_at) snapshots: one run per calendar month."""
+def fx_prices(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """(sku, fetched_at) snapshots: one run per calendar month.  ``stored=True`` writes them
+    once, as the prices of a real panel are (see :func:`fx_history`)."""
     li = table(spark, sf_dir, "lineitem")
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     sale = F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity")
@@ -41,8 +44,9 @@ def fx_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.min(sale).alias("sale_price"),
                 (F.max("l_discount") >= F.lit(0.05).cast("double")).alias("on_sale"),
                 F.count(F.lit(1)).alias("review_count")))
-    return agg.select(F.col("l_partkey").cast("string").alias("sku"), "fetched_at", "regular_price",
-                      "sale_price", "on_sale", "review_count")
+    out = agg.select(F.col("l_partkey").cast("string").alias("sku"), "fetched_at", "regular_price",
+                     "sale_price", "on_sale", "review_count")
+    return materialize(out, "fx-prices") if stored else out
 
 
 def fx_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +58,10 @@ def fx_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.select(F.col("l_partkey").cast("string").alias("sku"), "observed_at", "class", "department")
 
 
-def fx_hashed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshots with the content hash over every attribute and the key."""
-    snaps = fx_snapshots(spark, sf_dir)
-    return snaps.withColumn("content_hash", content_hash(["sku", *SNAPSHOT_ATTRS]))
+def fx_hashed_snapshots(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """Snapshots with the content hash over every attribute and the key (``stored``: written once)."""
+    snaps = fx_snapshots(spark, sf_dir).withColumn("content_hash", content_hash(["sku", *SNAPSHOT_ATTRS]))
+    return materialize(snaps, "fx-snapshots") if stored else snaps
 
 
 def fx_history(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
@@ -68,7 +72,7 @@ def fx_history(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFr
     reads it back -- the history is a stored table in a real panel, and
     operators that read their input twice should scan it, not re-derive it.
     """
-    log = change_log(fx_hashed_snapshots(spark, sf_dir), key="sku", ts="observed_at",
+    log = change_log(fx_hashed_snapshots(spark, sf_dir, stored), key="sku", ts="observed_at",
                      hash_col="content_hash", bucket_days=BUCKET_DAYS)
     out = log.select("sku", "observed_at", *SNAPSHOT_ATTRS)
     return materialize(out, "fx-history") if stored else out
@@ -109,13 +113,41 @@ def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("ts").alias("observed_at"), "event_type", "value", "props")
 
 
+def fx_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily panel: users as keys, the day's events of each as its prices (written once).
+
+    Prices are whole units: their means and medians are then the same doubles in every
+    engine, and so are the decimals that a report prints."""
+    ev = table(spark, sf_dir, "events")
+    out = (ev.groupBy("user_id", floor_to("ts", "day").alias("fetched_at"))
+           .agg(F.round(F.max("value")).alias("regular_price"), F.round(F.min("value")).alias("sale_price"), (F.count("value") > 1).alias("on_sale")))
+    return materialize(out.select(F.col("user_id").cast("string").alias("sku"), "fetched_at", "regular_price", "sale_price", "on_sale"), "fx-daily")
+
+
+def write_fixture_panel(spark: SparkSession, sf_dir: str, root: str) -> PanelStore:
+    """The fixture's prices (one run a month), its catalog (first the active part, then a newer
+    version: all of it) and run logs (one a day and event type), written by the sinks below ``root``."""
+    store = PanelStore(spark, root)
+    p = fx_prices(spark, sf_dir).withColumn("run", run_stamp("fetched_at"))
+    writers.write_runs(p.select("sku", F.col("regular_price").alias("regularPrice"), F.col("sale_price").alias("salePrice"), F.col("on_sale").alias("onSale"),
+                                F.col("review_count").alias("customerReviewCount"), stamp_to_timestamp("run").alias("fetched_at"), "run"), store.path("prices"))
+    for version, catalog in (("2026-01-01T00-00-00Z", fx_metadata_active(spark, sf_dir)), ("2026-01-02T00-00-00Z", fx_metadata_current(spark, sf_dir))):
+        writers.write_version(catalog.drop("size").withColumn("version", F.lit(version)), store.path("metadata/current"))
+    by_day = Window.partitionBy("run_day").orderBy("run_id")       # a day's few runs
+    runs = fx_runs(spark, sf_dir).withColumn("hour", F.lpad(F.row_number().over(by_day).cast("string"), 2, "0"))
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias(c)
+    logs = runs.select(F.concat(F.date_format("run_day", "yyyy-MM-dd'T'"), "hour", F.lit("-00-00Z")).alias("run"), iso("started_at"), iso("finished_at"),
+                       "status", "products_fetched", "metadata_changed_rows", F.col("api_calls").cast("string").alias("api_calls"))
+    logs.repartition("run").write.mode("overwrite").partitionBy("run").json(store.path("logs/runs"))
+    return store
+
+
 def land_fixture_pages(spark: SparkSession, sf_dir: str, landing: str) -> None:
     """Write the quarterly snapshots as landed API pages, one run per
     quarter: envelopes of at most 100 consecutive keys (``sku // 100``, so
     no group grows with the catalog), one envelope per line, under
     ``landing/run=<stamp>/``."""
     from pitpanel import schemas
-    from pitpanel.functions.timeparts import run_stamp
     snaps = fx_snapshots(spark, sf_dir)
     present = {"sku": F.col("sku").cast("long"), "class": F.col("class"),
                "department": F.col("department"), "active": F.lit(True)}

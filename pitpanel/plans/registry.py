@@ -146,7 +146,7 @@ def panel_point_in_time_window(spark, sf):
 def validity_intervals(spark, sf):
     """SCD5: each version's [observed_at, valid_to)."""
     from pitpanel.operators.scd import validity_intervals as vi
-    return vi(fx.fx_history(spark, sf), bucket_days=fx.BUCKET_DAYS)
+    return vi(fx.fx_history(spark, sf, stored=True), bucket_days=fx.BUCKET_DAYS)
 
 
 @query("content_hash")
@@ -166,7 +166,7 @@ def canonical_json_q(spark, sf):
 def scd2_changed_rows(spark, sf):
     """SCD1 backfill: snapshot rows whose hash differs from the key's previous one."""
     from pitpanel.operators.scd import change_log
-    return change_log(fx.fx_hashed_snapshots(spark, sf), bucket_days=fx.BUCKET_DAYS)
+    return change_log(fx.fx_hashed_snapshots(spark, sf, stored=True), bucket_days=fx.BUCKET_DAYS)
 
 
 @query("scd2_index")
@@ -363,7 +363,7 @@ def _day_after_last_run(runs):
 
 def _health(spark, sf):
     from pitpanel.operators.monitor import catalog_health
-    return catalog_health(fx.fx_prices(spark, sf), fx.fx_history(spark, sf),
+    return catalog_health(fx.fx_prices(spark, sf, stored=True), fx.fx_history(spark, sf),
                           compare_to="previous_run_day")
 
 
@@ -549,14 +549,175 @@ def json_each_q(spark, sf):
 def intake_stream_history(spark, sf):
     """ING1 + STR1: the quarterly snapshots landed as API pages, ingested by
     the Structured Streaming intake; its change log equals the fixture's."""
-    import uuid
-    from pitpanel.session import checkpoint_dir
     from pitpanel.sources.store import PanelStore
     from pitpanel.streaming.intake import stream_intake
-    base = f"{checkpoint_dir(spark).rstrip('/')}/pitpanel-intake-{uuid.uuid4().hex}"
+    base = _scratch(spark, "intake")
     fx.land_fixture_pages(spark, sf, f"{base}/landing")
     stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/stream-checkpoint",
                   multiline=False).awaitTermination()
     h = PanelStore(spark, f"{base}/panel").history()
     return h.select("sku", F.to_timestamp_ntz(F.col("run"), F.lit("yyyy-MM-dd'T'HH-mm-ss'Z'")).alias("observed_at"),
                     "class", "department")
+
+
+# ---------------------------------------------------------------- over written files
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from pitpanel.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/pitpanel-{name}-{uuid.uuid4().hex}"
+
+
+def _panel(spark, sf):
+    return fx.write_fixture_panel(spark, sf, _scratch(spark, "panel"))
+
+
+def _plain_prices(df):
+    """Stored price rows in the columns of the fixture view (times by UTC)."""
+    at = F.to_timestamp_ntz(F.col("run"), F.lit("yyyy-MM-dd'T'HH-mm-ss'Z'"))
+    return df.select("sku", at.alias("fetched_at"), F.col("regularPrice").alias("regular_price"), F.col("salePrice").alias("sale_price"),
+                     F.col("onSale").alias("on_sale"), F.col("customerReviewCount").alias("review_count"))
+
+
+def _utc_range():
+    import datetime as dt
+    return [dt.datetime.fromisoformat(d).replace(tzinfo=dt.timezone.utc) for d in RANGE]
+
+
+@query("stored_prices_range")
+def stored_prices_range(spark, sf):
+    """SRC1 + SNK1 + FLT1: prices written per run, read back for a time range."""
+    start, end = _utc_range()
+    return _plain_prices(loaders.load_prices(_panel(spark, sf).prices(), start, end, sort=False))
+
+
+@query("stored_snapshot_latest")
+def stored_snapshot_latest(spark, sf):
+    """SRC1 + FLT3: the latest run of the written prices."""
+    return _plain_prices(loaders.load_prices_latest(_panel(spark, sf).prices()))
+
+
+@query("stored_metadata_current")
+def stored_metadata_current(spark, sf):
+    """SRC2 + SNK3: the newest of two written versions of the catalog."""
+    return _panel(spark, sf).current().select("sku", "name", "manufacturer", "department")
+
+
+@query("run_log_summary")
+def run_log_summary(spark, sf):
+    """SRC7: the per-run summary of written run logs (counts as text in some)."""
+    from pitpanel.sources.runlogs import runs_summary
+    return runs_summary(spark, _panel(spark, sf).path("logs/runs")).select(
+        "started_at", "finished_at", "status", "api_calls", "products_fetched", "metadata_changed_rows")
+
+
+@query("run_logs_of_day")
+def run_logs_of_day(spark, sf):
+    """SRC8: the run logs of the last day with runs."""
+    from pitpanel.sources.runlogs import latest_run, runs_for_day
+    logs = _panel(spark, sf).path("logs/runs")
+    last = latest_run(spark, logs).first()
+    return runs_for_day(spark, logs, last["stamp"][:10] if last else "").select("stamp", "started_at", "status", "products_fetched")
+
+
+@query("run_log_latest")
+def run_log_latest(spark, sf):
+    """SRC13: the newest run log."""
+    from pitpanel.sources.runlogs import latest_run
+    return latest_run(spark, _panel(spark, sf).path("logs/runs")).select("stamp", "status", "api_calls")
+
+
+@query("file_inventory")
+def file_inventory(spark, sf):
+    """SRC12: files per prefix and the newest of them, over the written run logs."""
+    from pitpanel.sources.inventory import inventory, list_files
+    rows = inventory(list_files(spark, _panel(spark, sf).root, "*.json"))
+    return rows.select("prefix", "n_files", "rank", F.regexp_extract("path", "run=([^/]+)", 1).alias("run"))
+
+
+@query("csv_export")
+def csv_export(spark, sf):
+    """SNK4: prices of a range exported as CSV, read back."""
+    from pitpanel.sinks.export import export
+    start, end = _utc_range()
+    path = export(_panel(spark, sf), "prices", _scratch(spark, "csv"), start, end)
+    back = spark.read.option("header", True).csv(path)
+    return _plain_prices(back).select("sku", "fetched_at", *[F.col(c).cast(t).alias(c) for c, t in (
+        ("regular_price", "double"), ("sale_price", "double"), ("on_sale", "boolean"), ("review_count", "long"))])
+
+
+def _daily_report(spark, sf):
+    from pitpanel.operators.monitor import alerts, report_lines
+    runs, health = fx.fx_runs(spark, sf, stored=True), _daily_health(spark, sf)
+    return report_lines(runs, alerts(runs, health, today=_day_after_last_run(runs), expected_runs=6), health)
+
+
+def _daily_health(spark, sf):
+    from pitpanel.operators.monitor import catalog_health
+    from pitpanel.session import materialize
+    daily = fx.fx_daily(spark, sf)
+    seen = daily.groupBy("sku").agg(F.min("fetched_at").alias("observed_at"))
+    return materialize(catalog_health(daily, seen, compare_to="previous_day"), "daily-health")
+
+
+@query("catalog_health_daily")
+def catalog_health_daily(spark, sf):
+    """MON5 compared with the calendar day before; churn is the keys first seen that day."""
+    h = _daily_health(spark, sf)
+    return h.select("day", "n_skus", "n_on_sale", _r("mean_regular").alias("mean_regular"), _r("median_regular").alias("median_regular"),
+                    "prev_n_skus", "delta_skus", _r("delta_pct").alias("delta_pct"), "churn")
+
+
+@query("report_daily")
+def report_daily(spark, sf):
+    """MON6 + MON4: the whole daily report, catalog and churn sections included."""
+    return _daily_report(spark, sf)
+
+
+@query("report_files")
+def report_files(spark, sf):
+    """SNK5: the daily report written as text files, read back."""
+    from pitpanel.sinks.writers import write_report
+    path = _scratch(spark, "report")
+    write_report(_daily_report(spark, sf), path, day_col="run_day")
+    return spark.read.text(path).select(F.col("report_day").cast("date").cast("timestamp_ntz").alias("run_day"), F.col("value").alias("text"))
+
+
+@query("snapshot_latest_keys")
+def snapshot_latest_keys(spark, sf):
+    """FLT2 with a key list: the latest run of the five most reviewed keys."""
+    keys = [r["sku"] for r in _top_reviewed(spark, sf, TOP_K).select("sku").collect()]
+    return loaders.load_prices_latest(fx.fx_prices(spark, sf), skus=keys)
+
+
+@query("prices_range_all_keys")
+def prices_range_all_keys(spark, sf):
+    """FLT2 with an empty key list: no filter."""
+    return loaders.load_prices(fx.fx_prices(spark, sf), start=RANGE[0], end=RANGE[1], skus=[])
+
+
+@query("updated_since")
+def updated_since_q(spark, sf):
+    """FLT7: records whose update date, an ISO text, is after a moment."""
+    from pitpanel.operators.filters import updated_since
+    raw = fx.fx_raw(spark, sf)
+    iso = F.date_format("observed_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return updated_since(raw.withColumn("itemUpdateDate", iso), "2024-01-15 12:00:00+00:00").select("event_id", "itemUpdateDate")
+
+
+@query("iso_parse")
+def iso_parse(spark, sf):
+    """§2.12: ISO texts in several forms (T or space, Z or offset, with and without fraction)."""
+    from pitpanel.functions.timeparts import parse_iso
+    at, kind = F.col("observed_at"), F.col("event_type")
+    text = (F.when(kind == "error", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(kind == "view", F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS'+02:00'"))
+            .when(kind == "click", F.lit("yesterday"))
+            .otherwise(F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS'Z'")))
+    return fx.fx_raw(spark, sf).select("event_id", F.unix_micros(parse_iso(text)).alias("micros"))
+
+
+@query("partition_parts")
+def partition_parts_q(spark, sf):
+    """§2.12: year, month and day of a run time."""
+    from pitpanel.functions.timeparts import partition_parts
+    return fx.fx_raw(spark, sf).select("event_id", *partition_parts("observed_at"))

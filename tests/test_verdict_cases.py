@@ -65,3 +65,59 @@ def test_days_without_runs_and_unfinished_runs(spark):
     lines = {(r.run_day.day, r.section, r.line_no): r.text for r in report_lines(runs, found).collect()}
     assert lines[(21, 2, 0)] == "- Total: **0** (ok: 0, errors: 0)"
     assert lines[(22, 2, 1)] == "| 2026-04-22 01:00:00 | running | ? | ? | ? | ? |"
+
+
+def land(path, text):
+    path.mkdir(parents=True, exist_ok=True)
+    (path / "page-1.json").write_text(text)
+    return str(path)
+
+
+def test_scalars_delivered_as_text_are_kept(spark, tmp_path):
+    from pitpanel.sources.landed import build_metadata, build_prices, read_pages
+    as_text = '{"currentPage": 1, "totalPages": 1, "total": 1, "products": [{"sku": "77", "regularPrice": "9.5", "onSale": "true", "classId": "3", "customerReviewCount": "4.0", "name": 5}]}'
+    as_values = '{"currentPage": 1, "totalPages": 1, "total": 1, "products": [{"sku": 77, "regularPrice": 9.5, "onSale": true, "classId": 3, "customerReviewCount": 4, "name": "5"}]}'
+    got = []
+    for name, text in (("a", as_text), ("b", as_values)):
+        recs = records(read_pages(spark, land(tmp_path / name, text)))
+        got.append((build_prices(recs, "2026-04-21").collect(), build_metadata(recs, "2026-04-21").collect()))
+    assert got[0] == got[1]
+    price = got[0][0][0]
+    assert (price.sku, price.regularPrice, price.onSale, price.customerReviewCount) == ("77", 9.5, True, 4)
+
+
+def test_truncated_pages_and_records_without_a_key_fail_the_run(spark, tmp_path):
+    import datetime as dt
+    import pytest
+    from pitpanel.sources.landed import read_pages
+    from pitpanel.sources.runlogs import read_run_logs
+    from pitpanel.streaming.intake import ingest_run
+    whole = '{"currentPage": 1, "totalPages": 2, "total": 2, "products": [{"sku": 1}]}'
+    for name, text in (("cut", '{"currentPage": 2, "totalPages": 2, "total": 2, "products": [{"sku"'),
+                       ("keyless", '{"currentPage": 2, "totalPages": 2, "total": 2, "products": [{"name": "x"}]}')):
+        folder = tmp_path / name
+        land(folder, whole)
+        (folder / "page-2.json").write_text(text)
+        root = str(tmp_path / f"data-{name}")
+        with pytest.raises(Exception):
+            ingest_run(spark, records(read_pages(spark, str(folder))), root, dt.datetime(2026, 4, 21, tzinfo=dt.timezone.utc))
+        assert [r.status for r in read_run_logs(spark, root + "/logs/runs").collect()] == ["error"]
+
+
+def test_buckets_stay_in_order_where_a_zone_steps_back(spark):
+    from pitpanel.operators.sequence import time_bucket
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")      # 2017-02-18 24:00 became 23:00
+        df = spark.range(48).select((F.lit(1487372400) + F.col("id") * 1800).cast("timestamp").alias("t"))
+        buckets = [r.b for r in df.orderBy("t").select(time_bucket("t", 1).alias("b")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert buckets == sorted(buckets) and len(set(buckets)) == 2
+
+
+def test_percentile_with_other_aggregates_keeps_empty_groups(spark):
+    from pitpanel.operators.stats import exact_median
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("a", None), ("b", None), (None, 7.0)], "g string, v double")
+    got = {r.g: (r.n, r.median) for r in exact_median(df, "v", ["g"], also=[F.count("*").alias("n")]).collect()}
+    assert got == {"a": (3, 2.5), "b": (1, None), None: (1, 7.0)}
