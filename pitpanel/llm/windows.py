@@ -36,7 +36,7 @@ from pitpanel.session import materialize
 U = np.uint64
 NO_DOC = np.iinfo(np.int64).max
 UNIQUE, SETTLED, OPEN = 0, 1, 2
-CHUNK = 1 << 20         # window starts hashed at once
+CHUNK = 1 << 17         # window starts hashed at once
 
 
 @dataclass(frozen=True)
