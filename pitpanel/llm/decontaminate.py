@@ -2,15 +2,16 @@
 
 Benchmark items are cut into passages and weighted by TF-IDF, with document frequencies
 counted over the whole corpus.  A randomised SVD (range finder, power iterations, all
-products formed by Spark over the passages) gives the latent space.  Every passage of every
-document is projected into it, and items at a cosine of ``least_cosine`` or more are
-candidates.  A candidate stands if the longest common subsequence of words with the
+products formed by Spark over the passages) gives latent spaces: items share one as long as
+they have ``rank`` passages at most, so that a space keeps every direction of its passages
+and a cosine in it is not weakened by the other items.  Every passage of every document is
+projected into each space, and items at a cosine of ``least_cosine`` or more are candidates.  A candidate stands if the longest common subsequence of words with the
 item near that passage covers ``least_lcs`` of the item, and ``least_answer`` of the rarer
 half of the item's words (its answer) are there.
 
-The benchmark is the query set.  It is worked off in blocks of ``block_items`` items, so
-what is broadcast (vocabulary, weights, latent vectors) is bounded by that parameter and the
-length of an item.  The corpus is never shuffled or sampled.
+The benchmark is the query set.  It is worked off in blocks of ``block_items`` items and
+``SPACES`` latent spaces at most, so what is broadcast (vocabulary, weights, latent vectors)
+is bounded by these and the length of an item.  The corpus is never shuffled or sampled.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ U = np.uint64
 PASSAGE, STRIDE = 48, 24
 COMMON = 0.2            # words in more than this share of documents carry no weight
 GROUP_BYTES = 1 << 20
+SPACES = 16             # latent spaces that one pass over the documents searches
 MATCH_SCHEMA = "doc_id long, item_id long, cosine double, lcs double, answer double, start long"
 
 
@@ -71,6 +73,16 @@ def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
+@dataclass
+class Space:
+    """The latent space of some items' passages."""
+
+    words: np.ndarray               # places in the vocabulary, sorted
+    basis: np.ndarray               # words x rank: orthonormal columns, times idf
+    latent: np.ndarray              # passages of items x rank, unit length
+    owner: np.ndarray               # item of each passage
+
+
 @dataclass
 class Index:
     """What a task needs to search one block of benchmark items."""
@@ -78,9 +90,7 @@ class Index:
     vocabulary: np.ndarray          # word hashes, sorted
     idf: np.ndarray                 # of the vocabulary
     top_idf: float                  # of a word outside of it
-    space: np.ndarray               # vocabulary x rank, orthonormal columns
-    latent: np.ndarray              # passages of items x rank, unit length
-    owner: np.ndarray               # item of each passage
+    spaces: list[Space]
     items: list                     # (item id, word hashes, answer words) of each item
     lookup: Lookup | None = None
 
@@ -91,7 +101,6 @@ class Index:
         """Place of each word in the vocabulary; -1 for others."""
         if self.lookup is None:
             self.lookup = Lookup(self.vocabulary, np.arange(len(self.vocabulary), dtype=np.int64))
-            self.weighted = (self.space * self.idf[:, None]).astype(np.float32)
         at, known = self.lookup.get(keys)
         return np.where(known, at, -1)
 
@@ -99,32 +108,36 @@ class Index:
         """(text, first word, item, cosine) for passages near an item."""
         at = self.positions(keys)
         idf = np.where(at >= 0, self.idf[at], self.top_idf)
-        known = np.flatnonzero((at >= 0) & (idf > 0))
         text, start = [], []
         for i in range(len(firsts) - 1):
             s = passage_starts(int(firsts[i + 1] - firsts[i]))
             text += [i] * len(s)
             start += [int(firsts[i]) + x for x in s]
-        if not start or not len(known):
+        if not start:
             return []
         text, start = np.array(text), np.array(start)
         end = np.minimum(start + PASSAGE, firsts[1:][text])
-        lo, hi = np.searchsorted(known, start), np.searchsorted(known, end)
-        some = np.flatnonzero(hi > lo)
         squares = np.zeros(len(idf) + 1)
         np.cumsum(idf * idf, out=squares[1:])
         norm = np.sqrt(squares[end] - squares[start])
         out = []
-        for a in range(0, len(some), 2048):
-            mine = some[a:a + 2048]
-            base, top = lo[mine].min(), hi[mine].max()
-            vectors = self.weighted[at[known[base:top]]]
-            bounds = np.stack([lo[mine] - base, hi[mine] - base], axis=1).ravel()
-            # a closing row lets the last passage end where the words do
-            summed = np.add.reduceat(np.concatenate([vectors, np.zeros((1, vectors.shape[1]), dtype=np.float32)]), bounds)[0::2]
-            cosine = summed @ self.latent.T / norm[mine][:, None]
-            for p, q in zip(*np.nonzero(cosine >= least_cosine)):
-                out.append((int(text[mine[p]]), int(start[mine[p]]), int(self.owner[q]), float(cosine[p, q])))
+        for space in self.spaces:
+            row = np.full(len(self.vocabulary) + 1, -1)
+            row[space.words] = np.arange(len(space.words))
+            row = row[at]                               # the last entry is that of unknown words
+            known = np.flatnonzero(row >= 0)
+            lo, hi = np.searchsorted(known, start), np.searchsorted(known, end)
+            some = np.flatnonzero(hi > lo)
+            for a in range(0, len(some), 2048):
+                mine = some[a:a + 2048]
+                base, top = lo[mine].min(), hi[mine].max()
+                vectors = space.basis[row[known[base:top]]]
+                bounds = np.stack([lo[mine] - base, hi[mine] - base], axis=1).ravel()
+                # a closing row lets the last passage end where the words do
+                summed = np.add.reduceat(np.concatenate([vectors, np.zeros((1, vectors.shape[1]), dtype=np.float32)]), bounds)[0::2]
+                cosine = summed @ space.latent.T / norm[mine][:, None]
+                for p, q in zip(*np.nonzero(cosine >= least_cosine)):
+                    out.append((int(text[mine[p]]), int(start[mine[p]]), int(space.owner[q]), float(cosine[p, q])))
         return out
 
     def matches(self, texts: list[bytes], least_cosine, least_lcs, least_answer):
@@ -215,12 +228,19 @@ def randomised_svd(spark, rows: list[tuple], n_columns: int, rank: int, power: i
     return basis @ turn[:, np.argsort(values)[::-1][:rank]]
 
 
-def build_index(docs: DataFrame, items: list[tuple[int, bytes]], rank: int, text: str) -> Index | None:
-    """Index of a block of benchmark items; None if they hold no word with a weight."""
-    words = [(i, words_of([t])[0]) for i, t in items]
-    words = [(i, w) for i, w in words if len(w)]
-    if not words:
-        return None
+def latent_space(spark, rows: list[tuple], owner: list[int], idf: np.ndarray) -> Space:
+    """The space of all directions of ``rows``, passages as (places in the vocabulary, unit values)."""
+    words = np.unique(np.concatenate([c for c, _ in rows]))
+    rows = [(np.searchsorted(words, c), v) for c, v in rows]
+    space = randomised_svd(spark, rows, len(words), len(rows))
+    latent = np.stack([v @ space[c] for c, v in rows])
+    latent /= np.linalg.norm(latent, axis=1, keepdims=True)
+    return Space(words, (space * idf[words][:, None]).astype(np.float32), latent.astype(np.float32), np.array(owner))
+
+
+def build_index(docs: DataFrame, words: list[tuple], parts: list[list[int]], text: str) -> Index | None:
+    """Index of benchmark items, (id, word hashes) each; the items of a part share a space.
+    None if no document has a word with a weight."""
     vocabulary = np.unique(np.concatenate([w for _, w in words]))
     df, n = document_frequencies(docs, vocabulary, text)
     if not n:
@@ -228,39 +248,60 @@ def build_index(docs: DataFrame, items: list[tuple[int, bytes]], rank: int, text
     idf = np.log((n + 1) / (df + 1)) + 1
     idf[df > max(COMMON * n, 20)] = 0
     top = float(np.log(n + 1) + 1)
-    rows, owner = [], []
-    for k, (_, w) in enumerate(words):
-        at = np.searchsorted(vocabulary, w)
-        for s in passage_starts(len(w)):
-            columns, count = np.unique(at[s:s + PASSAGE], return_counts=True)
-            value = count * idf[columns]
-            if value.any():
-                rows.append((columns, value / np.linalg.norm(value)))
-                owner.append(k)
-    if not rows:
+    spaces = []
+    for part in parts:
+        rows, owner = [], []
+        for k in part:
+            at = np.searchsorted(vocabulary, words[k][1])
+            for s in passage_starts(len(at)):
+                columns, count = np.unique(at[s:s + PASSAGE], return_counts=True)
+                value = count * idf[columns]
+                if value.any():
+                    rows.append((columns[value > 0], value[value > 0] / np.linalg.norm(value)))
+                    owner.append(k)
+        if rows:
+            spaces.append(latent_space(docs.sparkSession, rows, owner, idf))
+    if not spaces:
         return None
-    space = randomised_svd(docs.sparkSession, rows, len(vocabulary), rank)
-    latent = np.stack([v @ space[c] for c, v in rows])
-    size = np.linalg.norm(latent, axis=1, keepdims=True)
-    latent = np.divide(latent, size, out=np.zeros_like(latent), where=size > 1e-6).astype(np.float32)
     answers = []
     for i, w in words:
         distinct = np.unique(w)
         rarest = distinct[np.argsort(-idf[np.searchsorted(vocabulary, distinct)], kind="stable")][:-(-len(distinct) // 2)]
         answers.append((i, w, rarest))
-    return Index(vocabulary, idf, top, space, latent, np.array(owner), answers)
+    return Index(vocabulary, idf, top, spaces, answers)
+
+
+def spaces_of(words: list[tuple], rank: int):
+    """Items, (id, word hashes) each, with the parts of them that share a latent space: up to
+    ``SPACES`` parts, of up to ``rank`` passages or one item."""
+    chosen, parts, size = [], [], 0
+    for item in words:
+        n = len(passage_starts(len(item[1])))
+        if not parts or size + n > rank:
+            if len(parts) == SPACES:
+                yield chosen, parts
+                chosen, parts = [], []
+            parts.append([])
+            size = 0
+        parts[-1].append(len(chosen))
+        chosen.append(item)
+        size += n
+    if chosen:
+        yield chosen, parts
 
 
 def indexes(docs: DataFrame, benchmark: DataFrame, rank: int, block_items: int, text: str):
-    """An index, broadcast, for every block of benchmark items."""
+    """An index, broadcast, for every block of benchmark items (several for long items)."""
     spark = docs.sparkSession
     n = benchmark.count()
     numbered = benchmark.select("item_id", F.col("text").cast("binary").alias("text"), F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-n // block_items)))).alias("block"))
     for b in range(max(1, -(-n // block_items))):
         items = [(r["item_id"], bytes(r["text"] or b"")) for r in numbered.where(F.col("block") == b).collect()]
-        index = build_index(docs, sorted(items, key=str), rank, text)
-        if index is not None:
-            yield spark.sparkContext.broadcast(index)
+        words = [(i, words_of([t])[0]) for i, t in sorted(items, key=str)]
+        for chosen, parts in spaces_of([(i, w) for i, w in words if len(w)], rank):
+            index = build_index(docs, chosen, parts, text)
+            if index is not None:
+                yield spark.sparkContext.broadcast(index)
 
 
 LIMITS = {"least_cosine": 0.18, "least_lcs": 0.6, "least_answer": 0.5}

@@ -1,6 +1,7 @@
 """Latent semantic retrieval against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -74,3 +75,41 @@ def test_blocks_and_empty_tables(spark):
     assert contaminated(docs.limit(0), bench).count() == 0
     assert contaminated(docs, bench.limit(0)).count() == 0
     assert drop_contaminated(docs, bench.limit(0)).count() == 403
+
+
+def held(docs, items):
+    """(document, item) where some stretch of a third more than the item's words holds its rule,
+    tried at every word.  An item whose words are less than 0.6 in the document can't be held."""
+    out = set()
+    frequency = Counter(w for _, d in docs for w in set(d))
+    rare = {i: sorted(set(w), key=lambda x: frequency[x])[:-(-len(set(w)) // 2)] for i, w in items}
+    for d, words in docs:
+        there = Counter(words)
+        for i, item in items:
+            if sum((there & Counter(item)).values()) < 0.6 * len(item):
+                continue
+            width = len(item) + len(item) // 3 + 1
+            for s in range(max(1, len(words) - width + 1)):
+                part = words[s:s + width]
+                if len(set(part) & set(item)) >= 0.3 * len(set(item)) and plain_lcs(item, part) >= 0.6 * len(item) and len(set(part) & set(rare[i])) >= 0.5 * len(rare[i]):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_recall_does_not_fall_with_the_size_of_the_benchmark(spark):
+    rng = random.Random(3)
+    common, words = ["the", "of", "and", "to", "in"], [f"w{i}" for i in range(6000)]
+    text = lambda n: [rng.choice(common) if rng.random() < .3 else rng.choice(words) for _ in range(n)]
+    items = [(i, text(rng.randint(8, 14))) for i in range(2100)]
+    docs = []
+    for d in range(120):
+        body = text(rng.randint(100, 250))
+        at = rng.randint(0, len(body))
+        docs.append((d, body[:at] + (rng.choice(items)[1] if d % 6 else []) + body[at:]))
+    truth = held(docs, items)
+    assert len(truth) >= 95
+    frames = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string").repartition(4), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(*frames, block_items=3000).collect()}
+    assert len(got & truth) >= 0.9 * len(truth)
+    assert not got - truth
