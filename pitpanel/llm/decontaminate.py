@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items are cut into passages and weighted by TF-IDF, with document frequencies
-counted over the whole corpus.  A randomised SVD (range finder, power iterations, all
+counted over the distinct texts of the whole corpus: copies don't make a word common.
+A randomised SVD (range finder, power iterations, all
 products formed by Spark over the passages) gives latent spaces: items share one as long as
 they have ``rank`` passages at most, so that a space keeps every direction of its passages
 and a cosine in it is not weakened by the other items.  Every passage of every document is
@@ -27,7 +28,7 @@ from pitpanel.llm.hashing import LOWER, NOT_LETTERS, Lookup, word_hashes
 
 U = np.uint64
 PASSAGE, STRIDE = 48, 24
-COMMON = 0.2            # words in more than this share of documents carry no weight
+COMMON = 0.2            # words in more than this share of texts carry little weight
 GROUP_BYTES = 1 << 20
 SPACES = 16             # latent spaces that one pass over the documents searches
 MATCH_SCHEMA = "doc_id long, item_id long, cosine double, lcs double, answer double, start long"
@@ -164,26 +165,48 @@ class Index:
 
 
 def document_frequencies(docs: DataFrame, vocabulary: np.ndarray, text: str) -> tuple[np.ndarray, int]:
-    """Documents that hold each word, over all documents, and the number of these."""
+    """Distinct texts that hold each word, over all documents, and the number of these."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def count(batches):
-        """One row for a task: its counts are as many as the vocabulary."""
-        table = Lookup(shared.value, np.arange(len(shared.value), dtype=np.int64))
-        df, n = np.zeros(len(shared.value), dtype=np.int64), 0
+    def places(batches):
+        """The words of texts that the task has not just met, four bytes each."""
+        table, met = Lookup(shared.value, np.arange(len(shared.value), dtype=np.int64)), set()
         for batch in batches:
-            texts = [t or b"" for t in batch.column(0).to_pylist()]
-            n += len(texts)
+            marks, texts = [], []
+            for mark, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if mark not in met:
+                    met.add(mark)
+                    marks.append(mark)
+                    texts.append(t)
+            if len(met) > 1 << 17:
+                met.clear()
+            held = []
             for a, b in groups(texts):
                 keys, firsts = words_of(texts[a:b])
                 at, known = table.get(keys)
                 doc = np.repeat(np.arange(b - a), np.diff(firsts))[known]
-                pairs = np.unique(doc * len(df) + at[known])
-                df += np.bincount(pairs % len(df), minlength=len(df))
+                pairs = np.unique(doc * len(shared.value) + at[known])
+                cuts = np.searchsorted(pairs, np.arange(1, b - a) * len(shared.value))
+                held += [x.tobytes() for x in np.split((pairs % len(shared.value)).astype(np.int32), cuts)]
+            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(held, pa.binary())], names=["mark", "words"])
+
+    def count(batches):
+        """One row for a task: its counts are as many as the vocabulary.  Rows come by mark."""
+        df, n, last = np.zeros(len(shared.value), dtype=np.int64), 0, None
+        for batch in batches:
+            words = []
+            for mark, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if mark != last:
+                    words.append(held)
+                last = mark
+            n += len(words)
+            df += np.bincount(np.frombuffer(b"".join(words), dtype=np.int32), minlength=len(df))
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(df[some], n))], names=["word", "n"])
 
-    rows = docs.select(F.col(text).cast("binary")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+    texts = docs.select(F.xxhash64(body).alias("mark"), body.alias("text")).mapInArrow(places, "mark long, words binary")
+    rows = texts.repartition("mark").sortWithinPartitions("mark").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
     counts = dict(zip(rows["word"].to_pylist(), rows["n"].to_pylist()))
     n = counts.pop(-1, 0)
     out = np.zeros(len(vocabulary))
@@ -246,7 +269,7 @@ def build_index(docs: DataFrame, words: list[tuple], parts: list[list[int]], tex
     if not n:
         return None
     idf = np.log((n + 1) / (df + 1)) + 1
-    idf[df > max(COMMON * n, 20)] = 0
+    idf[df > max(COMMON * n, 20)] -= 0.9                # at least 0.1: every passage is indexed
     top = float(np.log(n + 1) + 1)
     spaces = []
     for part in parts:

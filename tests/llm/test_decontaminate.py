@@ -113,3 +113,14 @@ def test_recall_does_not_fall_with_the_size_of_the_benchmark(spark):
     got = {(r.doc_id, r.item_id) for r in contaminated(*frames, block_items=3000).collect()}
     assert len(got & truth) >= 0.9 * len(truth)
     assert not got - truth
+
+
+def test_an_item_is_found_in_a_large_group_of_copies(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    copied = text(14)
+    copy = text(60) + copied + text(60)
+    docs = [(i, copy if i < 100 else text(110)) for i in range(300)]                       # a third of the rows
+    frames = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string").repartition(4), spark.createDataFrame([(0, " ".join(copied))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(*frames).collect()} == {(i, 0) for i in range(100)}
