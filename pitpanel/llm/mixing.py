@@ -3,13 +3,17 @@
 A classifier learned from labelled rows gives every document a posterior over the domains.
 Rates ``r >= 0`` (expected copies of each document) then minimise ::
 
-    sum_k ((S_k - T_k) / N)^2 / 2 + ridge * sum_d n_d (r_d - 1)^2 / (2 N),   S_k = sum_d r_d n_d p_dk
+    sum_k w_k ((S_k - T_k) / N)^2 / 2 + ridge * sum_d n_d (r_d - 1)^2 / (2 N),   S_k = sum_d r_d n_d p_dk
 
-where ``n_d`` are a document's tokens, ``N`` all tokens and ``T_k`` the target totals.  The
+where ``n_d`` are a document's tokens, ``N`` all tokens, ``T_k`` the target totals and ``w_k``
+is ``N`` by the tokens of domain ``k`` at rates of 1, so that rare domains move as fast as
+frequent ones (steps of 1 still converge: the rows of the scaled Hessian sum to 1).  The
 solver is accelerated projected gradient in the metric ``n_d``: a step moves every rate by
-``p_d . (S - T) / N`` and cuts it at zero.  A document's rate is a function of its posterior
+``p_d . w (S - T) / N`` and cuts it at zero.  A document's rate is a function of its posterior
 and of the gradients so far, so an iteration is one scan of the posteriors that sums one
-number for each domain; nothing is written or shuffled but those sums.
+number for each domain; nothing is written or shuffled but those sums.  It goes on until
+the totals meet the targets; where they come no nearer the ridge is lowered, and targets
+that are not met then are an error.
 
 The classifier is fitted on a bounded sample of the labelled rows: ``per_domain`` documents of
 each domain, those with the least hash of their id.  The ``max_domains`` most frequent
@@ -120,13 +124,16 @@ def column(batch: pa.RecordBatch, name: str, k: int) -> np.ndarray:
     return np.array(values.flatten()).reshape(-1, k)
 
 
-def fit_rates(rows: DataFrame, targets: np.ndarray, total: float, ridge: float, rounds: int, tolerance: float) -> list:
+def fit_rates(rows: DataFrame, targets: np.ndarray, total: float, ridge: float, rounds: int, tolerance: float,
+              weight: np.ndarray | float = 1.0, until_met: bool = False) -> list:
     """The history of gradients after which the expected totals meet the targets, or
-    after ``rounds`` iterations."""
+    after ``rounds`` iterations; ``until_met``: or none after ``rounds`` iterations
+    that came no nearer to the targets."""
     k = len(targets)
     history: list = []
     t = 1.0
-    for _ in range(rounds):
+    best, since = np.inf, 0
+    while since < rounds:
         def sums(batches, past=tuple(history)):
             out = np.zeros((2, k))
             for batch in batches:
@@ -139,12 +146,37 @@ def fit_rates(rows: DataFrame, targets: np.ndarray, total: float, ridge: float,
         if not got:
             break
         at_rate, at_ahead = np.array([r[1] for r in got]), np.array([r[2] for r in got])
-        if np.abs(at_rate - targets).max() <= tolerance * total / k:
-            break
+        off = np.abs(at_rate - targets).max()
+        if off <= tolerance * total / k:
+            return history
+        nearer = until_met and off < 0.99 * best
+        best, since = (off, 0) if nearer else (best, since + 1)
         after = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        history.append(((at_ahead - targets) / total, (t - 1) / after))
+        history.append((weight * (at_ahead - targets) / total, (t - 1) / after))
         t = after
-    return history
+    return [] if until_met else history
+
+
+def met_rates(rows: DataFrame, targets: np.ndarray, total: float, ridge: float, rounds: int, tolerance: float, names: list[str]) -> tuple[list, float]:
+    """The history of gradients that meets the targets, and its ridge; an error if none does."""
+    k = len(targets)
+
+    def sums(batches):
+        out = np.zeros(k)
+        for batch in batches:
+            out += np.array(batch.column(0), dtype=float) @ column(batch, "posterior", k)
+        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(out)], names=["k", "n"])
+
+    got = sorted(rows.select("n_tokens", "posterior").mapInArrow(sums, "k int, n double").groupBy("k").agg(F.sum("n")).collect())
+    size = np.array([r[1] for r in got])
+    if np.abs(size - targets).max() <= tolerance * total / k:
+        return [], ridge
+    for ridge in (ridge, ridge / 100, ridge / 10000):
+        history = fit_rates(rows, targets, total, ridge, rounds, tolerance, total / np.maximum(size, 1e-9 * total), True)
+        if history:
+            return history, ridge
+    shares = ", ".join(f"{n}: {t:.4g} ({s:.4g} at rates of 1)" for n, t, s in zip(names, targets / total, size / total))
+    raise ValueError(f"no rates meet the target shares of tokens: {shares}")
 
 
 def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, domain: str = "lang", per_domain: int = 400,
@@ -154,7 +186,8 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     ``docs`` has ``doc_id, text`` and the ``domain`` column; ``labelled`` names by ``doc_id``
     the documents whose domain is learned from.  ``targets`` maps domains to weights
     (default: equal); the expected tokens of each domain, at the returned rates, make up
-    its share of all tokens.  ``posterior`` is in alphabetical order of the domains.
+    its share of all tokens, within ``tolerance`` of an equal share; it is an error if no
+    rates do so.  ``posterior`` is in alphabetical order of the domains.
 
     Null and empty texts have no tokens, the prior as posterior, and a rate like any
     other; null domains are not learned from; a null ``doc_id`` is returned as null;
@@ -171,7 +204,7 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     total = float(rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0])
     weight = np.array([max(0.0, float((targets or {}).get(n, 0.0 if targets else 1.0))) for n in names])
     goal = weight / (weight.sum() or 1.0) * total
-    history = fit_rates(rows, goal, total, ridge, rounds, tolerance) if total else []
+    history, ridge = met_rates(rows, goal, total, ridge, rounds, tolerance, names) if total else ([], ridge)
     k = len(names)
 
     def rate(batches):

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from pitpanel.llm.mixing import fit_rates, mixed_rates, replay
+from pitpanel.llm.mixing import fit_rates, met_rates, mixed_rates, replay
 
 SF = "/root/testdata/sf0.01"
 
@@ -55,3 +55,25 @@ def test_edges(spark):
     assert len({r.rate for r in out if r.doc_id == 3}) == 1
     assert {r.rate for r in mixed_rates(docs, labels.limit(0)).collect()} == {1.0}
     assert mixed_rates(docs.limit(0), labels).count() == 0
+
+
+def one_hot(spark, shares):
+    """Rows of one domain each, of these shares of the tokens."""
+    n = np.repeat(np.arange(len(shares)), 5)
+    return spark.createDataFrame([(int(shares[k] * 20000), [float(k == j) for j in range(len(shares))]) for k in n], "n_tokens long, posterior array<double>").repartition(2)
+
+
+@pytest.mark.parametrize("shares", [(.97, .01, .01, .01), (.33, .33, .33, .01), (.33, .33, .338, .002), (.70, .15, .10, .05)])
+def test_targets_of_rare_domains_are_met(spark, shares):
+    rows = one_hot(spark, shares)
+    goal, total = np.full(4, 25000.0), 100000.0
+    history, ridge = met_rates(rows, goal, total, 1e-3, 30, 0.01, list("abcd"))
+    got = rows.collect()
+    p, n = np.array([r.posterior for r in got]), np.array([r.n_tokens for r in got])
+    assert np.abs((replay(p, history, ridge)[0] * n) @ p - goal).max() <= 0.01 * total / 4
+
+
+def test_targets_that_no_rates_meet_are_an_error(spark):
+    rows = spark.createDataFrame([(10, [0.5, 0.5]), (20, [0.6, 0.4])], "n_tokens long, posterior array<double>")
+    with pytest.raises(ValueError, match="no rates"):
+        met_rates(rows, np.array([3.0, 27.0]), 30.0, 1e-3, 8, 0.01, ["a", "b"])
