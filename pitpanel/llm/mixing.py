@@ -16,8 +16,8 @@ the totals meet the targets; where they come no nearer the ridge is lowered, and
 that are not met then are an error.
 
 The classifier is fitted on a bounded sample of the labelled rows: ``per_domain`` documents of
-each domain, those with the least hash of their id.  The ``max_domains`` most frequent
-domains of the labelled rows are domains; there are no others to learn.
+each domain, those with the least hash of their id.  Every domain of the labelled rows is
+learned, ``max_domains`` of them at a time; a target for any other is an error.
 """
 
 from __future__ import annotations
@@ -45,14 +45,22 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: DataFrame, labelled: DataFrame, domain: str, per_domain: int, max_domains: int):
-    """Domains, log prior and log likelihood (domain x feature) of the hashed words."""
+    """Domains, log prior and, for each ``max_domains`` of them, log likelihood (feature x
+    domain) of the hashed words."""
     ids = labelled.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(domain).cast("string").alias("domain")).join(ids, "doc_id").where("domain is not null")
     known = materialize(known, "domains")
-    sizes = known.groupBy("domain").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "domain").limit(max_domains).collect()
-    names = sorted(r["domain"] for r in sizes)
+    sizes = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    names = sorted(sizes)
     if not names:
-        return [], np.zeros(0), np.zeros((0, FEATURES))
+        return [], np.zeros(0), []
+    size = np.array([sizes[name] for name in names], dtype=float)
+    tables = [likelihoods(docs, known, names[a:a + max_domains], per_domain) for a in range(0, len(names), max_domains)]
+    return names, np.log(size / size.sum()), tables
+
+
+def likelihoods(docs: DataFrame, known: DataFrame, names: list[str], per_domain: int) -> np.ndarray:
+    """Log likelihood (feature x domain) of the hashed words, for some domains."""
     spark = docs.sparkSession
     chosen = []
     for k, name in enumerate(names):
@@ -75,34 +83,32 @@ def train(docs: DataFrame, labelled: DataFrame, domain: str, per_domain: int, ma
     counts = np.zeros(n_domains * FEATURES)
     counts[rows["at"].to_numpy()] = rows["n"].to_numpy()
     counts = counts.reshape(n_domains, FEATURES) + 0.1
-    size = np.array([next(r["n"] for r in sizes if r["domain"] == name) for name in names], dtype=float)
-    return names, np.log(size / size.sum()), np.log(counts / counts.sum(axis=1, keepdims=True))
+    return np.ascontiguousarray(np.log(counts / counts.sum(axis=1, keepdims=True)).T).astype(np.float32)
 
 
-def posteriors(docs: DataFrame, names: list[str], prior: np.ndarray, likelihood: np.ndarray) -> DataFrame:
+def posteriors(docs: DataFrame, names: list[str], prior: np.ndarray, tables: list[np.ndarray]) -> DataFrame:
     """``doc_id, n_tokens, posterior`` for every row: naive Bayes in which a text brings the
     evidence of ``EVIDENCE`` average words at most, so that long texts stay soft."""
-    shared = docs.sparkSession.sparkContext.broadcast((prior, np.ascontiguousarray(likelihood.T).astype(np.float32)))
+    shared = [docs.sparkSession.sparkContext.broadcast(t) for t in tables]
 
     def score(batches):
         for batch in batches:
-            log_prior, table = shared.value
             texts = [t or b"" for t in batch.column(1).to_pylist()]
             n, p = [], []
             for a, b in groups(texts):
                 at, firsts = features(texts[a:b])
                 size = np.diff(firsts)
-                logits = np.tile(log_prior, (b - a, 1))
+                logits = np.tile(prior, (b - a, 1))
                 some = np.flatnonzero(size)
                 if len(some):
-                    evidence = np.add.reduceat(table[at], firsts[some], axis=0)
+                    evidence = np.concatenate([np.add.reduceat(t.value[at], firsts[some], axis=0) for t in shared], axis=1)
                     logits[some] += evidence * (np.minimum(size[some], EVIDENCE) / size[some])[:, None]
                 e = np.exp(logits - logits.max(axis=1, keepdims=True))
                 n.append(size)
                 p.append(e / e.sum(axis=1, keepdims=True))
-            n, p = np.concatenate(n or [[]]).astype(np.int64), np.concatenate(p or [np.zeros((0, len(log_prior)))])
+            n, p = np.concatenate(n or [[]]).astype(np.int64), np.concatenate(p or [np.zeros((0, len(prior)))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.ListArray.from_arrays(
-                pa.array(np.arange(len(n) + 1, dtype=np.int32) * len(log_prior)), pa.array(p.ravel()))], names=["doc_id", "n_tokens", "posterior"])
+                pa.array(np.arange(len(n) + 1, dtype=np.int32) * len(prior)), pa.array(p.ravel()))], names=["doc_id", "n_tokens", "posterior"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(score, "doc_id long, n_tokens long, posterior array<double>")
@@ -195,12 +201,15 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     posterior empty and every rate 1.  An empty table gives no rows; other columns are
     ignored.
     """
-    names, prior, likelihood = train(docs, labelled, domain, per_domain, max_domains)
+    names, prior, tables = train(docs, labelled, domain, per_domain, max_domains)
+    unknown = sorted(n for n, w in (targets or {}).items() if w > 0 and n not in names)
+    if unknown:
+        raise ValueError(f"targets for domains that no labelled row has: {', '.join(unknown)}")
     if not names:
         size = F.size(F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), r"[^\p{L}\p{N}]+"), "")).cast("long")
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("n_tokens"), F.lit(None).cast("string").alias("domain"),
                            F.array().cast("array<double>").alias("posterior"), F.lit(1.0).alias("rate"))
-    rows = materialize(posteriors(docs, names, prior, likelihood), "posteriors")
+    rows = materialize(posteriors(docs, names, prior, tables), "posteriors")
     total = float(rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0])
     weight = np.array([max(0.0, float((targets or {}).get(n, 0.0 if targets else 1.0))) for n in names])
     goal = weight / (weight.sum() or 1.0) * total

@@ -77,3 +77,14 @@ def test_targets_that_no_rates_meet_are_an_error(spark):
     rows = spark.createDataFrame([(10, [0.5, 0.5]), (20, [0.6, 0.4])], "n_tokens long, posterior array<double>")
     with pytest.raises(ValueError, match="no rates"):
         met_rates(rows, np.array([3.0, 27.0]), 30.0, 1e-3, 8, 0.01, ["a", "b"])
+
+
+def test_every_labelled_domain_is_learned(spark):
+    rows = [(i, f"word{i % 70}x word{i % 70}y " * 10, f"d{i % 70:02}") for i in range(280)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    labels = spark.createDataFrame([(i,) for i in range(140)], "doc_id long")
+    out = mixed_rates(docs, labels, per_domain=2, max_domains=64).collect()
+    lang = {i: d for i, _, d in rows}
+    assert {len(r.posterior) for r in out} == {70} and all(lang[r.doc_id] == r.domain for r in out)
+    with pytest.raises(ValueError, match="xx"):
+        mixed_rates(docs, labels, {"d00": 0.5, "xx": 0.5}, per_domain=2)
