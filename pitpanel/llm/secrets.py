@@ -26,7 +26,7 @@ BASE = [
     ("access", "", r"AKIA[A-Z0-9]{16,}+", 0),
     ("hex", "", r"[0-9a-f]{24,}+", 0),
 ]
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}+"
+TOKEN = r"[A-Za-z0-9+/_-]{20,}+=*+"      # "=" only ends a token: the value of key=value is a token of its own
 # fixed values: encoding, shape, alphabet
 ENCODINGS = [
     ("hex", r"^(?=.*[0-9])(?=.*[a-fA-F])([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),

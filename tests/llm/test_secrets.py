@@ -54,3 +54,15 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, "é token=abcdef, AKIA" + "B" * 16 + " end"), (2, None), (3, "plain"), (4, "token=" + "0a1b2c3d" * 4)], "doc_id long, text string")
     rows = {r.doc_id: r.text for r in redact(df).collect()}
     assert rows == {1: "é [SECRET], [SECRET] end", 2: None, 3: "plain", 4: "[SECRET]"}
+
+
+def test_random_values_after_a_name_are_tested_on_their_own(spark):
+    rng = random.Random(2)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    values = ["".join(rng.choices(b64, k=40)) for _ in range(100)]
+    texts = [f"x {'AccountKey' if i % 2 else 'sig'}={v}{'==' if i % 3 else ''} y" for i, v in enumerate(values)]
+    texts += [f"x note={'Aa1' * 14} y" for _ in range(100)]
+    rows = {r.doc_id: r.spans for r in find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    whole = [f"random:{t.index('=') + 1}:{len(t) - 2}" for t in texts]
+    assert sum(rows[i] == whole[i] for i in range(100)) >= 90
+    assert not any(rows[i] for i in range(100, 200))
