@@ -8,6 +8,7 @@ from pitpanel.llm.decontaminate import contaminated
 from pitpanel.llm.lm_score import interpolated_scores
 from pitpanel.llm.lz_dedup import duplicate_words
 from pitpanel.llm.mixing import mixed_rates
+from pitpanel.llm.runs import periodic_runs, repeated_tail
 from pitpanel.llm.secrets import find_secrets
 from pitpanel.llm.simhash import near_duplicates
 from pitpanel.llm.spotsigs import edited_fingerprints
@@ -65,5 +66,9 @@ def op10_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail, full=False)
+
+
 QUERIES = {f.__name__: f for f in (op1_deleted_interpolation, op2_latent_retrieval, op3_randomness_battery, op4_spotsigs, op5_kneser_ney,
-                                   op6_soft_mixing, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv, op10_simhash_balls, pipeline)}
+                                   op6_soft_mixing, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv, op10_simhash_balls, op11_repair_runs, pipeline)}
