@@ -45,7 +45,25 @@ LEMPEL_ZIV = r"""
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
     FROM docs LEFT JOIN kept USING (r)"""
 
+RANKING = rf"""
+    WITH low AS (SELECT 'd' AS kind, row_number() OVER () AS r, doc_id AS id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents
+                 UNION ALL
+                 SELECT 'i', row_number() OVER (), item_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') FROM benchmark),
+    found AS (SELECT kind, r, id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM low),
+    tf AS (SELECT r, id AS doc_id, term, count(*) AS tf FROM found WHERE kind = 'd' GROUP BY ALL),
+    n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+    total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+    weight AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, docs),
+    size AS (SELECT r, 100 - 50 + ((50 * n * docs) // terms) AS m FROM n, total),
+    wanted AS (SELECT DISTINCT r AS item, id AS item_id, term FROM found WHERE kind = 'i'),
+    scored AS (SELECT item, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+               FROM wanted JOIN tf USING (term) JOIN weight USING (term) JOIN size USING (r) GROUP BY ALL),
+    ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+               FROM scored WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 50"""
+
 ORACLE: dict[str, str] = {
     "op7_url_vocabulary": url_sql(),
     "op9_lempel_ziv": LEMPEL_ZIV,
+    "op12_geometric_blocks": RANKING,
 }

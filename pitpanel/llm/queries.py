@@ -9,6 +9,7 @@ from pitpanel.llm.lm_score import interpolated_scores
 from pitpanel.llm.lz_dedup import duplicate_words
 from pitpanel.llm.mixing import mixed_rates
 from pitpanel.llm.planes import token_files
+from pitpanel.llm.ranking import ranked_search
 from pitpanel.llm.runs import periodic_runs, repeated_tail
 from pitpanel.llm.secrets import find_secrets
 from pitpanel.llm.simhash import near_duplicates
@@ -71,10 +72,14 @@ def op11_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail, full=False)
 
 
+def op12_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {f.__name__: f for f in (op1_deleted_interpolation, op2_latent_retrieval, op3_randomness_battery, op4_spotsigs, op5_kneser_ney,
-                                   op6_soft_mixing, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv, op10_simhash_balls, op11_repair_runs, op13_id_planes, pipeline)}
+                                   op6_soft_mixing, op7_url_vocabulary, op8_suffix_array, op9_lempel_ziv, op10_simhash_balls, op11_repair_runs, op12_geometric_blocks, op13_id_planes, pipeline)}
