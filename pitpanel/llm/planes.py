@@ -28,6 +28,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,7 @@ FILE_IDS = 1 << 24          # a file ends with the document that reaches this
 PART_BYTES = 32 << 20       # text of a partition ...
 MOST_PARTS = 1 << 16        # ... or more, so that the offsets of all partitions stay small
 END = 2
-CACHED = 1 << 19            # words whose ids a task keeps
+SLICE = 40 << 20            # text that is encoded at a time
 ID = np.dtype("<u4")
 
 
@@ -177,71 +178,76 @@ def _tokenizer(model: str):
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian bytes.
+    """Ids of whole texts, as one array and the bounds of each text.
 
-    With ``by_word``, a text is cut at ASCII white space and the library encodes each different word
-    once, thousands of new words in one text (offsets tell whose an id is): for a tokenizer that drops white space
+    With ``by_word``, texts are cut at ASCII white space and the library encodes each different word
+    once, hundreds of words in one text (offsets tell whose an id is): for a tokenizer that drops white space
     and never looks across it, that gives the ids of the whole text.  Otherwise whole texts go to the library.
     """
 
     def __init__(self, model: str, by_word: bool):
-        self.model, self.by_word, self.known = _tokenizer(model), by_word, {}
+        self.model, self.by_word = _tokenizer(model), by_word
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, ID).tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
+        return np.array([i for x in ids for i in x], ID), np.cumsum([0, *map(len, ids)])
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         starts = np.zeros(len(words) + 1, dtype=np.int64)
         np.cumsum([len(w) + 1 for w in words], out=starts[1:])
         found = self.model.encode_batch([" ".join(words)], add_special_tokens=False)[0]
         owner = np.searchsorted(starts, [a for a, _ in found.offsets], side="right") - 1
         if np.any(np.diff(owner) < 0):
             return self._encode(words)
-        raw, cuts = np.array(found.ids, ID).tobytes(), (4 * np.searchsorted(owner, np.arange(len(words) + 1))).tolist()
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return np.array(found.ids, ID), np.searchsorted(owner, np.arange(len(words) + 1))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.fill_null(texts, "")
         if not self.by_word:
-            return self._encode([t.decode() for t in texts])
-        words = [t.split() for t in texts]
-        if len(self.known) > CACHED:
-            self.known = {}
-        new = list({w for ws in words for w in ws}.difference(self.known))
-        ids = {}
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            ids.update(zip(some, self._encode_words([w.decode() for w in some])))
-        self.known.update((w, x) for w, x in ids.items() if len(w) <= 64)
-        known = self.known if all(len(w) <= 64 for w in new) else self.known | ids
-        return [b"".join([known[w] for w in ws]) for ws in words]
+            return self._encode(texts.to_pylist())
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        ids, sizes = [np.zeros(0, ID)], [np.zeros(0, dtype=np.int64)]
+        for i in range(0, len(coded.dictionary), 512):
+            x, cuts = self._encode_words(coded.dictionary.slice(i, 512).to_pylist())
+            ids.append(x)
+            sizes.append(np.diff(cuts))
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+        first = np.cumsum(sizes) - sizes
+        word = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[word]
+        ends = np.zeros(len(word) + 1, dtype=np.int64)
+        np.cumsum(n, out=ends[1:])
+        out = [ids[:0]]
+        for i in range(0, len(word), 1 << 18):                                    # bounds the index arrays
+            m = n[i:i + (1 << 18)]
+            out.append(ids[np.repeat(first[word[i:i + (1 << 18)]] - np.cumsum(m) + m, m) + np.arange(m.sum())])
+        return np.concatenate(out), ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
 
 
 def _slices(batches, size: int):
-    """Rows in lists of about ``size`` bytes of text."""
-    ids, texts, held = [], [], 0
+    """Ids and texts of slices of about ``size`` bytes of text, a row at least."""
     for batch in batches:
-        for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-            ids.append(doc_id)
-            texts.append(text or b"")
-            held += len(texts[-1])
-            if held >= size:
-                yield ids, texts
-                ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
+        lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(lengths) - lengths) // size
+        cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+        for a, b in zip(cuts, cuts[1:]):
+            rows = batch.slice(a, b - a)
+            yield rows.column(0).to_pylist(), rows.column(1)
 
 
 def _write_task(batches, model, by_word: bool, end: int | None, kind: str, chunk: int, file_ids: int):
     encoder, part, before, out = Encoder(model.value, by_word), TaskContext.get().partitionId(), 0, None
-    tail = b"" if end is None else np.array([end], ID).tobytes()
+    tail = np.array([] if end is None else [end], ID)
 
     def row():
         return pa.RecordBatch.from_arrays([pa.array([out.close()], pa.binary())], names=["payload"])
 
-    for ids, texts in _slices(batches, 1 << 20):
-        for doc_id, raw in zip(ids, encoder.encode(texts)):
+    for ids, texts in _slices(batches, SLICE):
+        found, cuts = encoder.encode(texts)
+        for doc_id, a, b in zip(ids, cuts, cuts[1:]):
             out = out or FileWriter(kind, chunk, part, before)
-            out.add(doc_id, np.frombuffer(raw + tail, ID))
+            out.add(doc_id, np.concatenate([found[a:b], tail]))
             if out.n_ids >= file_ids:
                 before += out.n_ids
                 yield row()
@@ -268,7 +274,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, by_word: bool, end: in
     with open(tokenizer, encoding="utf-8") as f:
         model = spark.sparkContext.broadcast(f.read())
     parts = min(MOST_PARTS, max(1, -(-text_bytes(docs, text) // part_bytes)))
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"),
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
                        F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("r"))
     order = ["id", "h", "r"]
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text")

@@ -5,6 +5,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -57,8 +58,10 @@ def test_words_give_the_ids_of_the_whole_text():
            "<|startoftext|>", "한글", "한", "🙂", "!!", "\t", "\n", " ", "  ", "\r\n", "_", "​", "ﬁ", "x" * 200]
     texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(40))) for _ in range(400)]
     with open(MODEL) as f:
-        got = Encoder(f.read(), by_word=True).encode([t.encode() for t in texts])
-    assert [np.frombuffer(g, ID).tolist() for g in got] == [w[:-1].tolist() for w in whole(texts)]
+        model = f.read()
+    for by_word in (True, False):
+        got, cuts = Encoder(model, by_word).encode(pa.array([*texts, None, "x"]).slice(1))
+        assert [got[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [w[:-1].tolist() for w in whole([*texts[1:], "", "x"])]
 
 
 def test_whole_table(spark):
