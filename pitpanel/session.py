@@ -64,9 +64,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", **options):
     """Write ``df`` once as parquet below the shared checkpoint folder and
-    return a DataFrame reading it back.
+    return a DataFrame reading it back; ``options`` go to the writer.
 
     Used for small intermediate tables that several branches of a plan
     reuse: the upstream scans run once, the lineage is cut, and the files
@@ -77,5 +77,5 @@ def materialize(df, name: str = "table"):
     import uuid
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/pitpanel-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.parquet(path)
