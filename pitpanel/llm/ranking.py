@@ -5,9 +5,10 @@ is clustered by document similarity: one document in ``BLOCK`` of the list stand
 a block, and every other joins the one its vector points to most (cosine of random projections of
 the impact vectors).  A block keeps the greatest impact of every term over its documents.  For a
 query, the sum of its weights times that summary bounds the score of every document of the
-block; a block is skipped only if the bound is below a score that ``k`` documents reach, and a
-list is left closed only if it and all lists of smaller bounds together stay below it.  So
-results are exact: blocks and projections decide on the work alone.
+block; a block is skipped only if the bound is below a score that ``k`` documents reach (a list of up
+to ``SMALL`` documents has no summary, and is opened), and a list is left closed only if it and all
+lists of smaller bounds together stay below it.  So results are exact: blocks and projections decide
+on the work alone.
 
 The queries are a stated set, taken in blocks of bounded size.  Terms outside a block's
 vocabulary add nothing to a bound or a score of its queries, so the index holds
@@ -18,12 +19,13 @@ Terms are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import ctypes
 import functools
-import io
 import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,32 +34,41 @@ from pitpanel.llm.blocks import arrow_schema
 from pitpanel.llm.hashing import LOWER, NOT_LETTERS, mix, word_hashes
 from pitpanel.session import materialize
 
-SEGMENT_DOCS = 8192
-SEGMENT_BYTES = 32 << 20
+SEGMENT_DOCS = 1024
+SEGMENT_BYTES = 8 << 20
 BLOCK = 64                  # documents that a block is meant to hold
+SMALL = 32                  # documents of a list that needs no summary
 DIMENSIONS = 32             # of the projections
 UNIT = 4096                 # summaries count impacts in such units, rounded up: a byte each
-SEEDS = 64                  # segments that give the first thresholds
+SEEDS = 32                  # segments that give the first thresholds
 ITEMS = 4096                # queries of one block ...
 ITEM_BYTES = 8 << 20        # ... and the text of one
 VECTORS = "segment long, docs long, terms long, df array<long>, payload binary"
+# rows of some MB, compressed already: a row group each, so that neither writer nor reader holds many
+ROW_BY_ROW = {"parquet.block.size": 1 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1,
+              "parquet.enable.dictionary": "false", "compression": "none"}
 HITS = "item int, doc_id long, score long"
 
 
 def freeze(*arrays: np.ndarray) -> bytes:
-    """Compressed bytes of arrays with their types and lengths."""
-    out = io.BytesIO()
+    """Compressed bytes of arrays: a type and a length for each, then their bytes, at multiples of 8."""
+    parts = [b"".join(a.dtype.str.encode().ljust(8) + len(a).to_bytes(8, "little") for a in arrays)]
     for a in arrays:
-        np.save(out, a, allow_pickle=False)
-    raw = out.getvalue()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+        parts += [a.tobytes(), b"\0" * (-a.nbytes % 8)]
+    raw = b"".join(parts)
+    return len(arrays).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def thaw(payload: bytes) -> list[np.ndarray]:
-    raw = io.BytesIO(pa.decompress(payload[8:], decompressed_size=int.from_bytes(payload[:8], "little"), codec="zstd", asbytes=True))
-    size, out = raw.getbuffer().nbytes, []
-    while raw.tell() < size:
-        out.append(np.load(raw, allow_pickle=False))
+    """Inverse of :func:`freeze`; the arrays are views of one buffer."""
+    payload = memoryview(payload)
+    n, size = (int.from_bytes(payload[i:i + 8], "little") for i in (0, 8))
+    raw = pa.decompress(payload[16:], decompressed_size=size, codec="zstd")
+    head, at, out = raw[:16 * n].to_pybytes(), 16 * n, []
+    for i in range(0, 16 * n, 16):
+        kind, length = np.dtype(head[i:i + 8].decode().strip()), int.from_bytes(head[i + 8:i + 16], "little")
+        out.append(np.frombuffer(raw, kind, length, at))
+        at += -(-length * kind.itemsize // 8) * 8
     return out
 
 
@@ -81,13 +92,11 @@ def _vectors_task(batches, vocabulary):
     words = vocabulary.value
     base, made = TaskContext.get().partitionId() << 32, 0
     schema = arrow_schema(VECTORS.replace(", df array<long>", "")).insert(3, pa.field("df", pa.list_(pa.int64())))
-    done, waiting, size = [], ([], []), 0
-    held = seen = 0
+    done, seen, held = [], 0, 0
 
-    def count():
-        """Term counts of the waiting texts."""
-        ids, texts = waiting
-        hashes, firsts = term_hashes(texts)
+    def count(ids, data, bounds):
+        """Term counts of some texts."""
+        hashes, _, _, firsts = word_hashes(LOWER[data], bounds, NOT_LETTERS)
         n = np.diff(firsts)
         at = np.searchsorted(words, hashes)
         at[at == len(words)] = 0
@@ -106,29 +115,38 @@ def _vectors_task(batches, vocabulary):
              pa.array([np.bincount(term, minlength=len(words))], pa.list_(pa.int64())), pa.array([payload], pa.binary())], schema=schema)
 
     for batch in batches:
-        for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-            waiting[0].append(doc_id)
-            waiting[1].append(text or b"")
-            size += len(waiting[1][-1])
-            seen, held = seen + 1, held + len(waiting[1][-1])
-            full = seen >= SEGMENT_DOCS or held >= SEGMENT_BYTES
-            if size >= 1 << 20 or full:
-                count()
-                waiting, size = ([], []), 0
-            if full:
+        ids, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), b"")
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        i = 0
+        while i < len(ids):
+            # about 1 MB, but no more than the segment may still take (a text at least)
+            room = min(1 << 20, SEGMENT_BYTES - held)
+            j = max(i + 1, min(int(np.searchsorted(ends, ends[i] + room, side="right")) - 1, i + SEGMENT_DOCS - seen, len(ids)))
+            count(ids[i:j], data[ends[i]:ends[j]], ends[i:j + 1] - ends[i])
+            seen, held = seen + j - i, held + int(ends[j] - ends[i])
+            if seen >= SEGMENT_DOCS or held >= SEGMENT_BYTES:
                 yield row()
                 made, seen, held, done = made + 1, 0, 0, []
+            i = j
     if seen:
-        if waiting[0]:
-            count()
         yield row()
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory of a Python worker, which later stages use again, goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)                       # of the GNU library
+    if trim:
+        trim(0)
 
 
 def count_vectors(docs: DataFrame, vocabulary: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Segments of documents as counts of the vocabulary's terms (sorted hashes), written once."""
     words = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    return materialize(rows.mapInArrow(functools.partial(_vectors_task, vocabulary=words), VECTORS), "vectors")
+    return materialize(rows.mapInArrow(functools.partial(_vectors_task, vocabulary=words), VECTORS), "vectors", **ROW_BY_ROW)
 
 
 def corpus_counts(vectors: DataFrame, n_words: int) -> tuple[int, int, np.ndarray]:
@@ -146,16 +164,19 @@ class Segment:
     """Forward vectors, blocked posting lists and summaries of one segment.
 
     ``ids, null, ptr, term, impact``: documents and their terms' impacts; ``lists`` and ``blocks``: bounds of a
-    term's blocks, and of a block's ``members``; ``best``: a term's greatest impact; ``pairs`` (list * terms
-    + term), ``pair_ptr``, ``where`` (block of the list), ``value``: the summaries, by list and term.
+    term's blocks, and of a block's ``members``; ``best``: a term's greatest impact.  Summaries by list and
+    term: ``cells`` are the bounds of a list's pairs; a pair has a ``word`` and ``count`` entries, an entry
+    the block of the list it is in (``where``) and a ``value``.
     """
 
-    FIELDS = ("ids", "null", "ptr", "term", "impact", "lists", "blocks", "members", "best", "pairs", "pair_ptr", "where", "value")
+    FIELDS = ("ids", "null", "ptr", "term", "impact", "lists", "blocks", "members", "best", "cells", "word", "count", "where", "value")
 
     def __init__(self, payload: bytes):
         for name, a in zip(self.FIELDS, thaw(payload)):
             setattr(self, name, a)
         self.n_terms = len(self.best)
+        self.entries = np.zeros(len(self.count) + 1, dtype=np.int64 if len(self.where) >> 31 else np.int32)
+        np.cumsum(self.count, out=self.entries[1:])
 
     @staticmethod
     def build(payload: bytes, n_docs: int, n_all: int, n_terms: int) -> bytes:
@@ -171,17 +192,22 @@ class Segment:
         list_ptr = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=n_terms))])
         best = np.zeros(n_terms, dtype=np.int64)
         np.maximum.at(best, term, impact)
-        lists, sizes, members, pairs, counts, where, value = [0], [], [], [], [], [], []
+        lists, cells, sizes, members, words, counts, where, value = [0], [0], [], [], [], [], [], []
+        small = np.uint16 if n_terms < 1 << 16 else np.uint32
         for t in range(n_terms):
             docs = owner[order[list_ptr[t]:list_ptr[t + 1]]]
             if not len(docs):
                 lists.append(lists[-1])
+                cells.append(cells[-1])
                 continue
             block = _cluster(points[docs])
             k = int(block.max()) + 1
             members.append(docs[np.argsort(block, kind="stable")])
             sizes.append(np.bincount(block, minlength=k))
             lists.append(lists[-1] + k)
+            if len(docs) <= SMALL:
+                cells.append(cells[-1])
+                continue
             entries = flat_ranges(ptr[docs], ptr[docs + 1])
             top = np.zeros(n_terms * k, dtype=np.uint8)                     # the summaries of this list alone
             cell = term[entries].astype(np.int64) * k + np.repeat(block, ptr[docs + 1] - ptr[docs])
@@ -189,29 +215,44 @@ class Segment:
             cell = np.flatnonzero(top)
             word = cell // k
             first = np.flatnonzero(np.diff(word, prepend=-1))
-            pairs.append(t * n_terms + word[first])
-            counts.append(np.diff(np.append(first, len(word))))
-            where.append((cell - word * k).astype(np.uint16 if k < 1 << 16 else np.uint32))
+            cells.append(cells[-1] + len(first))
+            words.append(word[first].astype(small))
+            counts.append(np.diff(np.append(first, len(word))).astype(np.uint8 if k < 1 << 8 else np.uint32))
+            where.append((cell - word * k).astype(np.uint8 if k <= 1 << 8 else np.uint32))
             value.append(top[cell])
         cat = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, dtype=kind)
-        bounds = lambda xs: np.concatenate([[0], np.cumsum(cat(xs, np.int64))]).astype(np.int64)
-        return freeze(ids, null, ptr, term, impact, np.array(lists, dtype=np.int64), bounds(sizes), cat(members, np.int64).astype(np.int32), best,
-                      cat(pairs, np.int64), bounds(counts), cat(where, np.uint16), cat(value, np.uint8))
+        blocks = np.concatenate([[0], np.cumsum(cat(sizes, np.int64))]).astype(np.int64)
+        return freeze(ids, null, ptr, term, impact, np.array(lists, dtype=np.int64), blocks, cat(members, np.int64).astype(np.int32), best,
+                      np.array(cells, dtype=np.int64), cat(words, small), cat(counts, np.uint8), cat(where, np.uint8), cat(value, np.uint8))
 
     def bounds(self, terms: np.ndarray, weights: np.ndarray):
         """Block numbers of the query's lists, and the bound of each."""
         lo, hi = self.lists[terms], self.lists[terms + 1]
         blocks = flat_ranges(lo, hi)
         shift = np.cumsum(hi - lo) - (hi - lo)
-        want = (terms[:, None] * self.n_terms + terms[None, :]).ravel()
-        at = np.searchsorted(self.pairs, want)
-        hit = np.flatnonzero(at < len(self.pairs))
-        hit = hit[self.pairs[at[hit]] == want[hit]]
-        a, b = self.pair_ptr[at[hit]], self.pair_ptr[at[hit] + 1]
-        entries = flat_ranges(a, b)
-        cell = np.repeat(shift[hit // len(terms)], b - a) + self.where[entries]
-        part = np.repeat(weights[hit % len(terms)], b - a) * (self.value[entries].astype(np.int64) * UNIT)
-        return blocks, np.bincount(cell, weights=part, minlength=len(blocks)).astype(np.int64)   # sums below 2^53 are exact
+        whole = int((weights * self.best[terms]).sum())
+        bound = np.zeros(len(blocks), dtype=np.int64)
+        order = np.argsort(terms)
+        sought, paid = terms[order], weights[order]
+        pairs, weight, base = [], [], []
+        for t, at, n in zip(terms.tolist(), shift.tolist(), (hi - lo).tolist()):
+            a, b = self.cells[t], self.cells[t + 1]
+            if a == b:
+                bound[at:at + n] = whole                                        # no summary: any score the query can have
+                continue
+            i = np.searchsorted(self.word[a:b], sought)
+            i[i == b - a] = 0
+            hit = np.flatnonzero(self.word[a + i] == sought)
+            pairs.append(a + i[hit])
+            weight.append(paid[hit])
+            base.append(np.full(len(hit), at))
+        if pairs:
+            pairs, weight, base = (np.concatenate(x) for x in (pairs, weight, base))
+            a, b = self.entries[pairs], self.entries[pairs + 1]
+            entries = flat_ranges(a, b)
+            part = np.repeat(weight, b - a) * (self.value[entries].astype(np.int64) * UNIT)
+            bound += np.bincount(np.repeat(base, b - a) + self.where[entries], weights=part, minlength=len(blocks)).astype(np.int64)
+        return blocks, bound                                                    # sums below 2^53 are exact
 
     def documents(self, blocks: np.ndarray) -> np.ndarray:
         return np.unique(self.members[flat_ranges(self.blocks[blocks], self.blocks[blocks + 1])])
@@ -280,15 +321,17 @@ def _cluster(points: np.ndarray) -> np.ndarray:
 
 def _index_task(batches, n_docs: int, n_all: int, n_terms: int):
     for batch in batches:
-        for segment, payload in zip(*(c.to_pylist() for c in batch.columns)):
-            out = Segment.build(payload, n_docs, n_all, n_terms)
-            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int64()), pa.array([out], pa.binary())], names=["segment", "payload"])
+        for segment, payload in zip(*batch.columns):
+            out = Segment.build(payload.as_buffer(), n_docs, n_all, n_terms)
+            yield pa.RecordBatch.from_arrays([pa.array([segment.as_py()], pa.int64()), pa.array([out], pa.binary())], names=["segment", "payload"])
+            del out
+            give_back()
 
 
 def build_index(vectors: DataFrame, n_docs: int, n_all: int, n_terms: int) -> DataFrame:
     """Blocked posting lists and summaries of every segment, written once."""
     task = functools.partial(_index_task, n_docs=n_docs, n_all=n_all, n_terms=n_terms)
-    return materialize(vectors.select("segment", "payload").mapInArrow(task, "segment long, payload binary"), "ranking-index")
+    return materialize(vectors.select("segment", "payload").mapInArrow(task, "segment long, payload binary"), "ranking-index", **ROW_BY_ROW)
 
 
 # --- search --------------------------------------------------------------------------------------------
@@ -297,7 +340,7 @@ def _search_task(batches, queries, least, k: int, seed: bool):
     schema = arrow_schema(HITS)
     for batch in batches:
         for payload in batch.column(0):
-            segment = Segment(payload.as_py())
+            segment = Segment(payload.as_buffer())
             items, ids, scores = [], [], []
             for item, (terms, weights) in enumerate(queries.value):
                 if not len(terms):

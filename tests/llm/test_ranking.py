@@ -58,7 +58,7 @@ def test_ranked_search_equals_brute_force(spark, monkeypatch, block, docs_a_segm
     q = spark.createDataFrame(items, "item_id long, text string, doc_id string").coalesce(1)
 
     def small(batch, **kw):
-        ranking.BLOCK, ranking.SEGMENT_DOCS = block, docs_a_segment
+        ranking.SEGMENT_DOCS = docs_a_segment
         return task(batch, **kw)
 
     # the sizes hold inside tasks, which import the module anew
@@ -67,7 +67,7 @@ def test_ranked_search_equals_brute_force(spark, monkeypatch, block, docs_a_segm
     build = ranking._index_task
 
     def small_index(batch, **kw):
-        ranking.BLOCK = block
+        ranking.BLOCK, ranking.SMALL = block, block
         return build(batch, **kw)
 
     monkeypatch.setattr(ranking, "_index_task", small_index)
