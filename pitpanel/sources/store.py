@@ -3,13 +3,17 @@ hash index.  Layout under a data root (any Hadoop path)::
 
     prices/year=YYYY/month=M/day=D/run=<stamp>/part-*.parquet     append per run
     metadata/history/year=YYYY/month=M/day=D/run=<stamp>/...      changed rows per run
-    metadata/current/version=<stamp>/...                          full state per run
-    metadata/index/version=<stamp>/...                            hash index per run
+    metadata/index_delta/year=.../run=<stamp>/...                 keys that a run changed, brought back or left out
+    metadata/index/version=<stamp>/...                            hash index at some runs
+    metadata/current/version=<stamp>/...                          newest attributes of every key at those runs
+    published/<n>.json                                            which of these folders readers see
     logs/runs/run=<stamp>/part-*.json                             one run log per run
 
-Full-state tables are never overwritten in place (a reader of the old
-files would fail); each run writes a new ``version`` partition and readers
-take the newest one -- a partition filter, so only that version is read.
+The index and the current attributes of any run are folded on read from the newest full
+table that is not newer and the rows written since (:meth:`PanelStore.state`), so what a run writes
+follows what it changed.  :mod:`pitpanel.sources.ledger` tells which runs are published; without
+its records (a panel written by other means) all folders are read, and the newest ``version``
+of a full table is the state.
 
 Data in the original single-machine layout reads as well: one parquet file
 per run directly under ``prices/year=/month=/day=``, history files named
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitpanel import schemas
+from pitpanel.sources.ledger import CURRENT, DELTA, HISTORY, INDEX, PRICES, Ledger, stamp_of
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -58,9 +63,18 @@ def _with(schema: T.StructType, extra: T.StructType) -> T.StructType:
 class PanelStore:
     """Typed, lazy readers over a panel data root."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, ledger: Ledger | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._ledger = ledger       # a fixed record, else the newest
+
+    def ledger(self) -> Ledger | None:
+        return self._ledger or Ledger.read(self.spark, self.root)
+
+    def _published(self, table: str, schema: T.StructType) -> DataFrame:
+        """Rows of a per-run table, those of hidden folders left out."""
+        df, ledger = self._read(table, _with(schema, _RUN_PARTS)), self.ledger()
+        return ledger.visible(df, table) if ledger else df
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -73,11 +87,52 @@ class PanelStore:
 
     def prices(self) -> DataFrame:
         """All price snapshots; ``year/month/day/run`` are partition columns."""
-        return self._read("prices", _with(schemas.PRICES, _RUN_PARTS))
+        return self._published(PRICES, schemas.PRICES)
 
     def history(self) -> DataFrame:
         """The attribute change log (only changed rows of each run)."""
-        return self._read("metadata/history", _with(schemas.METADATA, _RUN_PARTS))
+        return self._published(HISTORY, schemas.METADATA)
+
+    def index_deltas(self) -> DataFrame:
+        """Index rows of the keys that a run changed, brought back or (``present`` is false) left out."""
+        return self._published(DELTA, schemas.INDEX_STATE)
+
+    def state(self, until: str | None = None, before: str | None = None) -> DataFrame:
+        """The hash index as of the newest run (not after ``until``, or before ``before``), with ``present``:
+        whether that run holds the key.
+
+        The newest row of each key, of the full table and the rows written since: one partially
+        aggregated group-by.  A present key was last seen by that run.
+        """
+        ledger = self.ledger()
+        at = ledger and ledger.newest(until, before)
+        if at is None:
+            return empty(self.spark, schemas.INDEX_STATE)
+        rows = self.index_deltas().where(F.col("run") <= at)
+        folder = ledger.base(at) or max((v for v in self.versions(INDEX) if v <= at and v not in ledger.hidden.get(INDEX, [])), default=None)
+        if folder is not None:
+            base = self._read(INDEX, _with(schemas.INDEX_STATE, _VERSION)).where(F.col("version") == folder)
+            seen = F.date_trunc("second", "last_seen") == ledger.time(stamp_of(folder)) if stamp_of(folder) in ledger.runs else F.lit(False)
+            base = base.withColumn("present", F.coalesce("present", seen)).withColumn("run", F.lit(stamp_of(folder)))
+            rows = rows.where(F.col("run") > stamp_of(folder)).unionByName(base.drop("version"), allowMissingColumns=True)
+        values = ["content_hash", "first_seen", "last_seen", "present"]
+        newest = rows.groupBy("sku").agg(F.max_by(F.struct(*values), "run").alias("s")).select("sku", "s.*")
+        return newest.withColumn("last_seen", F.when(F.col("present"), ledger.time(at)).otherwise(F.col("last_seen")))
+
+    def attributes(self, until: str | None = None) -> DataFrame:
+        """The newest attributes of every key as of a run, and whether that run holds the key."""
+        ledger = self.ledger()
+        at = ledger.newest(until)
+        folder = ledger.base(at)
+        rows = self.history().where(F.col("run") <= at).drop("year", "month", "day")
+        if folder is not None:
+            base = self._read(CURRENT, _with(schemas.ATTRIBUTE_STATE, _VERSION)).where(F.col("version") == folder).drop("version")
+            if stamp_of(folder) == at:
+                return base
+            rows = rows.where(F.col("run") > stamp_of(folder)).unionByName(base.drop("present").withColumn("run", F.lit(stamp_of(folder))))
+        columns = [f.name for f in schemas.METADATA.fields]
+        newest = rows.groupBy("sku").agg(F.max_by(F.struct(*[f"`{c}`" for c in columns if c != "sku"]), "run").alias("s")).select("sku", "s.*")
+        return newest.join(self.state(until=at).select("sku", "present"), "sku").select(*[f"`{c}`" for c in columns], "present")
 
     def _latest_version(self, rel: str, schema: T.StructType, before: str | None = None) -> DataFrame:
         df = self._read(rel, _with(schema, _VERSION))
@@ -103,13 +158,25 @@ class PanelStore:
         """Newest ``version`` id of a full-state table (None if absent)."""
         return max(self.versions(rel), default=None)
 
-    def current(self) -> DataFrame:
-        """Newest full-state attribute table (empty typed frame if none)."""
-        return self._latest_version("metadata/current", schemas.METADATA)
-
-    def hash_index(self, before: str | None = None) -> DataFrame:
-        """Newest hash index, or the newest one older than run ``before``."""
-        return self._latest_version("metadata/index", schemas.HASH_INDEX, before)
+    def current(self, until: str | None = None) -> DataFrame:
+        """Attributes of the keys in the newest run (not after ``until``), observed then (empty typed
+        frame if there is none)."""
+        ledger = self.ledger()
+        if ledger is None:
+            return self._latest_version(CURRENT, schemas.METADATA)
+        at = ledger.newest(until)
+        if at is None:
+            return empty(self.spark, schemas.METADATA)
+        if not ledger.deltas and ledger.base(at) is None:
+            return self._latest_version(CURRENT, schemas.METADATA)
+        return self.attributes(at).where("present").drop("present").withColumn("observed_at", ledger.time(at))
+
+    def hash_index(self, before: str | None = None, until: str | None = None) -> DataFrame:
+        """The hash index after the newest run, after the newest one older than run ``before``, or
+        after run ``until``."""
+        if self.ledger() is None:
+            return self._latest_version(INDEX, schemas.HASH_INDEX, before)
+        return self.state(until=until, before=before).drop("present")
 
     def register_views(self) -> None:
         """``prices``, ``metadata_current``, ``metadata_history`` temp views
