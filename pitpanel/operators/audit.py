@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.operators.joins import join_null_safe
-from pitpanel.operators.sequence import with_neighbor
+from pitpanel.operators.sequence import DEFAULT_BUCKET_DAYS, with_neighbor
 from pitpanel.operators.stats import exact_median
 from pitpanel.session import materialize
 
@@ -48,32 +48,55 @@ def schema_inventory(df: DataFrame, json_col: str) -> DataFrame:
             .groupBy("field").agg(F.count(F.lit(1)).alias("n_records")))
 
 
+# fixed names of JSON types, by the first letters of a variant's schema
+_TYPES = (("OBJECT", "object"), ("ARRAY", "array"), ("BIGINT", "integer"), ("DECIMAL", "number"), ("DOUBLE", "number"),
+          ("BOOLEAN", "boolean"), ("VOID", "null"))
+
+
+def typed_inventory(df: DataFrame, json_col: str) -> DataFrame:
+    """Every path of JSON records, all levels, with its types: ``path, type, n_values``.
+
+    The root is ``$``; array elements share a path (``$.tags[].n``).  Each level is one more ``explode`` of
+    the objects and arrays of the level above, until there are none (a job that stops at the first row).
+    Counts are partially aggregated; texts that do not parse don't count.
+    """
+    spark = df.sparkSession
+    out = level = df.select(F.lit("$").alias("path"), F.try_parse_json(json_col).alias("v")).where("v is not null")
+    while not (nested := level.where(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)"))).isEmpty():
+        kids = nested.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select(F.col("key"), F.col("value")))
+        level = kids.select(F.concat("path", F.coalesce(F.concat(F.lit("."), "key"), F.lit("[]"))).alias("path"), F.col("value").alias("v"))
+        out = out.unionByName(level)
+    kind = F.schema_of_variant("v")
+    named = F.lit("string")
+    for start, name in _TYPES:
+        named = F.when(kind.startswith(start), name).otherwise(named)
+    return out.groupBy("path", named.alias("type")).agg(F.count(F.lit(1)).alias("n_values"))
+
+
 def record_width(df: DataFrame, json_col: str) -> DataFrame:
     """Distribution of fields per record: ``n_fields, n_records``."""
     return (df.select(F.size(_keys(json_col)).alias("n_fields"))
             .groupBy("n_fields").agg(F.count(F.lit(1)).alias("n_records")))
 
 
-def run_overlap(prices: DataFrame, key: str = "sku", ts: str = "fetched_at") -> DataFrame:
+def run_overlap(prices: DataFrame, key: str = "sku", ts: str = "fetched_at", bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Key overlap of each run with the run before it.
 
-    Rows: ``ts, prev_ts, n_keys, n_prev_keys, n_overlap``.  The run list is
-    one row per run; the overlap is an equi-join on ``(key, run)`` where
-    both sides are unique, so there is no fan-out.
+    Rows: ``ts, prev_ts, n_keys, n_prev_keys, n_overlap``.  Every row learns when its key was seen
+    before (a skew-safe ``lag``); a key overlaps where that was the run before.  The run list is one
+    row per run (a few per day), so it is broadcast by construction.
     """
-    # one row per run: written once, then read by both neighbour branches
-    sizes = materialize(prices.groupBy(ts).agg(F.count(F.lit(1)).alias("n_keys")), "run-sizes")
+    seen = with_neighbor(prices.select(key, ts), key, ts, [ts], direction="prev", bucket_days=bucket_days, out="__p")
+    before = seen.groupBy(ts, F.col("__p")[ts].alias("__before")).agg(F.count(F.lit(1)).alias("__n"))
+    # a run's keys by the run that saw them last: a row per pair of runs, written once, then read by both branches
+    before = materialize(before, "run-pairs")
+    sizes = before.groupBy(ts).agg(F.sum("__n").alias("n_keys"))
     seq = with_neighbor(sizes.withColumn(_ALL, F.lit(0)), _ALL, ts, [ts, "n_keys"],
                         direction="prev", bucket_days=366, out="__p")
     pairs = seq.select(ts, F.col("__p")[ts].alias("prev_ts"), "n_keys",
                        F.col("__p")["n_keys"].alias("n_prev_keys"))
-    # one row per run (a few per day): broadcast by construction
-    link = F.broadcast(pairs.select(ts, "prev_ts"))
-    cur = prices.select(key, ts).join(link, on=ts, how="inner")
-    prev = prices.select(key, F.col(ts).alias("prev_ts"))
-    overlap = cur.join(prev, on=[key, "prev_ts"], how="inner").groupBy(ts).agg(
-        F.count(F.lit(1)).alias("n_overlap"))
-    return (pairs.join(overlap, on=ts, how="left")
+    overlap = before.select(ts, F.col("__before").alias("prev_ts"), F.col("__n").alias("n_overlap"))
+    return (pairs.join(overlap, on=[ts, "prev_ts"], how="left")
             .withColumn("n_overlap", F.when(F.col("prev_ts").isNull(), F.lit(None))
                         .otherwise(F.coalesce(F.col("n_overlap"), F.lit(0))).cast("long")))
 

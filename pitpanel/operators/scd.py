@@ -7,6 +7,7 @@
 * :func:`validity_intervals` -- ``[valid_from, valid_to)`` per version
 * :func:`as_of`              -- state of every key at one moment
 * :func:`as_of_many`         -- state at several moments in one pass
+* :func:`as_of_grid`         -- state at each moment of a long regular grid
 """
 
 from __future__ import annotations
@@ -159,6 +160,32 @@ def as_of_many(history: DataFrame, moments: Sequence, columns: Sequence[str],
     return long.select(_q(key), _q(out_ts), *[F.col("v")[c].alias(c) for c in [ts, *columns]])
 
 
+def as_of_grid(history: DataFrame, start, steps: int, columns: Sequence[str], days: int = 1, key: str = "sku",
+               ts: str = "observed_at", tiebreak: Sequence[str] | None = None, bucket_days: int = DEFAULT_BUCKET_DAYS,
+               out_ts: str = "as_of") -> DataFrame:
+    """State of every key at each of ``steps`` moments, ``days`` days apart from ``start`` on.
+
+    For grids too long for :func:`as_of_many`: each version is exploded over the moments of its validity
+    interval, so the plan does not grow with the grid and the work is that of the result
+    (rows ``key, as_of, ts, columns...``).  Of versions with one ``ts`` the greatest by ``tiebreak`` counts.
+    """
+    dtype = history.schema[ts].dataType
+    zero = F.lit(start).cast(dtype)
+    micros = days * 86_400_000_000
+
+    def cell(c: Column) -> Column:
+        """Number of the first moment that is not before ``c``."""
+        return F.ceil(F.timestamp_diff("MICROSECOND", zero, c) / F.lit(float(micros))).cast("long")
+
+    held = validity_intervals(history, key, ts, tiebreak=tiebreak, bucket_days=bucket_days, valid_to="__until")
+    first = F.greatest(cell(_q(ts)), F.lit(0))
+    last = F.least(F.coalesce(cell(F.col("__until")), F.lit(steps)), F.lit(steps)) - 1
+    cells = held.withColumn("__first", first).withColumn("__last", last).where("__first <= __last")
+    long = cells.select(_q(key), _q(ts), *[_q(c) for c in columns], F.explode(F.sequence("__first", "__last")).alias("__i"))
+    moment = F.timestamp_add("DAY", (F.col("__i") * days).cast("int"), zero)
+    return long.select(_q(key), moment.alias(out_ts), _q(ts), *[_q(c) for c in columns])
+
+
 def drifted_keys(history: DataFrame, moments: Sequence, columns: Sequence[str],
                  key: str = "sku", ts: str = "observed_at",
                  tiebreak: Sequence[str] = ("content_hash",)) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -109,9 +110,13 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
 
     Should the band ever miss a rank (it cannot while the sketch guarantee
     holds) the query fails loudly instead of returning a wrong value.
+
+    Without ``by`` there is no key to deal the band's ranks by: see :func:`_select`.
     """
     from pyspark.sql import Window
     by = list(by)
+    if not by:
+        return _select(df, value, p, out, accuracy)
     d = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__x"))
     # band half-widths 1/2, 1/4, ... down to about 3/accuracy, all read from
     # one sketch; per group the narrowest one with a margin of at least
@@ -130,20 +135,13 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
     bounds = sketch.select(*by, *names, F.element_at("__q", k).alias("__lo"),
                            F.element_at("__q", k + kk).alias("__hi"),
                            ((F.col("__n") - 1) * F.lit(float(p))).alias("__pos"))
-    if by:
-        # one row per group: computed once (the sketch pass), then broadcast
-        # behind the size proof; beyond it a shuffle join (AQE splits a hot group)
-        from pitpanel.session import materialize
-        everything = materialize(bounds, "percentile-bounds")
-        bounds = everything.drop(*names)
-        small = provably_small(bounds)
-        j = join_null_safe(d, F.broadcast(bounds) if small else bounds, by)
-    else:
-        # one group: its three bounds are resolved by a small job, then literals
-        s = bounds.first()
-        j = d.select("__x", F.lit(s["__lo"]).cast("double").alias("__lo"),
-                     F.lit(s["__hi"]).cast("double").alias("__hi"),
-                     F.lit(s["__pos"]).cast("double").alias("__pos"))
+    # one row per group: computed once (the sketch pass), then broadcast
+    # behind the size proof; beyond it a shuffle join (AQE splits a hot group)
+    from pitpanel.session import materialize
+    everything = materialize(bounds, "percentile-bounds")
+    bounds = everything.drop(*names)
+    small = provably_small(bounds)
+    j = join_null_safe(d, F.broadcast(bounds) if small else bounds, by)
     x, lo, hi = F.col("__x"), F.col("__lo"), F.col("__hi")
     cls = F.when(x < lo, -1).when(x <= hi, 0).otherwise(1)
     classes = j.groupBy(*by, "__pos", cls.alias("__cls"), F.when(cls == 0, x).alias("__xb")) \
@@ -169,6 +167,72 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: Sequence[str] = ()
     return join_null_safe(everything.select(*by, *names), found, by, how="left") if names else found
 
 
+# distinct values that the last step of _select may bring to the driver
+BAND_VALUES = 10_000
+
+
+def _select(df: DataFrame, value: str, p: float, out: str, accuracy: int) -> DataFrame:
+    """Exact interpolated percentile of a whole column, by distributed selection.
+
+    The band of values that holds the two ranks starts as everything.  A pass over the band takes
+    a sketch (partial aggregation) around the ranks, and one more counts the rows below and inside
+    the narrower band: each round keeps about ``6/accuracy`` of the rows.  Once the band has at
+    most ``BAND_VALUES`` distinct values, these are counted (again map-side first) and the ranks read off.
+    Rows are never ordered or gathered: the driver sees counts, bounds and that last band.
+    No rows where there is no value.
+    """
+    spark = df.sparkSession
+    band = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("__x"))
+    x = F.col("__x")
+    distinct = F.approx_count_distinct("__x", 0.01)
+    inside, kinds = band.agg(F.count(F.lit(1)), distinct).first()
+    if not inside:
+        return spark.createDataFrame([], f"{out} double")
+    pos = (inside - 1) * p
+    first, last, below = math.floor(pos), math.ceil(pos), 0
+    while kinds > BAND_VALUES * 0.9:
+        # rank errors of the sketch stay below inside / accuracy
+        margin = max(3.0 / accuracy, 3.0 / inside)
+        at = [max(0.0, (first - below) / inside - margin), min(1.0, (last - below + 1) / inside + margin)]
+        lo, hi = band.agg(F.percentile_approx("__x", at, accuracy)).first()[0]
+        within = x.between(F.lit(lo), F.lit(hi))
+        under, held, kinds = band.agg(F.count_if(x < F.lit(lo)), F.count_if(within), F.approx_count_distinct(F.when(within, x), 0.01)).first()
+        if not (below + under <= first and last < below + under + held):
+            raise RuntimeError("exact_percentile: sketch band missed a rank")
+        if held == inside:                  # as narrow as it gets
+            break
+        band, below, inside = band.where(within), below + under, held
+    found = [None, None]
+    for r in band.groupBy("__x").count().orderBy("__x").toLocalIterator():
+        for i, rank in enumerate((first, last)):
+            if found[i] is None and rank < below + r["count"]:
+                found[i] = r["__x"]
+        below += r["count"]
+        if found[1] is not None:
+            break
+    a, b = found
+    result = a if first == last or a == b else (last - pos) * a + (pos - first) * b
+    return spark.range(1).select(F.lit(result).cast("double").alias(out))
+
+
+def trailing_distinct(df: DataFrame, key: str, day: Column, days: int, lg_k: int = 14) -> DataFrame:
+    """Distinct keys in the ``days`` days up to each day that has rows: ``day, n_estimate``.
+
+    One HyperLogLog sketch per day (partial aggregation); a day's trailing count is the union of
+    at most ``days`` sketches, so keys are never shuffled, and stored sketches of past days can
+    be reused.  The standard error is about ``1.04 / sqrt(2^lg_k)`` (0.8 % at 14).  Rows without a key don't count.
+    """
+    daily = df.where(F.col(key).isNotNull()).groupBy(F.to_date(day).alias("__day")).agg(F.hll_sketch_agg(key, lg_k).alias("__s"))
+    return union_trailing(daily, days)
+
+
+def union_trailing(daily: DataFrame, days: int) -> DataFrame:
+    """:func:`trailing_distinct` from the sketches of days (``__day``, ``__s``), e.g. stored ones."""
+    reach = daily.select("__s", F.col("__day").alias("__own"), F.explode(F.sequence("__day", F.date_add("__day", days - 1))).alias("__day"))
+    joined = reach.groupBy("__day").agg(F.hll_union_agg("__s").alias("__s"), F.max("__own").alias("__own"))
+    return joined.where("__day = __own").select(F.col("__day").cast("timestamp_ntz").alias("day"), F.hll_sketch_estimate("__s").alias("n_estimate"))
+
+
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "median",
                  **kw) -> DataFrame:
     """:func:`exact_percentile` at 0.5."""

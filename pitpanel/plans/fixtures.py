@@ -142,13 +142,15 @@ def write_fixture_panel(spark: SparkSession, sf_dir: str, root: str) -> PanelSto
     return store
 
 
-def land_fixture_pages(spark: SparkSession, sf_dir: str, landing: str) -> None:
+def land_fixture_pages(spark: SparkSession, sf_dir: str, landing: str, where=None) -> None:
     """Write the quarterly snapshots as landed API pages, one run per
     quarter: envelopes of at most 100 consecutive keys (``sku // 100``, so
     no group grows with the catalog), one envelope per line, under
-    ``landing/run=<stamp>/``."""
+    ``landing/run=<stamp>/``; ``where`` picks runs by ``observed_at``."""
     from pitpanel import schemas
     snaps = fx_snapshots(spark, sf_dir)
+    if where is not None:
+        snaps = snaps.where(where)
     present = {"sku": F.col("sku").cast("long"), "class": F.col("class"),
                "department": F.col("department"), "active": F.lit(True)}
     record = F.struct(*[(present[n] if n in present else F.lit(None).cast(t)).alias(n)

@@ -126,6 +126,14 @@ def drifted_keys_q(spark, sf):
     return drifted_keys(fx.fx_history(spark, sf), DRIFT_DATES, ATTRS)
 
 
+@query("attribute_grid")
+def attribute_grid(spark, sf):
+    """WIN2 on a long grid: keys of each class on each of 3,650 days."""
+    from pitpanel.operators.scd import as_of_grid
+    grid = as_of_grid(fx.fx_history(spark, sf, stored=True), "1992-01-01", 3650, ["class"], bucket_days=fx.BUCKET_DAYS)
+    return grid.groupBy("as_of", "class").agg(F.count(F.lit(1)).alias("n_skus"))
+
+
 @query("panel_current")
 def panel_current(spark, sf):
     """JN1 + PRJ7: prices LEFT JOIN current attributes."""
@@ -378,6 +386,42 @@ def catalog_health_q(spark, sf):
                     _r("delta_pct").alias("delta_pct"), "churn")
 
 
+def _rolled(spark, sf):
+    """The written panel with its rollup brought up to date twice: after half of the runs, after all."""
+    from pitpanel.operators.rollup import update_rollup
+    store = _panel(spark, sf)
+    update_rollup(store, until="1995-06-01T00-00-00Z")
+    update_rollup(store)
+    return store
+
+
+@query("rollup_incremental")
+def rollup_incremental(spark, sf):
+    """MON5 + SNK6 from stored partials of each run: equal to the computation over all snapshots."""
+    from pitpanel.operators.rollup import rollup_health
+    h = rollup_health(_rolled(spark, sf), compare_to="previous_run_day")
+    return h.select("day", "n_skus", "n_on_sale", _r("pct_on_sale").alias("pct_on_sale"), _r("mean_regular").alias("mean_regular"),
+                    _r("median_regular").alias("median_regular"), _r("mean_sale").alias("mean_sale"), "prev_n_skus", "delta_skus",
+                    _r("delta_pct").alias("delta_pct"))
+
+
+@query("rollup_periods")
+def rollup_periods_q(spark, sf):
+    """AGG5 + AGG9 over years, merged from the runs' partials: counts, exact means, and a median whose
+    rank is within 2 % of the middle."""
+    from pitpanel.functions.timeparts import floor_to
+    from pitpanel.operators.rollup import rollup_periods
+    store = _rolled(spark, sf)
+    periods = rollup_periods(store, "year")
+    prices = store.prices().select(floor_to(F.to_date(F.substring("run", 1, 10)), "year").alias("period"), F.col("regularPrice").alias("x"))
+    ranked = prices.join(F.broadcast(periods.select("period", "median_estimate")), "period").groupBy("period").agg(
+        (F.count_if(F.col("x") <= F.col("median_estimate")) / F.count("x")).alias("upper"),
+        (F.count_if(F.col("x") < F.col("median_estimate")) / F.count("x")).alias("lower"))
+    return periods.join(ranked, "period").select(
+        "period", "n_runs", "n_rows", _r("mean_regular").alias("mean_regular"),
+        ((F.col("lower") <= 0.52) & (F.col("upper") >= 0.48)).alias("median_within_bound"))
+
+
 @query("alerts")
 def alerts_q(spark, sf):
     """MON1-MON4 + WIN3: alert rows for runs and catalog size."""
@@ -415,7 +459,7 @@ def latency_summary(spark, sf):
 def run_overlap_q(spark, sf):
     """AUD3 + SET2: key overlap of each run with the previous run."""
     from pitpanel.operators.audit import run_overlap
-    return run_overlap(fx.fx_prices(spark, sf))
+    return run_overlap(fx.fx_prices(spark, sf), bucket_days=fx.BUCKET_DAYS)
 
 
 @query("page_disjointness")
@@ -434,6 +478,30 @@ def schema_inventory_q(spark, sf):
     return schema_inventory(fx.fx_raw(spark, sf), "props")
 
 
+@query("typed_inventory")
+def typed_inventory_q(spark, sf):
+    """AUD2 + SET3 over all levels: paths and types of nested records."""
+    from pitpanel.operators.audit import typed_inventory
+    doc = F.concat(F.lit('{"kind":"'), "event_type", F.lit('","raw":'), "props", F.lit(',"tags":[{"n":'), (F.col("event_id") % 3).cast("string"),
+                   F.lit('},"x",'), (F.col("event_id") % 2).cast("string"), F.lit(".5]}"))
+    return typed_inventory(fx.fx_raw(spark, sf).select(doc.alias("doc")), "doc")
+
+
+@query("trailing_distinct")
+def trailing_distinct_q(spark, sf):
+    """AGG2 + AGG12 with mergeable sketches: distinct keys of the seven days up to each day, beside
+    the exact count, and whether the estimate is within four standard errors."""
+    from pitpanel.operators.stats import trailing_distinct
+    raw = fx.fx_raw(spark, sf)
+    day = F.to_date("observed_at")
+    approx = trailing_distinct(raw, "sku", day, 7)
+    reach = raw.select("sku", day.alias("own")).distinct().select("sku", "own", F.explode(F.sequence("own", F.date_add("own", 6))).alias("d"))
+    exact = reach.groupBy("d").agg(F.count_distinct("sku").alias("n_exact"), F.max("own").alias("own")).where("d = own")
+    j = approx.join(exact.select(F.col("d").cast("timestamp_ntz").alias("day"), "n_exact"), "day")
+    error = F.abs(F.col("n_estimate") - F.col("n_exact"))
+    return j.select("day", "n_exact", (error <= F.greatest(F.lit(1.0), F.lit(4 * 1.04 / 2 ** 7) * F.col("n_exact"))).alias("within_bound"))
+
+
 @query("record_width")
 def record_width_q(spark, sf):
     """AUD2: fields per record."""
@@ -450,9 +518,9 @@ def table_profile_q(spark, sf):
 
 @query("csv_ready")
 def csv_ready(spark, sf):
-    """SC3: nested columns rendered as JSON text for CSV export."""
+    """SC3: nested columns rendered as JSON text for CSV export, numbers with six places."""
     from pitpanel.functions.scalars import flatten_nested
-    return flatten_nested(fx.table(spark, sf, "embeddings"))
+    return flatten_nested(fx.table(spark, sf, "embeddings"), decimals=6)
 
 
 # ---------------------------------------------------------------- ad-hoc SQL
@@ -555,9 +623,63 @@ def intake_stream_history(spark, sf):
     fx.land_fixture_pages(spark, sf, f"{base}/landing")
     stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/stream-checkpoint",
                   multiline=False).awaitTermination()
-    h = PanelStore(spark, f"{base}/panel").history()
-    return h.select("sku", F.to_timestamp_ntz(F.col("run"), F.lit("yyyy-MM-dd'T'HH-mm-ss'Z'")).alias("observed_at"),
-                    "class", "department")
+    return _plain_history(PanelStore(spark, f"{base}/panel").history())
+
+
+def _run_time(c="run"):
+    return F.to_timestamp_ntz(F.col(c), F.lit("yyyy-MM-dd'T'HH-mm-ss'Z'"))
+
+
+def _plain_history(h):
+    return h.select("sku", _run_time().alias("observed_at"), "class", "department")
+
+
+# runs that arrive after all others: two in the middle, and the first one of all
+LATE = "(month(observed_at) = 4 AND year(observed_at) % 3 = 1) OR observed_at < TIMESTAMP_NTZ '1992-04-01'"
+
+
+def _late_panel(spark, sf):
+    """The quarterly runs, ingested by the stream with some of them arriving last."""
+    from pitpanel.sources.store import PanelStore
+    from pitpanel.streaming.intake import stream_intake
+    base = _scratch(spark, "late")
+    for name, where in (("in-time", f"NOT ({LATE})"), ("late", LATE)):
+        fx.land_fixture_pages(spark, sf, f"{base}/{name}", where=where)
+        stream_intake(spark, f"{base}/{name}", f"{base}/panel", f"{base}/{name}-checkpoint", multiline=False, late="splice").awaitTermination()
+    return PanelStore(spark, f"{base}/panel")
+
+
+@query("intake_late_runs")
+def intake_late_runs(spark, sf):
+    """STR1: runs that arrive late are spliced in; the change log is that of sorted arrival."""
+    return _plain_history(_late_panel(spark, sf).history())
+
+
+@query("intake_late_state")
+def intake_late_state(spark, sf):
+    """SCD2 + SNK3: the index and attributes folded as of a middle run and the newest, late runs included."""
+    store = _late_panel(spark, sf)
+    runs = sorted(store.ledger().runs)
+    parts = []
+    for run in (runs[len(runs) // 2], runs[-1]):
+        utc = lambda c: F.to_timestamp_ntz(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("yyyy-MM-dd HH:mm:ss")).alias(c)
+        index = store.state(until=run).select("sku", utc("first_seen"), utc("last_seen"), "present")
+        attrs = store.attributes(until=run).select("sku", "class", "department")
+        parts.append(index.join(attrs, "sku").withColumn("as_of", F.lit(run)))
+    return parts[0].unionByName(parts[1]).withColumn("as_of", _run_time("as_of"))
+
+
+@query("intake_index_rows")
+def intake_index_rows(spark, sf):
+    """SNK3: index rows that each run writes: keys changed or back, and keys gone."""
+    from pitpanel.sources.store import PanelStore
+    from pitpanel.streaming.intake import stream_intake
+    base = _scratch(spark, "deltas")
+    fx.land_fixture_pages(spark, sf, f"{base}/landing")
+    stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/checkpoint", multiline=False).awaitTermination()
+    rows = PanelStore(spark, f"{base}/panel").index_deltas()
+    return rows.groupBy("run").agg(F.count_if("present").alias("n_written"), F.count_if(~F.col("present")).alias("n_gone")) \
+               .select(_run_time().alias("run_at"), "n_written", "n_gone")
 
 
 # ---------------------------------------------------------------- over written files
@@ -634,6 +756,68 @@ def file_inventory(spark, sf):
     return rows.select("prefix", "n_files", "rank", F.regexp_extract("path", "run=([^/]+)", 1).alias("run"))
 
 
+@query("split_list")
+def split_list(spark, sf):
+    """§2.12 split list + SNK4: the price rows of a comma-separated key list."""
+    from pitpanel.sinks.export import parse_keys
+    keys = [r["sku"] for r in _top_reviewed(spark, sf, TOP_K).select("sku").collect()]
+    return loaders.load_prices(fx.fx_prices(spark, sf), skus=parse_keys(" " + ", ".join(keys) + ","), sort=False)
+
+
+@query("requested_fields")
+def requested_fields(spark, sf):
+    """SET4: the field list asked of the catalog source, beside the records of each kind it is asked for."""
+    from pitpanel.schemas import show_fields
+    kinds = fx.fx_raw(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    fields = F.split(F.lit(show_fields()), ",")
+    return kinds.select("event_type", "n", F.size(fields).alias("n_fields"), F.element_at(fields, 1).alias("first"), F.element_at(fields, -1).alias("last"))
+
+
+@query("intake_inactive")
+def intake_inactive(spark, sf):
+    """FLT6 + SRC11: pages with inactive records; the rest become price rows."""
+    from pitpanel.sources import landed
+    base = _scratch(spark, "inactive")
+    raw = fx.fx_raw(spark, sf)
+    record = F.struct(F.col("event_id").alias("sku"), F.col("value").alias("regularPrice"), (F.col("event_type") != "error").alias("active"))
+    pages = raw.groupBy((F.col("event_id") / 100).cast("long").alias("currentPage")).agg(F.collect_list(record).alias("products"))
+    pages.write.json(f"{base}/landing")
+    recs = landed.records(landed.read_pages(spark, f"{base}/landing", multiline=False))
+    return landed.build_prices(recs, F.lit("2026-01-01").cast("timestamp")).select("sku", F.col("regularPrice").alias("regular_price"))
+
+
+@query("csv_export_kinds")
+def csv_export_kinds(spark, sf):
+    """SNK4: the other kinds exported as CSV and read back, rows of each."""
+    from pitpanel.sinks.export import export
+    store, out = _panel(spark, sf), _scratch(spark, "csv-kinds")
+    start, end = _utc_range()
+    kinds = [("metadata-current", {}), ("runs-summary", {}), ("panel", {"start": start, "end": end})]
+    parts = [spark.read.option("header", True).csv(export(store, kind, out, **kw)).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("kind", F.lit(kind))
+             for kind, kw in kinds]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("stored_empty_root")
+def stored_empty_root(spark, sf):
+    """SRC6: the index before the first run and an empty root are empty typed frames; the key counts beside them."""
+    from pitpanel.sources.store import PanelStore
+    store = PanelStore(spark, _scratch(spark, "empty"))
+    keys = fx.fx_prices(spark, sf).select("sku").distinct()
+    known = store.hash_index().join(keys, "sku", "right_outer")
+    return known.agg(F.count(F.lit(1)).alias("n_new"), F.count("content_hash").alias("n_known"),
+                     F.lit(store.current().count() + store.prices().count() + store.history().count()).alias("n_stored"))
+
+
+@query("stored_sql_views")
+def stored_sql_views(spark, sf):
+    """SRC4 through ``PanelStore.sql``: rows and keys of the written prices by year."""
+    store = _panel(spark, sf)
+    return store.sql("""SELECT CAST(substr(run, 1, 4) AS INT) AS year, count(*) AS n_rows, count(DISTINCT p.sku) AS n_keys,
+                               count(DISTINCT m.sku) AS n_in_catalog
+                        FROM prices AS p LEFT JOIN metadata_current AS m ON m.sku = p.sku GROUP BY 1""")
+
+
 @query("csv_export")
 def csv_export(spark, sf):
     """SNK4: prices of a range exported as CSV, read back."""

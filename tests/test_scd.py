@@ -93,3 +93,16 @@ def test_as_of_and_intervals(spark):
 
 def test_index_schema_matches_declared(spark):
     assert [f.name for f in HASH_INDEX.fields] == ["sku", "content_hash", "first_seen", "last_seen"]
+
+
+def test_grid_equals_the_state_at_each_moment(spark):
+    import datetime as dt
+    from pitpanel.operators.scd import as_of_grid, as_of_many
+    t = lambda *a: dt.datetime(2026, 1, *a)
+    rows = [("a", t(1), "x"), ("a", t(3, 12), "y"), ("a", t(3, 12), "z"), ("a", t(9), "w"), ("b", t(5), "p"), ("c", dt.datetime(2025, 1, 1), "q"),
+            ("d", dt.datetime(2027, 1, 1), "r")]
+    h = spark.createDataFrame(rows, "sku string, observed_at timestamp_ntz, v string")
+    days = [t(2) + dt.timedelta(days=2 * i) for i in range(6)]
+    want = sorted(tuple(r) for r in as_of_many(h, days, ["v"], tiebreak=("v",)).collect())
+    got = as_of_grid(h, t(2), 6, ["v"], days=2, tiebreak=["v"], bucket_days=3).select("sku", "as_of", "observed_at", "v")
+    assert sorted(tuple(r) for r in got.collect()) == want

@@ -55,3 +55,29 @@ def test_table_profile_and_first_row(spark):
     assert first == {"k": "a", "n": "2", "t": None}
     first_b = {r.column: r.value for r in first_row_profile(df, ["n"]).collect()}
     assert len(first_b["t"]) == 80 and first_b["t"].endswith("...")
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "few", "hot"])
+def test_select_narrows_without_ordering(spark, monkeypatch, kind):
+    """Percentiles of a whole column by rounds of sketches and counts."""
+    from pitpanel.operators import stats
+    monkeypatch.setattr(stats, "BAND_VALUES", 50)
+    x = {"spread": "rand(7) * 1e6", "ties": "cast(id % 700 as double)", "few": "cast(id % 7 as double)",
+         "hot": "case when id % 3 = 0 then 5.0 else rand(3) end"}[kind]
+    d = spark.range(0, 60_001).select(F.expr(x).alias("x"))
+    d = d.union(spark.createDataFrame([(None,)], "x double"))
+    for p in (0.0, 0.123, 0.5, 1.0):
+        got = stats.exact_percentile(d, "x", p, accuracy=2000)
+        assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.first()[0] == d.select(F.percentile("x", p)).first()[0]
+    assert stats.exact_percentile(d.limit(0), "x", 0.5).count() == 0
+
+
+def test_trailing_sketches_can_be_stored_by_day(spark, tmp_root):
+    from pitpanel.operators.stats import trailing_distinct, union_trailing
+    d = spark.range(0, 30_000).select(F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 9).cast("int")).alias("d"),
+                                      (F.col("id") * 7 % 5000).cast("string").alias("k"))
+    d.groupBy(F.col("d").alias("__day")).agg(F.hll_sketch_agg("k", 14).alias("__s")).write.parquet(f"{tmp_root}/days")
+    got = {r["day"]: r["n_estimate"] for r in union_trailing(spark.read.parquet(f"{tmp_root}/days"), 3).collect()}
+    assert got == {r["day"]: r["n_estimate"] for r in trailing_distinct(d, "k", F.col("d"), 3).collect()}
+    assert len(got) == 9 and all(abs(n - 5000) < 200 for day, n in got.items() if day.day >= 3)
