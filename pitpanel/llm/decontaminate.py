@@ -2,17 +2,23 @@
 
 Benchmark items are cut into passages and weighted by TF-IDF, with document frequencies
 counted over the distinct texts of the whole corpus: copies don't make a word common.
-A randomised SVD (range finder, power iterations, all
-products formed by Spark over the passages) gives latent spaces: items share one as long as
-they have ``rank`` passages at most, so that a space keeps every direction of its passages
-and a cosine in it is not weakened by the other items.  Every passage of every document is
-projected into each space, and items at a cosine of ``least_cosine`` or more are candidates.  A candidate stands if the longest common subsequence of words with the
-item near that passage covers ``least_lcs`` of the item, and ``least_answer`` of the rarer
-half of the item's words (its answer) are there.
+A randomised SVD (range finder, power iterations, all products formed by Spark over the
+passages) gives latent spaces of ``rank`` dimensions; up to ``CROWD`` times as many
+passages share one.  Coordinates are divided by the roots of their singular values, so that the
+directions which all passages of a language share don't drown the others.  Windows of every document, as long
+as the passages they are compared with, are projected into each space, and items at a cosine (of the
+projected vectors) of ``least_cosine`` or more are candidates.  A candidate stands if the window's full TF-IDF vector
+is not far from the passage's either (``least_full``), the longest common subsequence of words with the
+item near that window covers ``least_lcs`` of the item, and ``least_answer`` of the rarer half of the item's
+words (its answer) are there.
 
 The benchmark is the query set.  It is worked off in blocks of ``block_items`` items and
 ``SPACES`` latent spaces at most, so what is broadcast (vocabulary, weights, latent vectors)
-is bounded by these and the length of an item.  The corpus is never shuffled or sampled.
+is bounded by these; work grows with documents times spaces.  The corpus is never sampled; for the document
+frequencies the distinct vocabulary words of each text, four bytes each, are shuffled once a block.
+
+Null and empty texts hold nothing.  A very long text is searched whole in one task, in parts of its
+windows; a very long item is cut into passages that share spaces like those of other items.
 """
 
 from __future__ import annotations
@@ -28,6 +34,8 @@ from pitpanel.llm.hashing import LOWER, NOT_LETTERS, Lookup, word_hashes
 
 U = np.uint64
 PASSAGE, STRIDE = 48, 24
+CELL = 12               # words; a window is 2 to 4 cells
+CROWD = 4               # passages of a latent space for each of its dimensions
 COMMON = 0.2            # words in more than this share of texts carry little weight
 GROUP_BYTES = 1 << 20
 SPACES = 16             # latent spaces that one pass over the documents searches
@@ -79,9 +87,11 @@ class Space:
     """The latent space of some items' passages."""
 
     words: np.ndarray               # places in the vocabulary, sorted
-    basis: np.ndarray               # words x rank: orthonormal columns, times idf
+    basis: np.ndarray               # words x rank: right singular vectors over singular values, times idf
     latent: np.ndarray              # passages of items x rank, unit length
     owner: np.ndarray               # item of each passage
+    cells: np.ndarray               # cells of the windows that each passage is compared with
+    rows: list                      # (places in the vocabulary, unit TF-IDF values) of each passage
 
 
 @dataclass
@@ -105,54 +115,70 @@ class Index:
         at, known = self.lookup.get(keys)
         return np.where(known, at, -1)
 
-    def candidates(self, keys, firsts, least_cosine):
-        """(text, first word, item, cosine) for passages near an item."""
+    def candidates(self, keys, firsts, least_cosine, least_full):
+        """(text, first word, item, cosine) for windows near an item."""
         at = self.positions(keys)
         idf = np.where(at >= 0, self.idf[at], self.top_idf)
-        text, start = [], []
-        for i in range(len(firsts) - 1):
-            s = passage_starts(int(firsts[i + 1] - firsts[i]))
-            text += [i] * len(s)
-            start += [int(firsts[i]) + x for x in s]
-        if not start:
-            return []
-        text, start = np.array(text), np.array(start)
-        end = np.minimum(start + PASSAGE, firsts[1:][text])
         squares = np.zeros(len(idf) + 1)
         np.cumsum(idf * idf, out=squares[1:])
-        norm = np.sqrt(squares[end] - squares[start])
+        n_cells = -(-np.diff(firsts) // CELL)
+        ends = np.cumsum(n_cells)
+        text = np.repeat(np.arange(len(n_cells)), n_cells)
+        start = firsts[text] + (np.arange(len(text)) - (ends - n_cells)[text]) * CELL
+        cell = (ends - n_cells).repeat(np.diff(firsts)) + (np.arange(len(keys)) - np.repeat(firsts[:-1], np.diff(firsts))) // CELL
         out = []
         for space in self.spaces:
             row = np.full(len(self.vocabulary) + 1, -1)
             row[space.words] = np.arange(len(space.words))
             row = row[at]                               # the last entry is that of unknown words
             known = np.flatnonzero(row >= 0)
-            lo, hi = np.searchsorted(known, start), np.searchsorted(known, end)
-            some = np.flatnonzero(hi > lo)
-            for a in range(0, len(some), 2048):
-                mine = some[a:a + 2048]
-                base, top = lo[mine].min(), hi[mine].max()
-                vectors = space.basis[row[known[base:top]]]
-                bounds = np.stack([lo[mine] - base, hi[mine] - base], axis=1).ravel()
-                # a closing row lets the last passage end where the words do
-                summed = np.add.reduceat(np.concatenate([vectors, np.zeros((1, vectors.shape[1]), dtype=np.float32)]), bounds)[0::2]
-                cosine = summed @ space.latent.T / norm[mine][:, None]
-                for p, q in zip(*np.nonzero(cosine >= least_cosine)):
-                    out.append((int(text[mine[p]]), int(start[mine[p]]), int(space.owner[q]), float(cosine[p, q])))
+            if not len(known):
+                continue
+            sums = np.zeros((len(text) + 3, space.basis.shape[1]), dtype=np.float32)
+            new = np.flatnonzero(np.diff(cell[known], prepend=-1))
+            for a in range(0, len(new), 4096):
+                lo, hi = new[a], new[a + 4096] if a + 4096 < len(new) else len(known)
+                sums[cell[known[new[a:a + 4096]]]] = np.add.reduceat(space.basis[row[known[lo:hi]]], new[a:a + 4096] - lo)
+            for width in np.unique(space.cells).tolist():
+                mine = np.flatnonzero(space.cells == width)
+                latent = space.latent[mine].T
+                i = np.arange(len(text))
+                if width == 4:                          # long windows start at every second cell
+                    i = i[(i - (ends - n_cells)[text]) % 2 == 0]
+                for a in range(0, len(i), 4096):
+                    w = i[a:a + 4096]
+                    window = sums[w].copy()
+                    for k in range(1, width):
+                        inside = w + k < ends[text[w]]
+                        window[inside] += sums[w[inside] + k]
+                    norm = np.sqrt(np.einsum("ij,ij->i", window, window))
+                    cosine = window @ latent
+                    p, q = np.nonzero(cosine >= (least_cosine * np.maximum(norm, 1e-9))[:, None])
+                    first = start[w[p]]
+                    last = np.minimum(first + width * CELL, firsts[text[w[p]] + 1])
+                    full = np.sqrt(squares[last] - squares[first])
+                    for j, (a_, b_, k) in enumerate(zip(first.tolist(), last.tolist(), mine[q].tolist())):
+                        columns, values = space.rows[k]
+                        place = np.minimum(np.searchsorted(columns, at[a_:b_]), len(columns) - 1)
+                        dot = (idf[a_:b_] * values[place])[columns[place] == at[a_:b_]].sum()
+                        if dot >= least_full * full[j]:
+                            out.append((int(text[w[p[j]]]), a_, int(space.owner[k]), float(cosine[p[j], q[j]] / norm[p[j]])))
         return out
 
-    def matches(self, texts: list[bytes], least_cosine, least_lcs, least_answer):
+    def matches(self, texts: list[bytes], least_cosine, least_full, least_lcs, least_answer):
         """For each text, its items: {item: (cosine, lcs share, answer share, first word)}."""
         found: list[dict] = [{} for _ in texts]
         for a, b in groups(texts):
             keys, firsts = words_of(texts[a:b])
-            for text, start, item, cosine in self.candidates(keys, firsts, least_cosine):
+            for text, start, item, cosine in self.candidates(keys, firsts, least_cosine, least_full):
                 _, words, answer = self.items[item]
                 n = len(words)
                 # the item may begin before the passage or end after it
                 lo = max(int(firsts[text]), start - n)
                 hi = min(int(firsts[text + 1]), start + PASSAGE + n)
                 width = n + n // 3 + 1
+                if np.isin(words, keys[lo:hi]).mean() < least_lcs:               # no subsequence can be long enough
+                    continue
                 for w in range(lo, max(hi - width, lo) + 1, max(1, n // 6)):
                     window = keys[w:min(w + width, hi)]
                     share = lcs_length(words, window) / n
@@ -215,8 +241,8 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray, text: str) ->
     return out, n
 
 
-def randomised_svd(spark, rows: list[tuple], n_columns: int, rank: int, power: int = 2, spare: int = 10, seed: int = 7) -> np.ndarray:
-    """Right singular vectors (columns) of a sparse matrix whose rows are (columns, values).
+def randomised_svd(spark, rows: list[tuple], n_columns: int, rank: int, power: int = 2, spare: int = 10, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Right singular vectors (columns) and singular values of a sparse matrix whose rows are (columns, values).
 
     Each product ``A' A X`` is formed by Spark: a task multiplies its rows, the partial
     products are summed by ranges of columns.  The driver holds ``n_columns`` x rank.
@@ -248,20 +274,24 @@ def randomised_svd(spark, rows: list[tuple], n_columns: int, rank: int, power: i
         basis = np.linalg.qr(product(basis))[0]
     # Rayleigh-Ritz: rotate the basis to the leading directions
     values, turn = np.linalg.eigh(basis.T @ product(basis))
-    return basis @ turn[:, np.argsort(values)[::-1][:rank]]
+    first = np.argsort(values)[::-1][:rank]
+    first = first[values[first] > 1e-9 * values.max()]
+    return basis @ turn[:, first], np.sqrt(values[first])
 
 
-def latent_space(spark, rows: list[tuple], owner: list[int], idf: np.ndarray) -> Space:
-    """The space of all directions of ``rows``, passages as (places in the vocabulary, unit values)."""
+def latent_space(spark, rows: list[tuple], owner: list[int], cells: list[int], idf: np.ndarray, rank: int) -> Space:
+    """The space of ``rank`` dimensions of ``rows``, passages as (places in the vocabulary, unit values)."""
+    full = rows
     words = np.unique(np.concatenate([c for c, _ in rows]))
     rows = [(np.searchsorted(words, c), v) for c, v in rows]
-    space = randomised_svd(spark, rows, len(words), len(rows))
+    vectors, values = randomised_svd(spark, rows, len(words), rank)
+    space = vectors / np.sqrt(values)
     latent = np.stack([v @ space[c] for c, v in rows])
-    latent /= np.linalg.norm(latent, axis=1, keepdims=True)
-    return Space(words, (space * idf[words][:, None]).astype(np.float32), latent.astype(np.float32), np.array(owner))
+    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+    return Space(words, (space * idf[words][:, None]).astype(np.float32), latent.astype(np.float32), np.array(owner), np.array(cells), full)
 
 
-def build_index(docs: DataFrame, words: list[tuple], parts: list[list[int]], text: str) -> Index | None:
+def build_index(docs: DataFrame, words: list[tuple], parts: list[list[int]], rank: int, text: str) -> Index | None:
     """Index of benchmark items, (id, word hashes) each; the items of a part share a space.
     None if no document has a word with a weight."""
     vocabulary = np.unique(np.concatenate([w for _, w in words]))
@@ -273,7 +303,7 @@ def build_index(docs: DataFrame, words: list[tuple], parts: list[list[int]], tex
     top = float(np.log(n + 1) + 1)
     spaces = []
     for part in parts:
-        rows, owner = [], []
+        rows, owner, cells = [], [], []
         for k in part:
             at = np.searchsorted(vocabulary, words[k][1])
             for s in passage_starts(len(at)):
@@ -282,8 +312,9 @@ def build_index(docs: DataFrame, words: list[tuple], parts: list[list[int]], tex
                 if value.any():
                     rows.append((columns[value > 0], value[value > 0] / np.linalg.norm(value)))
                     owner.append(k)
+                    cells.append(min(-(-len(at) // CELL) + 1, PASSAGE // CELL))
         if rows:
-            spaces.append(latent_space(docs.sparkSession, rows, owner, idf))
+            spaces.append(latent_space(docs.sparkSession, rows, owner, cells, idf, rank))
     if not spaces:
         return None
     answers = []
@@ -296,11 +327,11 @@ def build_index(docs: DataFrame, words: list[tuple], parts: list[list[int]], tex
 
 def spaces_of(words: list[tuple], rank: int):
     """Items, (id, word hashes) each, with the parts of them that share a latent space: up to
-    ``SPACES`` parts, of up to ``rank`` passages or one item."""
+    ``SPACES`` parts, of up to ``CROWD * rank`` passages or one item."""
     chosen, parts, size = [], [], 0
     for item in words:
         n = len(passage_starts(len(item[1])))
-        if not parts or size + n > rank:
+        if not parts or size + n > CROWD * rank:
             if len(parts) == SPACES:
                 yield chosen, parts
                 chosen, parts = [], []
@@ -322,15 +353,15 @@ def indexes(docs: DataFrame, benchmark: DataFrame, rank: int, block_items: int,
         items = [(r["item_id"], bytes(r["text"] or b"")) for r in numbered.where(F.col("block") == b).collect()]
         words = [(i, words_of([t])[0]) for i, t in sorted(items, key=str)]
         for chosen, parts in spaces_of([(i, w) for i, w in words if len(w)], rank):
-            index = build_index(docs, chosen, parts, text)
+            index = build_index(docs, chosen, parts, rank, text)
             if index is not None:
                 yield spark.sparkContext.broadcast(index)
 
 
-LIMITS = {"least_cosine": 0.18, "least_lcs": 0.6, "least_answer": 0.5}
+LIMITS = {"least_cosine": 0.7, "least_full": 0.18, "least_lcs": 0.6, "least_answer": 0.5}
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 192, block_items: int = 2000,
+def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 96, block_items: int = 2000,
                  doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """One row for each row of ``docs`` and benchmark item that it holds: ``doc_id, item_id,
     cosine, lcs, answer, start`` (the shares of the item, and the word where the match begins).
@@ -356,7 +387,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 192, block_i
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 192, block_items: int = 2000,
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 96, block_items: int = 2000,
                       text: str = "text", **limits) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item."""
     limits = LIMITS | limits

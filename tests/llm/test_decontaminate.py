@@ -27,7 +27,8 @@ def test_lcs():
 def test_svd(spark):
     rng = np.random.default_rng(0)
     dense = rng.standard_normal((40, 6)) @ rng.standard_normal((6, 300))
-    space = randomised_svd(spark, [(np.arange(300), r) for r in dense], 300, 6)
+    space, values = randomised_svd(spark, [(np.arange(300), r) for r in dense], 300, 6)
+    assert np.allclose(values, np.linalg.svd(dense)[1][:6])
     assert np.allclose(space.T @ space, np.eye(6), atol=1e-8)
     assert np.allclose(dense @ space @ space.T, dense, atol=1e-6)
 
