@@ -3,11 +3,13 @@
 Every block of documents is a reference block; its phrases (anchored word sequences,
 see :mod:`pitpanel.llm.windows`) are indexed by fingerprint, and the phrases of all
 documents are looked up in every reference block at once, because Spark deals blocks
-and documents by the same fingerprint.  A factor of a document grows greedily: phrase
-by phrase as long as the reference holds the same phrase with the same surroundings,
-then, at the factor's boundaries, word by word, where the last words that still match
-are found by comparing the windows one by one.  Factors of ``width`` words or more from
-a document with a smaller id become duplicate spans.
+and documents by the same fingerprint.  No factor is parsed word by word: a stretch that another
+document holds shows as phrases with the same surroundings, and where such a stretch may begin or
+end the windows of ``width`` words are compared one by one.  Every window that a document with a
+smaller id holds becomes part of a duplicate span.
+
+A null or empty text has no words.  A very long text is a block of its own and is held whole in
+one task.
 """
 
 from __future__ import annotations
