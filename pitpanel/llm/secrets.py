@@ -36,6 +36,7 @@ ENCODINGS = [
 ]
 BANDS = [24, 32, 40, 64, 128]       # a token's band is the number of these its length reaches
 KINDS = ["assign", "access", "hex", "random"]
+CHUNK = 256                         # matches that are numbered together (appending to an array copies it)
 GRID, LEAST_BIN = 50, 2000          # p-values are counted at 1/50 of a natural logarithm, down to e^-40
 
 
@@ -47,7 +48,6 @@ def spans(text: Column, kind: str, before: str, body: str, least: int) -> Column
     groups = [F.regexp_extract_all(text, F.lit(whole), F.lit(i)) for i in (1, 2, 3)]
     zipped = F.arrays_zip(*[g.alias(n) for g, n in zip(groups, ("gap", "head", "body"))])
     kind_type = "array<struct<start:int,rank:int,end:int,kind:string,body:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind_type).alias("found"))
 
     def step(acc, m):
         begin = acc["at"] + F.length(m["gap"])
@@ -55,7 +55,15 @@ def spans(text: Column, kind: str, before: str, body: str, least: int) -> Column
         one = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), m["body"].alias("body"))
         return F.struct(end.alias("at"), F.concat(acc["found"], F.array(one)).alias("found"))
 
-    found = F.aggregate(zipped, start, step, lambda acc: acc["found"])
+    def chunk(acc, matches):
+        inner = F.aggregate(matches, F.struct(acc["at"].alias("at"), F.array().cast(kind_type).alias("found")), step)
+        return let(inner, lambda i: F.struct(i["at"].alias("at"), F.concat(acc["found"], F.array(i["found"])).alias("found")))
+
+    def chunks(matches):
+        cut = F.transform(F.sequence(F.lit(0), F.greatest(F.size(matches) - 1, F.lit(0)), F.lit(CHUNK)), lambda i: F.slice(matches, i + 1, F.lit(CHUNK)))
+        return F.aggregate(cut, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind_type}>").alias("found")), chunk, lambda acc: F.flatten(acc["found"]))
+
+    found = let(zipped, chunks)
     found = F.when(text.rlike(before + body), found).otherwise(F.array().cast(kind_type))
     return F.filter(found, lambda s: F.length(s["body"]) >= least) if least else found
 
@@ -82,7 +90,7 @@ def battery(token: Column, alphabet: str) -> Column:
     counts = F.transform(F.array(*[F.lit(c) for c in alphabet]), lambda c: F.pow(F.length(token) - F.length(F.replace(token, c, F.lit(""))), F.lit(2)))
     chi = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) * size / n - n
     uniformity = tail((chi - (size - 1)) / F.sqrt(2.0 * (size - 1) * (n - 1) / n))
-    values = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: (F.instr(F.lit(alphabet), F.substr(token, i, F.lit(1))) - 1).cast("double"))
+    values = F.transform(F.split(token, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
 
     def moments(values):
         """Sums over the symbols, in one pass: highs, runs, sum, squares, neighbours."""
@@ -173,7 +181,7 @@ def find_secrets(docs: DataFrame, fdr: float = 0.05, doc_id: str = "doc_id", tex
     ``spans`` lists ``kind:start:end`` by start, then kind.  Null and empty texts have
     none; a null ``doc_id`` is returned as null; repeated rows are scanned alike (and each
     counts in the control of false discovery); an empty table gives no rows; other
-    columns are ignored.
+    columns are ignored.  Long texts and tokens are read whole, in time that grows with their length.
     """
     rows = with_secret_spans(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), fdr, "text", "found")
     n = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -182,7 +190,8 @@ def find_secrets(docs: DataFrame, fdr: float = 0.05, doc_id: str = "doc_id", tex
 
 
 def redact(docs: DataFrame, fdr: float = 0.05, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``mark`` (overlapping ones by one)."""
+    """``docs`` with every secret in ``text`` replaced by ``mark`` (overlapping ones by one).
+    Null texts stay null; a text is read once for each of its secrets."""
     whole, spans_at = F.col(text), free_name(docs, "_secret_spans")
     first = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 

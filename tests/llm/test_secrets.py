@@ -66,3 +66,14 @@ def test_random_values_after_a_name_are_tested_on_their_own(spark):
     whole = [f"random:{t.index('=') + 1}:{len(t) - 2}" for t in texts]
     assert sum(rows[i] == whole[i] for i in range(100)) >= 90
     assert not any(rows[i] for i in range(100, 200))
+
+
+def test_long_tokens_and_many_matches(spark):
+    rng = random.Random(3)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    long = "".join(rng.choices(b64, k=300_000))
+    many = " ".join(f"é token=abcdef{i}" for i in range(20_000))
+    rows = [(1, f"data:{long} end"), (2, many), (3, "Aa1" * 100_000), (4, "x" * 1_000_000)]
+    got = {r.doc_id: r for r in find_secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got[1].spans == "random:5:300005" and got[3].spans == "" and got[4].spans == ""
+    assert (got[2].n_assign, got[2].n_access, got[2].n_hex, got[2].base_sha256) == truth(many)
