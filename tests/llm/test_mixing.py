@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from pitpanel.llm.mixing import fit_rates, met_rates, mixed_rates, replay
+from pitpanel.llm.mixing import calibration, fit_rates, mixed_rates, replay, with_rates
 
 SF = "/root/testdata/sf0.01"
 
@@ -34,9 +34,14 @@ def test_optimality(spark):
     p = rng.dirichlet([0.4] * 3, 200)
     n = rng.integers(0, 50, 200)
     df = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, posterior array<double>").repartition(3)
-    goal, total, ridge = np.array([0.8, 0.2, 0.0]) * n.sum(), float(n.sum()), 0.05
-    rate, _ = replay(p, fit_rates(df, goal, total, ridge, 150, 0.0), ridge)
-    slope = p @ (((rate * n) @ p - goal) / total) + ridge * (rate - 1)
+    goal, total = np.array([0.8, 0.2, 0.0]) * n.sum(), float(n.sum())
+    history, residual = fit_rates(df, goal / total, 500.0, 150, 0.0)     # ends at a ridge of 0.05
+    ridge = history[-1][2]
+    rate, _ = replay(p, history)
+    weight = total / (n @ p)
+    slope = p @ (weight * ((rate * n) @ p - goal) / total) + ridge * (rate - 1)
+    assert len(history) > 16        # rates were written and read back
+    assert abs(np.abs((rate * n) @ p - goal).max() / total - residual) < 1e-9
     assert np.abs(slope[rate > 1e-9]).max() < 1e-4      # gradient zero where free,
     assert slope[rate <= 1e-9].min(initial=0) > -1e-4   # not pointing up where cut
 
@@ -67,16 +72,49 @@ def one_hot(spark, shares):
 def test_targets_of_rare_domains_are_met(spark, shares):
     rows = one_hot(spark, shares)
     goal, total = np.full(4, 25000.0), 100000.0
-    history, ridge = met_rates(rows, goal, total, 1e-3, 30, 0.01, list("abcd"))
+    history, residual = fit_rates(rows, goal / total, 1e-3, 30, 0.01)
     got = rows.collect()
     p, n = np.array([r.posterior for r in got]), np.array([r.n_tokens for r in got])
-    assert np.abs((replay(p, history, ridge)[0] * n) @ p - goal).max() <= 0.01 * total / 4
-
-
-def test_targets_that_no_rates_meet_are_an_error(spark):
-    rows = spark.createDataFrame([(10, [0.5, 0.5]), (20, [0.6, 0.4])], "n_tokens long, posterior array<double>")
-    with pytest.raises(ValueError, match="no rates"):
-        met_rates(rows, np.array([3.0, 27.0]), 30.0, 1e-3, 8, 0.01, ["a", "b"])
+    assert np.abs((replay(p, history)[0] * n) @ p - goal).max() <= 0.01 * total / 4 and residual <= 0.01 / 4
+
+
+def test_targets_that_no_rates_meet_get_the_least_squares_solution(spark):
+    """30 rows of one text under two labels: the prior as posterior, and the best common rate."""
+    docs = spark.createDataFrame([(i, "the same words here", "a" if i % 3 else "b") for i in range(30)], "doc_id long, text string, lang string")
+    rows = mixed_rates(docs, docs.select("doc_id")).collect()
+    assert all(np.allclose(r.posterior, [2 / 3, 1 / 3]) for r in rows)
+    # minimises 1.5 (2r/3 - 1/2)^2 + 3 (r/3 - 1/2)^2 but for the ridge: r = 1
+    assert all(abs(r.rate - 1) < 0.01 and abs(r.residual - 1 / 6) < 0.01 for r in rows)
+    steps, residual = fit_rates(spark.createDataFrame([(10, [0.5, 0.5]), (20, [0.6, 0.4])], "n_tokens long, posterior array<double>"), np.array([0.1, 0.9]), 1e-3, 30, 0.01)
+    assert residual > 0.01 and len(steps) < 400
+
+
+def test_posteriors_are_calibrated(spark):
+    """Words that say little: the posterior's claims hold on rows it never saw, for a rare domain too."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(1500):
+        d = "rare" if i % 6 == 0 else "often"
+        rows.append((i, " ".join(rng.choices(words, [1 + (j < 30) * (d == "rare") for j in range(60)], k=rng.randint(1, 12))), d))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    out = {r.doc_id: r for r in mixed_rates(docs, docs.where("doc_id < 750").select("doc_id"), {"often": 5, "rare": 1}, per_domain=300).collect()}
+    fresh = [(out[i].posterior[1], d == "rare") for i, _, d in rows if i >= 750]
+    assert abs(np.mean([p for p, _ in fresh]) - np.mean([t for _, t in fresh])) < 0.05
+    sure = [(max(p, 1 - p), (p > 0.5) == t) for p, t in fresh]
+    assert abs(np.mean([c for c, _ in sure]) - np.mean([t for _, t in sure])) < 0.06
+    bins = calibration(docs, docs.where("doc_id < 750").select("doc_id"), per_domain=300).collect()
+    assert sum(r.n for r in bins) == sum(min(300, n) // 5 for n in (125, 625))
+
+
+def test_columns_pass_through(spark):
+    docs = spark.createDataFrame([(1, "the cat", "en", 5, {"a": 1}), (None, None, None, None, None), (1, "the cat", "en", 5, {"a": 1}), (2, "der hund", "de", 6, None)],
+                                 "doc_id long, text string, lang string, rate int, `odd.name` map<string,int>")
+    out = with_rates(docs, docs.select("doc_id"))
+    assert out.columns == ["doc_id", "text", "lang", "rate_input", "odd.name", "n_tokens", "domain", "posterior", "rate", "residual"]
+    got = sorted((r.doc_id or 0, r.text, r.rate_input, r["odd.name"]) for r in out.collect() if r.text)
+    assert got == [(1, "the cat", 5, {"a": 1}), (1, "the cat", 5, {"a": 1}), (2, "der hund", 6, None)] and out.count() == 4
+    assert with_rates(docs, docs.limit(0)).columns == out.columns
 
 
 def test_every_labelled_domain_is_learned(spark):
