@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.llm.decontaminate import drop_contaminated
-from pitpanel.llm.mixing import mixed_rates
+from pitpanel.llm.mixing import with_rates
 from pitpanel.llm.secrets import redact
 from pitpanel.llm.simhash import drop_near_duplicates
 from pitpanel.llm.toxicity import drop_toxic
@@ -43,8 +43,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's tokens, domain, posterior and rate, for equal shares of the domains."""
-    return mixed_rates(docs, table(spark, sf_dir, "labels"))
+    """All documents, with tokens, domain, posterior and rate, for equal shares of the domains."""
+    return with_rates(docs, table(spark, sf_dir, "labels"))
 
 
 STAGES = [
