@@ -76,9 +76,14 @@ def sampled(docs: DataFrame, labelled: DataFrame, domain: str, per_domain: int)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(domain).cast("string").alias("domain"),
                        F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text")).where("domain is not null")
     known = materialize(rows.drop("text").join(ids, "doc_id").groupBy("domain", "doc_id", "mark").agg(F.count("*").alias("n")), "domains")
-    sizes = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.sum("n").alias("n")).collect()}
+    found = known.groupBy("domain").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).collect()
+    sizes = {r["domain"]: r["n"] for r in found}
+    # hashes are uniform: a few times the wanted share of them holds the least ones, and only these are ranked
+    bound = [(r["domain"], min(int(4 * (per_domain + 25) / r["texts"] * 2 ** 64), 2 ** 64 - 1) - 2 ** 63) for r in found]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(bound, "domain string, bound long"))     # a row for each domain
+    near = known.join(bounds, "domain").where(F.xxhash64("doc_id") <= F.col("bound"))
     least = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id", "mark")
-    chosen = known.select("domain", "doc_id", "mark", F.row_number().over(least).alias("rank")).where(F.col("rank") <= per_domain)
+    chosen = near.select("domain", "doc_id", "mark", F.row_number().over(least).alias("rank")).where(F.col("rank") <= per_domain)
     if len(sizes) * per_domain <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
     sample = rows.join(chosen, ["domain", "doc_id", "mark"]).dropDuplicates(["domain", "doc_id", "mark"])
@@ -111,9 +116,11 @@ def counted(sample: DataFrame, names: list[str]) -> np.ndarray:
     def count(batches):
         out = np.zeros(len(number) * FEATURES, dtype=np.int64)
         for batch in batches:
-            at, firsts = features([t or b"" for t in batch.column(1).to_pylist()])
+            texts = [t or b"" for t in batch.column(1).to_pylist()]
             k = np.array([number[d] for d in batch.column(0).to_pylist()], dtype=np.int64)
-            out += np.bincount(at * len(number) + np.repeat(k, np.diff(firsts)), minlength=len(out))
+            for a, b in groups(texts):
+                at, firsts = features(texts[a:b])
+                np.add.at(out, at * len(number) + np.repeat(k[a:b], np.diff(firsts)), 1)
         some = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(out[some])], names=["at", "n"])
 
