@@ -905,3 +905,44 @@ def partition_parts_q(spark, sf):
     """§2.12: year, month and day of a run time."""
     from pitpanel.functions.timeparts import partition_parts
     return fx.fx_raw(spark, sf).select("event_id", *partition_parts("observed_at"))
+
+
+# ---------------------------------------------------------------- clustered tables
+def _clustered(spark, *tables):
+    """Tables written into one layout, with as many buckets as the session has shuffle partitions."""
+    import uuid
+    from pitpanel.session import checkpoint_dir
+    from pitpanel.sinks.clustered import plan_layout, write_clustered
+    path = f"{checkpoint_dir(spark).rstrip('/')}/clustered-{uuid.uuid4().hex}"
+    layout = plan_layout(tables, "sku", int(spark.conf.get("spark.sql.shuffle.partitions")), path)
+    return [write_clustered(t, layout, f"{path}/table{i}") for i, t in enumerate(tables)]
+
+
+@query("clustered_panel")
+def clustered_panel(spark, sf):
+    """JN1 over clustered tables: no exchange of prices or attributes."""
+    from pitpanel.operators.colocated import panel
+    prices, current = _clustered(spark, fx.fx_prices(spark, sf, stored=True), fx.fx_metadata_active(spark, sf))
+    return panel(prices, current, ["name", "manufacturer", "department", "size"])
+
+
+@query("clustered_panel_historical")
+def clustered_panel_historical(spark, sf):
+    """JN2 over clustered tables."""
+    from pitpanel.operators.colocated import panel_historical
+    prices, history = _clustered(spark, fx.fx_prices(spark, sf, stored=True), fx.fx_history(spark, sf, stored=True))
+    return panel_historical(prices, history, ATTRS, bucket_days=fx.BUCKET_DAYS)
+
+
+@query("clustered_changed_rows")
+def clustered_changed_rows(spark, sf):
+    """SCD1 backfill over clustered snapshots."""
+    from pitpanel.operators.colocated import change_log
+    return change_log(*_clustered(spark, fx.fx_hashed_snapshots(spark, sf, stored=True)), bucket_days=fx.BUCKET_DAYS)
+
+
+@query("clustered_index")
+def clustered_index(spark, sf):
+    """SCD2 over clustered snapshots."""
+    from pitpanel.operators.colocated import build_index
+    return build_index(*_clustered(spark, fx.fx_hashed_snapshots(spark, sf, stored=True)))
