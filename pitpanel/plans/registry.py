@@ -622,7 +622,7 @@ def intake_stream_history(spark, sf):
     base = _scratch(spark, "intake")
     fx.land_fixture_pages(spark, sf, f"{base}/landing")
     stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/stream-checkpoint",
-                  multiline=False).awaitTermination()
+                  multiline=False, reports=False).awaitTermination()
     return _plain_history(PanelStore(spark, f"{base}/panel").history())
 
 
@@ -645,7 +645,7 @@ def _late_panel(spark, sf):
     base = _scratch(spark, "late")
     for name, where in (("in-time", f"NOT ({LATE})"), ("late", LATE)):
         fx.land_fixture_pages(spark, sf, f"{base}/{name}", where=where)
-        stream_intake(spark, f"{base}/{name}", f"{base}/panel", f"{base}/{name}-checkpoint", multiline=False, late="splice").awaitTermination()
+        stream_intake(spark, f"{base}/{name}", f"{base}/panel", f"{base}/{name}-checkpoint", multiline=False, late="splice", reports=False).awaitTermination()
     return PanelStore(spark, f"{base}/panel")
 
 
@@ -676,7 +676,7 @@ def intake_index_rows(spark, sf):
     from pitpanel.streaming.intake import stream_intake
     base = _scratch(spark, "deltas")
     fx.land_fixture_pages(spark, sf, f"{base}/landing")
-    stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/checkpoint", multiline=False).awaitTermination()
+    stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/checkpoint", multiline=False, reports=False).awaitTermination()
     rows = PanelStore(spark, f"{base}/panel").index_deltas()
     return rows.groupBy("run").agg(F.count_if("present").alias("n_written"), F.count_if(~F.col("present")).alias("n_gone")) \
                .select(_run_time().alias("run_at"), "n_written", "n_gone")
@@ -866,6 +866,27 @@ def report_files(spark, sf):
     return spark.read.text(path).select(F.col("report_day").cast("date").cast("timestamp_ntz").alias("run_day"), F.col("value").alias("text"))
 
 
+@query("report_pages")
+def report_pages_q(spark, sf):
+    """MON6: whole report pages, headings and time stamp included."""
+    from pitpanel.operators.monitor import report_pages
+    return report_pages(_daily_report(spark, sf), "2000-01-01T00:00:00Z")
+
+
+@query("intake_reports")
+def intake_reports(spark, sf):
+    """ING1 + MON6: the reports that the streaming intake writes after its runs, read back (without
+    the lines that hold the time of day at which they were made)."""
+    from pitpanel.streaming.intake import stream_intake
+    from pitpanel.streaming.reporting import DAILY
+    base = _scratch(spark, "reports")
+    fx.land_fixture_pages(spark, sf, f"{base}/landing")
+    stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/checkpoint", multiline=False).awaitTermination()
+    lines = spark.read.text(f"{base}/panel/{DAILY}")
+    return lines.where("value NOT LIKE 'Made at %' AND value NOT LIKE '| 1%'").select(
+        F.col("report_day").cast("date").cast("timestamp_ntz").alias("run_day"), F.col("value").alias("text"))
+
+
 @query("snapshot_latest_keys")
 def snapshot_latest_keys(spark, sf):
     """FLT2 with a key list: the latest run of the five most reviewed keys."""

@@ -73,9 +73,10 @@ def write_run_log(df: DataFrame, runs_dir: str, run_ts: _dt.datetime) -> None:
 
 
 def write_report(lines: DataFrame, path: str, day_col: str = "day") -> None:
-    """Daily report lines as text files, one folder per day (idempotent)."""
+    """Daily report lines, or whole pages, as text files, one folder per day (idempotent)."""
+    order = [c for c in ("section", "line_no") if c in lines.columns]
     ordered = lines.withColumn("report_day", F.date_format(day_col, "yyyy-MM-dd")) \
-                   .repartition("report_day").sortWithinPartitions("report_day", "section", "line_no")
+                   .repartition("report_day").sortWithinPartitions("report_day", *order)
     (ordered.select("report_day", "text").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("report_day").text(path))
 

@@ -20,3 +20,15 @@ def spark():
 @pytest.fixture()
 def tmp_root():
     return tempfile.mkdtemp(prefix="pitpanel-test-", dir="/tmp")
+
+
+@pytest.fixture(autouse=True)
+def reports_only_where_asked_for(request, monkeypatch):
+    """Ingestion writes daily reports in tests marked ``reports``; the others are about other things, and a
+    report takes longer than the runs of a test."""
+    if "reports" not in request.keywords:
+        monkeypatch.setattr("pitpanel.streaming.intake.write_daily_reports", lambda *args: None)
+
+
+def pytest_configure(config):
+    config.addinivalue_line("markers", "reports: ingestion writes the daily reports")
