@@ -883,7 +883,7 @@ def intake_reports(spark, sf):
     fx.land_fixture_pages(spark, sf, f"{base}/landing")
     stream_intake(spark, f"{base}/landing", f"{base}/panel", f"{base}/checkpoint", multiline=False).awaitTermination()
     lines = spark.read.text(f"{base}/panel/{DAILY}")
-    return lines.where("value NOT LIKE 'Made at %' AND value NOT LIKE '| 1%'").select(
+    return lines.where(~F.col("value").rlike("^Made at |^\\| [0-9]")).select(
         F.col("report_day").cast("date").cast("timestamp_ntz").alias("run_day"), F.col("value").alias("text"))
 
 
