@@ -36,7 +36,6 @@ from pitpanel.session import materialize
 U = np.uint64
 SMALL = 64
 VARIANTS_PER_PART = 1 << 20
-NO_ID = 1 << 62          # nodes without a document id are numbered from here
 LOWER_TABLE = LOWER.tobytes()
 
 
@@ -197,24 +196,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, small:
     """One row per input row: ``doc_id, fingerprint`` (16 hex digits), ``component_id``.
 
     The component is the smallest ``doc_id`` that chains of fingerprints at
-    ``distance`` bits or fewer (0 to 4 or another even number) reach.
+    ``distance`` bits or fewer (a multiple of 4) reach.
 
     Null, empty and blank texts have fingerprint zero and are linked like any other.
     Repeated rows have one fingerprint; rows that share a ``doc_id`` count as one
     document.  A null ``doc_id`` takes part, but never names a component: one that
-    holds nothing else has a null ``component_id``.  An empty table gives no rows;
-    other columns are ignored.  Ids must be below 2^62.
+    holds nothing else has a null ``component_id``.  Ids may be any long.  An empty table
+    gives no rows; other columns are ignored.
+
+    Fingerprints themselves are the nodes of the search; the least id of a component is
+    then found by a partially aggregated group-by over one row per fingerprint, and joined back.
     """
     if distance % 2 or (distance // 2) % 2:
         raise ValueError("distance must be a multiple of 4, so that each half has a whole middle")
     prints = materialize(fingerprints(docs, shingle, doc_id, text), "simhash")
-    nodes = materialize(prints.groupBy("bits").agg(
-        F.coalesce(F.min("doc_id"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64("bits"), 3)).alias("node")), "simhash-nodes")
-    roots = connected_components(near_links(nodes, distance, small).distinct())
-    least = nodes.join(roots, "node", "left").select("bits", F.coalesce("root", "node").alias("component_id"))
-    out = prints.join(least, "bits")
-    return out.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"),
-                      F.when(F.col("component_id") < NO_ID, F.col("component_id")).alias("component_id"))
+    nodes = materialize(prints.groupBy("bits").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    roots = connected_components(near_links(nodes.select("bits", F.col("bits").alias("node")), distance, small).distinct())
+    rooted = materialize(nodes.join(roots, nodes["bits"] == roots["node"], "left").select("bits", "least", F.coalesce("root", "bits").alias("root")),
+                         "simhash-rooted")
+    component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    out = prints.join(rooted.join(component, "root").select("bits", "component_id"), "bits")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, small: int = SMALL, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

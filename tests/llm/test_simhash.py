@@ -62,6 +62,18 @@ def test_documents_match_brute_force(spark):
         assert got == want
 
 
+def test_any_id_names_a_component(spark):
+    """Ids of the whole range of longs, negative ones included, and near texts of which none has an id."""
+    words = [f"w{i}" for i in range(300)]
+    near = [" ".join(words), " ".join([*words[:150], "zz", *words[151:]])]
+    texts = [(2 ** 62 + 9, "far off one"), (2 ** 62 + 5, "far off one"), (2 ** 63 - 1, None), (-2 ** 63, "quite another"), (7, "quite another"),
+             (2 ** 63 - 2, near[0]), (2 ** 63 - 3, near[1]), (None, near[0]), (None, "without an id"), (None, "without an id")]
+    rows = [(d, t) for d, t in texts]
+    got = sorted((tuple(r) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute([(d, plain(t)) for d, t in rows])
+    assert [c for d, _, c in got if d in (2 ** 62 + 5, 2 ** 62 + 9)] == [2 ** 62 + 5] * 2
+
+
 @pytest.mark.parametrize("small", [2, 8, 64])
 def test_links_join_what_brute_force_joins(spark, small):
     rng = random.Random(small)
