@@ -162,12 +162,16 @@ def as_of_many(history: DataFrame, moments: Sequence, columns: Sequence[str],
 
 def as_of_grid(history: DataFrame, start, steps: int, columns: Sequence[str], days: int = 1, key: str = "sku",
                ts: str = "observed_at", tiebreak: Sequence[str] | None = None, bucket_days: int = DEFAULT_BUCKET_DAYS,
-               out_ts: str = "as_of") -> DataFrame:
+               out_ts: str = "as_of", count: str | None = None) -> DataFrame:
     """State of every key at each of ``steps`` moments, ``days`` days apart from ``start`` on.
 
     For grids too long for :func:`as_of_many`: each version is exploded over the moments of its validity
     interval, so the plan does not grow with the grid and the work is that of the result
     (rows ``key, as_of, ts, columns...``).  Of versions with one ``ts`` the greatest by ``tiebreak`` counts.
+
+    With ``count`` the rows are ``as_of, columns..., count``: how many keys are in each state at each moment.  Intervals
+    that cover the same moments in the same state are then counted before they are exploded, so the work is one
+    group-by of the versions, and the exploded rows are bounded by pairs of moments, not by keys.
     """
     dtype = history.schema[ts].dataType
     zero = F.lit(start).cast(dtype)
@@ -181,8 +185,13 @@ def as_of_grid(history: DataFrame, start, steps: int, columns: Sequence[str], da
     first = F.greatest(cell(_q(ts)), F.lit(0))
     last = F.least(F.coalesce(cell(F.col("__until")), F.lit(steps)), F.lit(steps)) - 1
     cells = held.withColumn("__first", first).withColumn("__last", last).where("__first <= __last")
-    long = cells.select(_q(key), _q(ts), *[_q(c) for c in columns], F.explode(F.sequence("__first", "__last")).alias("__i"))
     moment = F.timestamp_add("DAY", (F.col("__i") * days).cast("int"), zero)
+    if count is not None:
+        same = cells.groupBy("__first", "__last", *[_q(c) for c in columns]).agg(F.count(F.lit(1)).alias("__n"))
+        spread = same.select(*[_q(c) for c in columns], "__n", F.explode(F.sequence("__first", "__last")).alias("__i"))
+        return (spread.groupBy("__i", *[_q(c) for c in columns]).agg(F.sum("__n").alias(count))
+                .select(moment.alias(out_ts), *[_q(c) for c in columns], _q(count)))
+    long = cells.select(_q(key), _q(ts), *[_q(c) for c in columns], F.explode(F.sequence("__first", "__last")).alias("__i"))
     return long.select(_q(key), moment.alias(out_ts), _q(ts), *[_q(c) for c in columns])
 
 

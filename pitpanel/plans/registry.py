@@ -130,8 +130,7 @@ def drifted_keys_q(spark, sf):
 def attribute_grid(spark, sf):
     """WIN2 on a long grid: keys of each class on each of 3,650 days."""
     from pitpanel.operators.scd import as_of_grid
-    grid = as_of_grid(fx.fx_history(spark, sf, stored=True), "1992-01-01", 3650, ["class"], bucket_days=fx.BUCKET_DAYS)
-    return grid.groupBy("as_of", "class").agg(F.count(F.lit(1)).alias("n_skus"))
+    return as_of_grid(fx.fx_history(spark, sf, stored=True), "1992-01-01", 3650, ["class"], bucket_days=fx.BUCKET_DAYS, count="n_skus")
 
 
 @query("panel_current")

@@ -106,3 +106,20 @@ def test_grid_equals_the_state_at_each_moment(spark):
     want = sorted(tuple(r) for r in as_of_many(h, days, ["v"], tiebreak=("v",)).collect())
     got = as_of_grid(h, t(2), 6, ["v"], days=2, tiebreak=["v"], bucket_days=3).select("sku", "as_of", "observed_at", "v")
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_counted_grid_equals_the_grid_counted(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from pitpanel.operators.scd import as_of_grid
+    t = lambda *a: dt.datetime(2026, 1, *a)
+    rows = [(k, t(d, h), v) for k, d, h, v in (("a", 1, 0, "x"), ("a", 3, 12, "y"), ("a", 3, 12, "z"), ("a", 9, 0, None), ("b", 1, 0, "x"),
+                                               ("b", 5, 0, "y"), ("c", 9, 0, "x"), ("d", 20, 0, "x"), (None, 2, 0, "x"), (None, 4, 0, "y"))]
+    h = spark.createDataFrame(rows, "sku string, observed_at timestamp_ntz, v string")
+    grid = lambda **kw: as_of_grid(h, t(2), 6, ["v"], days=2, tiebreak=["v"], bucket_days=3, **kw)
+    want = grid().groupBy("as_of", "v").agg(F.count(F.lit(1)).alias("n")).collect()
+    counted = grid(count="n")
+    assert sorted(map(repr, counted.collect())) == sorted(map(repr, want))
+    # versions are counted before they are exploded over the grid
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Generate"):]
