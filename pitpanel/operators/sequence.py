@@ -46,7 +46,6 @@ _TB = "__pp_tb"
 _V = "__pp_v"
 _IN = "__pp_in"
 _C = "__pp_carry"
-_HAS = "__pp_has_left"
 _BL = "__pp_bucket_edge"
 
 
@@ -140,19 +139,17 @@ def asof_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     win = u.withColumn(_IN, F.last(_q(_M), ignorenulls=True).over(running))
 
-    # one summary row per (key, bucket): its last right row and whether left
-    # rows live there -- partially aggregated, so only one row per (key,
-    # bucket) and map task crosses the shuffle; then, per key, carry the last
-    # right row of strictly earlier buckets forward
-    is_r = _q(_S) == 0
-    summary = (u.groupBy(*[_q(k) for k in keys], _q(_B))
-               .agg(F.max_by(F.when(is_r, _q(_M)), F.when(is_r, F.struct(_q(_T), _q(_TB)))).alias(_BL),
-                    F.max(_q(_S)).alias(_HAS)))
-    w_b = (Window.partitionBy(*[_q(k) for k in keys]).orderBy(_q(_B))
-           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (summary.withColumn(_C, F.last(_q(_BL), ignorenulls=True).over(w_b))
-             .where((_q(_HAS) == 1) & _q(_C).isNotNull())
-             .select(*[_q(k) for k in keys], _q(_B), _q(_C)))
+    # per (key, bucket): the last right row (a partially aggregated maximum of the right rows alone), and
+    # whether left rows live there (distinct keys and buckets: nothing of the left rows is sorted); then,
+    # per key, carry the last right row of strictly earlier buckets forward
+    bucket = time_bucket(_T, bucket_days).alias(_B)
+    names = [_q(k) for k in keys]
+    edges = (r.select("*", bucket).groupBy(*names, _q(_B)).agg(F.max_by(_q(_M), F.struct(_q(_T), _q(_TB))).alias(_BL))
+             .select("*", F.lit(1).alias(_S)))
+    asked = l.where(key_ok).select(*names, bucket).distinct().select("*", F.lit(0).alias(_S))
+    w_b = Window.partitionBy(*names).orderBy(_q(_B), _q(_S)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carry = (edges.unionByName(asked, allowMissingColumns=True).withColumn(_C, F.last(_q(_BL), ignorenulls=True).over(w_b))
+             .where((_q(_S) == 0) & _q(_C).isNotNull()).select(*names, _q(_B), _q(_C)))
 
     # rows without an in-bucket match take the carried version
     out = (win.where(_q(_S) == 1).join(carry, on=[*keys, _B], how="left")

@@ -51,8 +51,11 @@ def fx_prices(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFra
 
 def fx_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-state attribute snapshots, one run per calendar quarter."""
-    li = table(spark, sf_dir, "lineitem")
-    agg = (li.groupBy("l_partkey", floor_to("l_shipdate", "quarter").alias("observed_at"))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", floor_to("l_shipdate", "quarter").alias("observed_at"), "l_returnflag", "l_linestatus")
+    # dealt before they are aggregated: greatest texts are found by sorting, and a group has a line or
+    # two, so a partial aggregate would sort all rows once more and spare none
+    agg = (li.repartition("l_partkey", "observed_at").groupBy("l_partkey", "observed_at")
            .agg(F.max("l_returnflag").alias("class"),
                 F.max("l_linestatus").alias("department")))
     return agg.select(F.col("l_partkey").cast("string").alias("sku"), "observed_at", "class", "department")

@@ -150,3 +150,16 @@ def test_auto_bucket_width(spark):
     a = with_neighbor(df, "k", "t", ["t"], bucket_days="auto", out="p")
     b = with_neighbor(df, "k", "t", ["t"], bucket_days=1, out="p")
     assert sorted((r.k, r.t, r.p) for r in a.collect()) == sorted((r.k, r.t, r.p) for r in b.collect())
+
+
+def test_asof_summary_sorts_no_left_rows(spark):
+    """Buckets with left rows are distinct keys and buckets; greatest rows are sought among right rows alone."""
+    left = [("a", _ts(d), d) for d in (0, 1, 5, 40)] + [(None, _ts(3), 99), ("b", None, 98), ("c", _ts(2), 97)]
+    right = [("a", _ts(1), 1, "x"), ("a", _ts(1), 2, "y"), ("a", _ts(6), 1, None), ("b", _ts(0), 1, "z"), (None, _ts(0), 1, "n")]
+    l = spark.createDataFrame(left, "k string, t timestamp_ntz, lid long")
+    r = spark.createDataFrame(right, "k string, rt timestamp_ntz, tb long, v string")
+    out = asof_join(l, r, "k", "t", "rt", {"v": "v", "rt": "matched_at"}, tiebreak="tb", bucket_days=1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(__pp_side" not in plan and "CASE WHEN (__pp_side" not in plan
+    got = {x.lid: (x.v, x.matched_at) for x in out.collect()}
+    assert got == {0: (None, None), 1: ("y", _ts(1)), 5: ("y", _ts(1)), 40: (None, _ts(6)), 99: (None, None), 98: (None, None), 97: (None, None)}
