@@ -24,9 +24,10 @@ def tmp_root():
 
 @pytest.fixture(autouse=True)
 def reports_only_where_asked_for(request, monkeypatch):
-    """Ingestion writes daily reports in tests marked ``reports``; the others are about other things, and a
-    report takes longer than the runs of a test."""
-    if "reports" not in request.keywords:
+    """Ingestion writes daily reports in tests marked ``reports`` and for the query that reads them back; the
+    others are about other things, and a report takes longer than the runs of a test."""
+    query = getattr(request.node, "callspec", None) and request.node.callspec.params.get("name")
+    if "reports" not in request.keywords and query != "intake_reports":
         monkeypatch.setattr("pitpanel.streaming.intake.write_daily_reports", lambda *args: None)
 
 
